@@ -26,7 +26,7 @@ def number_rows(df: DataFrame, key: str, seed: int | str, name: str = "row_numbe
     return (
         rows.join(F.broadcast(starts), "_prefix")
         .withColumn(name, F.row_number().over(inside) + F.col("_start"))
-        .select(*df.columns, name)
+        .drop("_hash", "_prefix", "_start")
     )
 
 

@@ -102,7 +102,7 @@ def cut_by_hash(
         df.withColumn("_stratum", stratum)
         .join(F.broadcast(edges), "_stratum", "left")
         .withColumn(part, position(F.col("_edges")))
-        .select(*df.columns, part)
+        .drop("_stratum", "_edges")
     )
 
 

@@ -16,6 +16,8 @@ CLASSES = Directions()
 
 # A customer above this many orders leaves the one-sort-per-customer path.
 HOT_CUSTOMER_ORDERS = 5_000_000
+HOT_KEYS = 1_000
+SKETCH_ITEMS = 100_000
 
 CARRIED = {"prior_id": "o_orderkey", "pct_before": "pct", "premium_before": "o_totalprice", "insured_before": "insured"}
 
@@ -24,14 +26,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _policies(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _policies(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
     """Orders with a whole-number percentage and an insured amount from their lines.
 
     Orders without lines stay, with both values missing.
     """
     lines = (
-        table(spark, sf_dir, "lineitem")
-        .groupBy("l_orderkey")
+        lineitem.groupBy("l_orderkey")
         .agg(
             F.floor(F.sum(F.round(F.col("l_discount") * 100).cast("long")).cast("double") / F.count(F.lit(1)))
             .cast("double")
@@ -39,10 +40,16 @@ def _policies(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.sum(F.col("l_quantity").cast("long")).cast("double").alias("insured"),
         )
     )
-    orders = table(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority", "o_orderstatus", "o_totalprice"
+    return (
+        orders.select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority", "o_orderstatus", "o_totalprice")
+        .join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+        .drop("l_orderkey")
     )
-    return orders.join(lines, orders.o_orderkey == lines.l_orderkey, "left").drop("l_orderkey")
+
+
+def _of_customers(chained: DataFrame, customers: DataFrame) -> DataFrame:
+    """Policies that have a predecessor, with their customer; reuses the partitioning of the lag."""
+    return chained.filter("prior_id IS NOT NULL").join(customers, F.col("c_custkey") == F.col("o_custkey"))
 
 
 def _with_previous(policies: DataFrame) -> DataFrame:
@@ -71,47 +78,49 @@ def _with_previous_by_month(policies: DataFrame) -> DataFrame:
     return chained.select(*policies.columns, *[previous[name].alias(name) for name in CARRIED])
 
 
-def previous_policies(policies: DataFrame, orders: DataFrame, hot_orders: int = HOT_CUSTOMER_ORDERS) -> DataFrame:
-    """Attach each customer's previous policy, whatever share of rows one customer holds.
+def hot_customers(orders: DataFrame, hot_orders: int = HOT_CUSTOMER_ORDERS) -> list[int]:
+    """Customers above the threshold, from a mergeable frequent-items sketch: one scan, no shuffle.
 
-    The hot list has at most (number of orders / hot_orders) entries, so it is small
-    by construction and safe to broadcast.
+    At most HOT_KEYS keys come back, which bounds what is broadcast below. The list only
+    decides how a customer is processed, so an estimate is enough.
     """
-    hot = orders.groupBy("o_custkey").count().filter(F.col("count") > hot_orders).select("o_custkey")
-    hot_keys = [r.o_custkey for r in hot.collect()]
-    if not hot_keys:
-        return _with_previous(policies)
-    keys = F.broadcast(policies.sparkSession.createDataFrame([(k,) for k in hot_keys], "o_custkey bigint"))
-    regular = policies.join(keys, "o_custkey", "left_anti")
-    large = policies.join(keys, "o_custkey", "left_semi")
-    return _with_previous(regular).unionByName(_with_previous_by_month(large))
+    found = orders.agg(F.expr(f"approx_top_k(o_custkey, {HOT_KEYS}, {SKETCH_ITEMS})")).first()[0]
+    return [r["item"] for r in found if r["count"] > hot_orders]
 
 
 def renewals(spark: SparkSession, sf_dir: str, hot_orders: int = HOT_CUSTOMER_ORDERS) -> DataFrame:
-    chained = previous_policies(_policies(spark, sf_dir), table(spark, sf_dir, "orders"), hot_orders)
+    orders, customers = table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer")
+    policies = _policies(orders, table(spark, sf_dir, "lineitem"))
+    hot = hot_customers(orders, hot_orders)
+    if hot:
+        keys = F.broadcast(spark.createDataFrame([(k,) for k in hot], "key bigint"))
+        regular = policies.join(keys, F.col("o_custkey") == F.col("key"), "left_anti")
+        large = policies.join(keys, F.col("o_custkey") == F.col("key"), "left_semi")
+        # At most HOT_KEYS customer rows.
+        few = F.broadcast(customers.join(keys, F.col("c_custkey") == F.col("key"), "left_semi"))
+        chained = _of_customers(_with_previous(regular), customers).unionByName(
+            _of_customers(_with_previous_by_month(large), few)
+        )
+    else:
+        chained = _of_customers(_with_previous(policies), customers)
     branches = table(spark, sf_dir, "nation").join(
         table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey")
     )
-    return (
-        chained.filter("prior_id IS NOT NULL")
-        .join(table(spark, sf_dir, "customer"), F.col("c_custkey") == F.col("o_custkey"))
-        .join(branches, F.col("n_nationkey") == F.col("c_nationkey"))
-        .select(
-            F.col("o_orderkey").alias("policy_id"),
-            F.col("prior_id").alias("prior_policy_id"),
-            F.col("o_custkey").alias("party_id"),
-            "pct_before",
-            F.col("pct").alias("pct_after"),
-            "premium_before",
-            F.col("o_totalprice").alias("premium_after"),
-            "insured_before",
-            F.col("insured").alias("insured_after"),
-            F.col("c_acctbal").alias("score"),
-            F.col("o_orderpriority").alias("band"),
-            F.col("o_orderstatus").alias("status"),
-            F.col("c_mktsegment").alias("maker"),
-            F.col("r_name").alias("branch"),
-        )
+    return chained.join(branches, F.col("n_nationkey") == F.col("c_nationkey")).select(
+        F.col("o_orderkey").alias("policy_id"),
+        F.col("prior_id").alias("prior_policy_id"),
+        F.col("o_custkey").alias("party_id"),
+        "pct_before",
+        F.col("pct").alias("pct_after"),
+        "premium_before",
+        F.col("o_totalprice").alias("premium_after"),
+        "insured_before",
+        F.col("insured").alias("insured_after"),
+        F.col("c_acctbal").alias("score"),
+        F.col("o_orderpriority").alias("band"),
+        F.col("o_orderstatus").alias("status"),
+        F.col("c_mktsegment").alias("maker"),
+        F.col("r_name").alias("branch"),
     )
 
 
