@@ -105,10 +105,8 @@ def mean_brier(df: DataFrame, label: str, probabilities: dict[str, Column], by:
     return df.groupBy(*by).agg(_mean_brier(label, probabilities).alias("brier"))
 
 
-def summary(
-    df: DataFrame, label: str, predicted: str, probabilities: dict[str, Column], by: tuple[str, ...] = (), eps: float = EPSILON
-) -> DataFrame:
-    """Accuracy, balanced accuracy, log loss and Brier score in a single pass."""
+def summary_columns(label: str, predicted: str, probabilities: dict[str, Column], eps: float = EPSILON) -> list[Column]:
+    """Accuracy, balanced accuracy, log loss and Brier score as aggregates."""
     classes = list(probabilities)
     hit = F.when(F.col(label) == F.col(predicted), 1.0).otherwise(0.0)
     recalls, present = F.lit(0.0), F.lit(0)
@@ -116,12 +114,18 @@ def summary(
         actual = F.col(label) == c
         recalls = recalls + F.coalesce(F.avg(F.when(actual, hit)), F.lit(0.0))
         present = present + F.when(F.count(F.when(actual, 1)) > 0, 1).otherwise(0)
-    return df.groupBy(*by).agg(
+    return [
         F.avg(hit).alias("accuracy"),
-        (recalls / present).alias("balanced_accuracy"),
+        F.when(present > 0, recalls / present).alias("balanced_accuracy"),
         _log_loss(label, probabilities, eps).alias("log_loss"),
         _mean_brier(label, probabilities).alias("brier"),
-    )
+    ]
+
+
+def summary(
+    df: DataFrame, label: str, predicted: str, probabilities: dict[str, Column], by: tuple[str, ...] = (), eps: float = EPSILON
+) -> DataFrame:
+    return df.groupBy(*by).agg(*summary_columns(label, predicted, probabilities, eps))
 
 
 def confusion_matrix(df: DataFrame, label: str, predicted: str, classes: list[str], by: tuple[str, ...] = ()) -> DataFrame:

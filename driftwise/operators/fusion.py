@@ -53,14 +53,12 @@ def rate(condition: Column) -> Column:
     return F.avg(F.when(condition, 1.0).otherwise(0.0))
 
 
-def fusion_kpis(
-    fused: DataFrame, after: str, value: str, predicted_class: str, by: tuple[str, ...] = (), pred: str = "fused_pred"
-) -> DataFrame:
-    """Agreement, corrected cases, errors and direction accuracy in one aggregate."""
+def kpi_columns(after: str, value: str, predicted_class: str, pred: str = "fused_pred") -> list[Column]:
+    """Agreement, corrected cases, errors and direction accuracy as aggregates."""
     agrees = F.col(predicted_class) == F.col("reg_direction")
     mae_value = F.avg(absolute_error(after, value))
     mae_fused = F.avg(absolute_error(after, pred))
-    return fused.groupBy(*by).agg(
+    return [
         F.count(F.lit(1)).alias("n_rows"),
         rate(agrees).alias("agreement_rate"),
         F.count(F.when(~agrees, 1)).alias("discordant"),
@@ -69,4 +67,10 @@ def fusion_kpis(
         (mae_value - mae_fused).alias("mae_gain"),
         rate(F.col("reg_direction") == F.col("real_direction")).alias("direction_accuracy_reg"),
         rate(F.col("fused_direction") == F.col("real_direction")).alias("direction_accuracy_fused"),
-    )
+    ]
+
+
+def fusion_kpis(
+    fused: DataFrame, after: str, value: str, predicted_class: str, by: tuple[str, ...] = (), pred: str = "fused_pred"
+) -> DataFrame:
+    return fused.groupBy(*by).agg(*kpi_columns(after, value, predicted_class, pred))

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from driftwise.functions.scalar import Directions, direction, floor_at_zero
+from driftwise.session import stage
 
 CLASSES = Directions()
 
@@ -149,6 +150,11 @@ def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     return add_scores(renewals(spark, sf_dir))
 
 
+def staged_scores(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    """Only the named columns, written once, for operators that read their input several times."""
+    return stage(scored(spark, sf_dir).select(*columns), "scores")
+
+
 def complete(df: DataFrame) -> DataFrame:
     """Rows on which every score and outcome is known."""
     return df.filter("reg_pred IS NOT NULL AND pct_after IS NOT NULL")

@@ -8,10 +8,11 @@ from driftwise.functions.scalar import residual
 from driftwise.operators import classification as cls
 from driftwise.operators import curves
 from driftwise.operators import regression as reg
-from driftwise.plans.bindings import CLASSES, complete, probabilities, scored, table
+from driftwise.plans.bindings import CLASSES, complete, probabilities, scored, staged_scores, table
 from driftwise.plans.catalog import query
 from driftwise.plans.fusion_queries import FUSED, SPLIT, rounded, split_rows
 from driftwise.plans.twins import LONG, SCORED, STEPS, hash_order, over
+from driftwise.session import stage
 
 NAMES = CLASSES.names()
 
@@ -20,6 +21,16 @@ def _rows(spark, sf_dir):
     return scored(spark, sf_dir).select("policy_id", "class_true", "class_pred", "p_down", "p_keep", "p_up")
 
 
+def _curve_rows(spark, sf_dir):
+    """Curves read scores twice: for range edges and for the counts."""
+    return staged_scores(spark, sf_dir, "class_true", "p_down", "p_keep", "p_up")
+
+
+def _values(spark, sf_dir):
+    """Gridded tables read values twice: for the span and for the counts."""
+    return staged_scores(spark, sf_dir, "pct_after", "reg_pred")
+
+
 @query(
     "accuracy",
     over(SCORED, select="SELECT round(avg(CASE WHEN class_pred = class_true THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END), 6) AS accuracy FROM scored"),
@@ -128,7 +139,7 @@ UNION ALL SELECT DISTINCT class, NULL::DOUBLE, 0.0::DOUBLE, 0.0::DOUBLE FROM ste
     ),
 )
 def roc_curve(spark, sf_dir):
-    return rounded(curves.roc_curve(_rows(spark, sf_dir), "class_true", probabilities()), 9, "score", "fpr", "tpr")
+    return rounded(curves.roc_curve(_curve_rows(spark, sf_dir), "class_true", probabilities()), 9, "score", "fpr", "tpr")
 
 
 @query(
@@ -142,7 +153,7 @@ FROM steps UNION ALL SELECT DISTINCT class, NULL::DOUBLE, 1.0::DOUBLE, 0.0::DOUB
     ),
 )
 def precision_recall_curve(spark, sf_dir):
-    points = curves.precision_recall_curve(_rows(spark, sf_dir), "class_true", probabilities())
+    points = curves.precision_recall_curve(_curve_rows(spark, sf_dir), "class_true", probabilities())
     return rounded(points, 9, "score", "precision", "recall")
 
 
@@ -156,7 +167,7 @@ def precision_recall_curve(spark, sf_dir):
     ),
 )
 def roc_auc(spark, sf_dir):
-    areas = curves.areas(_rows(spark, sf_dir), "class_true", probabilities())
+    areas = curves.areas(_curve_rows(spark, sf_dir), "class_true", probabilities())
     return rounded(areas.select("class", "auc"), 6, "auc")
 
 
@@ -170,7 +181,7 @@ def roc_auc(spark, sf_dir):
     ),
 )
 def average_precision(spark, sf_dir):
-    areas = curves.areas(_rows(spark, sf_dir), "class_true", probabilities())
+    areas = curves.areas(_curve_rows(spark, sf_dir), "class_true", probabilities())
     return rounded(areas.select("class", "average_precision"), 6, "average_precision")
 
 
@@ -225,7 +236,7 @@ def document_reliability(spark, sf_dir):
   round(sum(pos::DOUBLE * tp / (tp + fp)) / max(n_pos), 6) AS average_precision FROM steps GROUP BY class""",
 )
 def document_areas(spark, sf_dir):
-    return rounded(curves.areas(_document_quality(spark, sf_dir), "label", {"good": F.col("p")}), 6, "auc", "average_precision")
+    return rounded(curves.areas(stage(_document_quality(spark, sf_dir), "quality"), "label", {"good": F.col("p")}), 6, "auc", "average_precision")
 
 
 @query(
@@ -315,7 +326,7 @@ def qq_line(spark, sf_dir):
     ),
 )
 def residuals_by_fitted(spark, sf_dir):
-    bins = reg.residuals_by_fitted(scored(spark, sf_dir), "pct_after", "reg_pred")
+    bins = reg.residuals_by_fitted(_values(spark, sf_dir), "pct_after", "reg_pred")
     return rounded(bins, 6, "mean_fitted", "mean_residual", "sd_residual")
 
 
@@ -338,7 +349,7 @@ centers AS (
     ),
 )
 def hexagon_counts(spark, sf_dir):
-    return rounded(reg.hexagon_counts(scored(spark, sf_dir), "pct_after", "reg_pred", 20), 6, "center_x", "center_y")
+    return rounded(reg.hexagon_counts(_values(spark, sf_dir), "pct_after", "reg_pred", 20), 6, "center_x", "center_y")
 
 
 @query(

@@ -20,7 +20,7 @@ from driftwise.operators.fusion import agreeing, disagreeing, fusion_kpis, rate,
 from driftwise.operators.kpis import kpi_table, side_by_side
 from driftwise.operators.regression import density_grid
 from driftwise.operators.splits import random_split
-from driftwise.plans.bindings import CLASSES, complete, probabilities, renewals, scored
+from driftwise.plans.bindings import CLASSES, complete, probabilities, renewals, scored, staged_scores
 from driftwise.plans.catalog import query
 from driftwise.plans.twins import FUSED, RENEWALS, SCORED, hash_order, over
 from driftwise.plans.twins import direction as direction_sql
@@ -248,7 +248,8 @@ shares AS (
     ),
 )
 def correction_surface(spark, sf_dir):
-    rows = with_fusion(complete(scored(spark, sf_dir)), "pct_before", "pct_after", "reg_pred", "class_pred", CLASSES)
+    scores = complete(staged_scores(spark, sf_dir, "pct_before", "pct_after", "reg_pred", "class_pred"))
+    rows = with_fusion(scores, "pct_before", "pct_after", "reg_pred", "class_pred", CLASSES)
     return rounded(density_grid(rows, "reg_pred", "fused_pred", 50, 0.05), 6, "share")
 
 

@@ -24,9 +24,7 @@ BINS = 4
 
 
 def _complete(spark, sf_dir) -> DataFrame:
-    """Model input, written once: fits pass over it many times."""
-    rows = complete(scored(spark, sf_dir)).select("policy_id", "class_true", "pct_after", *FEATURES)
-    return stage(rows, "model-input")
+    return complete(scored(spark, sf_dir)).select("policy_id", "class_true", "pct_after", *FEATURES)
 
 
 # Feature selection ----------------------------------------------------------------------
@@ -73,7 +71,8 @@ cell{i} AS (
 
 
 def _selection_rows(spark, sf_dir) -> DataFrame:
-    return random_split(_complete(spark, sf_dir), 0.3, "policy_id", "42")
+    """Written once, as every round reads them again."""
+    return stage(random_split(_complete(spark, sf_dir), 0.3, "policy_id", "42"), "selection")
 
 
 @query("candidate_scores", over(SCORED, SELECTION, _round_sql(1), select="SELECT candidate, round(accuracy, 6) AS accuracy FROM rated1"))
@@ -110,7 +109,7 @@ def forward_selection(spark, sf_dir):
 
 @query("forward_selection_by_trees")
 def forward_selection_by_trees(spark, sf_dir):
-    rows = stage(_selection_rows(spark, sf_dir), "selection-input")
+    rows = _selection_rows(spark, sf_dir)
     return _picked(spark, selection.select_by_trees(rows, FEATURES, "class_true", NAMES, "split", 2))
 
 
@@ -130,7 +129,8 @@ def class_weights(spark, sf_dir):
 
 
 def _split_by_class(spark, sf_dir) -> DataFrame:
-    return stratified_split(_complete(spark, sf_dir), 0.8, "class_true", "policy_id", "42", NAMES)
+    """Written once: a fit passes over its rows many times."""
+    return stage(stratified_split(_complete(spark, sf_dir), 0.8, "class_true", "policy_id", "42", NAMES), "classes")
 
 
 def _train(df: DataFrame) -> DataFrame:
@@ -177,7 +177,7 @@ def forest_grid_search(spark, sf_dir):
 
 
 def _ridge_rows(spark, sf_dir) -> DataFrame:
-    return random_split(_complete(spark, sf_dir), 0.2, "policy_id", "42")
+    return stage(random_split(_complete(spark, sf_dir), 0.2, "policy_id", "42"), "values")
 
 
 @query(
@@ -197,7 +197,7 @@ UNION ALL SELECT 'intercept', round(my - w1 * m1 - w2 * m2, 6) FROM solved""",
 )
 def ridge_closed_form(spark, sf_dir):
     """Two features at alpha 1, where SQL can solve the normal equations."""
-    rows = complete(scored(spark, sf_dir)).select("pct_before", "insured_before", "pct_after")
+    rows = stage(complete(scored(spark, sf_dir)).select("pct_before", "insured_before", "pct_after"), "values")
     model = fit_ridge(rows, ["pct_before", "insured_before"], "pct_after", 1.0)
     terms = [*zip(model.features, model.weights), ("intercept", model.intercept)]
     return rounded(spark.createDataFrame(terms, "term string, weight double"), 6, "weight")
@@ -226,7 +226,7 @@ def ridge_predictions(spark, sf_dir):
 @query("fitted_kpis")
 def fitted_kpis(spark, sf_dir):
     """Forest and ridge fitted on the same training rows, fused and rated on train, test and all rows."""
-    rows = stage(_split_by_class(spark, sf_dir), "fit-input")
+    rows = _split_by_class(spark, sf_dir)
     forest = fit_forest(_train(rows), FEATURES, "class_true", NAMES)
     folds = contiguous_folds(_train(rows), 3, "policy_id")
     ridge = ridge_search(folds, FEATURES, "pct_after", "fold").model

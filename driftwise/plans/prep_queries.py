@@ -10,6 +10,7 @@ from driftwise.plans.bindings import CLASSES, complete, probabilities, renewals,
 from driftwise.plans.catalog import query
 from driftwise.plans.fusion_queries import rounded
 from driftwise.plans.twins import LONG, RENEWALS, SCORED, over
+from driftwise.session import stage
 
 FEATURES = ["pct_before", "premium_before", "premium_after", "insured_before", "insured_after", "score"]
 GAPPY = ["pct_before", "pct_after", "insured_before", "insured_after"]
@@ -24,7 +25,7 @@ GAPPY = ["pct_before", "pct_after", "insured_before", "insured_after"]
     ),
 )
 def median_impute(spark, sf_dir):
-    df = renewals(spark, sf_dir).select("policy_id", *GAPPY)
+    df = stage(renewals(spark, sf_dir).select("policy_id", *GAPPY), "imputed")
     return rounded(Imputer.fit(df, GAPPY, []).transform(df), 6, *GAPPY)
 
 
@@ -47,7 +48,8 @@ _GAPPY_TEXT = "CASE WHEN pct_after IS NULL THEN NULL ELSE {c} END AS {c}"
 )
 def mode_impute(spark, sf_dir):
     known = F.col("pct_after").isNotNull()
-    df = renewals(spark, sf_dir).select("policy_id", *[F.when(known, F.col(c)).alias(c) for c in ("status", "band")])
+    text = [F.when(known, F.col(c)).alias(c) for c in ("status", "band")]
+    df = stage(renewals(spark, sf_dir).select("policy_id", *text), "imputed")
     return Imputer.fit(df, [], ["status", "band"]).transform(df)
 
 
@@ -60,19 +62,19 @@ def mode_impute(spark, sf_dir):
     ),
 )
 def standardize(spark, sf_dir):
-    df = renewals(spark, sf_dir).select("policy_id", *FEATURES)
+    df = stage(renewals(spark, sf_dir).select("policy_id", *FEATURES), "scaled")
     return rounded(Standardizer.fit(df, FEATURES).transform(df), 5, *FEATURES)
 
 
 @query("pca_components")
 def pca_components(spark, sf_dir):
-    df = complete(scored(spark, sf_dir)).select("policy_id", *FEATURES)
+    df = stage(complete(scored(spark, sf_dir)).select("policy_id", *FEATURES), "components")
     return PrincipalComponents.fit(df, FEATURES, 2).transform(df).select("policy_id", "pca_comp1", "pca_comp2")
 
 
 @query("pca_variance")
 def pca_variance(spark, sf_dir):
-    df = complete(scored(spark, sf_dir)).select(*FEATURES)
+    df = stage(complete(scored(spark, sf_dir)).select(*FEATURES), "components")
     shares = PrincipalComponents.fit(df, FEATURES, 2).explained
     return spark.createDataFrame([(i + 1, v) for i, v in enumerate(shares)], "component int, explained double")
 
@@ -87,7 +89,7 @@ def pca_variance(spark, sf_dir):
 )
 def pca_variance_of_pair(spark, sf_dir):
     """Two standardized columns have eigenvalues 1 + |r| and 1 - |r|, which SQL can state."""
-    df = complete(scored(spark, sf_dir)).select("premium_before", "insured_before")
+    df = stage(complete(scored(spark, sf_dir)).select("premium_before", "insured_before"), "components")
     shares = PrincipalComponents.fit(df, df.columns, 2).explained
     rows = spark.createDataFrame([(i + 1, v) for i, v in enumerate(shares)], "component int, explained double")
     return rounded(rows, 6, "explained")
@@ -105,7 +107,7 @@ FROM complete, m""",
     ),
 )
 def pca_leading_of_pair(spark, sf_dir):
-    df = complete(scored(spark, sf_dir)).select("policy_id", "premium_before", "insured_before")
+    df = stage(complete(scored(spark, sf_dir)).select("policy_id", "premium_before", "insured_before"), "components")
     model = PrincipalComponents.fit(df, ["premium_before", "insured_before"], 2)
     return rounded(model.transform(df).select("policy_id", F.abs("pca_comp1").alias("size")), 4, "size")
 
@@ -127,7 +129,7 @@ _LEVELS = {
     ),
 )
 def one_hot(spark, sf_dir):
-    df = renewals(spark, sf_dir).select("policy_id", *_LEVELS)
+    df = stage(renewals(spark, sf_dir).select("policy_id", *_LEVELS), "encoded")
     return OneHot.fit(df, list(_LEVELS)).transform(df)
 
 

@@ -7,11 +7,11 @@ from pyspark.sql import functions as F
 from driftwise.functions.scalar import absolute_error
 from driftwise.operators.prep import quantile_bin, quantile_edges
 from driftwise.operators.profile import class_share, histogram, mean_by_segment, missing_counts, numeric_columns, other_columns, profile
-from driftwise.plans.bindings import renewals, scored, table
+from driftwise.plans.bindings import renewals, scored, staged_scores, table
 from driftwise.plans.catalog import query
 from driftwise.plans.fusion_queries import rounded
 from driftwise.plans.twins import RENEWALS, SCORED, over
-from driftwise.session import new_table_path
+from driftwise.session import new_table_path, stage
 from driftwise.sources.tables import read_table, write_table
 
 NUMBERS = [
@@ -40,7 +40,7 @@ FROM (SELECT {c} AS v, count(*) AS n FROM {view} GROUP BY 1 ORDER BY n DESC, v L
 
 @query("profile_table", over(RENEWALS, select=_profile_sql("renewals", NUMBERS, STRINGS)))
 def profile_table(spark, sf_dir):
-    return rounded(profile(renewals(spark, sf_dir)), 3, *MOMENTS)
+    return rounded(profile(stage(renewals(spark, sf_dir), "profiled")), 3, *MOMENTS)
 
 
 LINE_NUMBERS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax"]
@@ -56,7 +56,7 @@ def profile_lineitem(spark, sf_dir):
 @query("profile_sink", over(RENEWALS, select=_profile_sql("renewals", NUMBERS, STRINGS)))
 def profile_sink(spark, sf_dir):
     path = new_table_path(spark, "profile")
-    write_table(profile(renewals(spark, sf_dir)), path)
+    write_table(profile(stage(renewals(spark, sf_dir), "profiled")), path)
     return rounded(read_table(spark, path), 3, *MOMENTS)
 
 
@@ -93,7 +93,7 @@ SEGMENT_NAMES = ["low", "middle", "high"]
 
 @query("tercile_bins", over(RENEWALS, TERCILES, select=f"SELECT policy_id, {SEGMENT} AS segment FROM renewals, edges"))
 def tercile_bins(spark, sf_dir):
-    df = renewals(spark, sf_dir).select("policy_id", "premium_before")
+    df = stage(renewals(spark, sf_dir).select("policy_id", "premium_before"), "segments")
     edges = quantile_edges(df, "premium_before", 3)
     return df.select("policy_id", quantile_bin("premium_before", edges, SEGMENT_NAMES).alias("segment"))
 
@@ -108,7 +108,7 @@ FROM scored, edges GROUP BY 1""",
     ),
 )
 def mae_by_segment(spark, sf_dir):
-    df = scored(spark, sf_dir).select("premium_before", "pct_after", "reg_pred")
+    df = staged_scores(spark, sf_dir, "premium_before", "pct_after", "reg_pred")
     segment = quantile_bin("premium_before", quantile_edges(df, "premium_before", 3), SEGMENT_NAMES)
     return rounded(mean_by_segment(df, segment, absolute_error("pct_after", "reg_pred"), "mae"), 6, "mae")
 
@@ -124,7 +124,7 @@ FROM scored, box WHERE reg_pred IS NOT NULL GROUP BY 1""",
     ),
 )
 def histogram_of_predictions(spark, sf_dir):
-    return histogram(scored(spark, sf_dir), "reg_pred", 40).select("bin", "n")
+    return histogram(staged_scores(spark, sf_dir, "reg_pred"), "reg_pred", 40).select("bin", "n")
 
 
 @query(

@@ -13,7 +13,7 @@ from driftwise.plans.bindings import CLASSES, renewals, scored, table
 from driftwise.plans.catalog import query
 from driftwise.plans.fusion_queries import rounded
 from driftwise.plans.twins import RENEWALS, SCORED, hash_order, over
-from driftwise.session import new_table_path
+from driftwise.session import new_table_path, stage
 from driftwise.sources.tables import read_delimited, read_table, write_delimited, write_table
 
 
@@ -50,7 +50,7 @@ draws AS (
     ),
 )
 def bootstrap_exact(spark, sf_dir):
-    df = renewals(spark, sf_dir).select("policy_id", "party_id", "premium_before", "pct_before")
+    df = stage(renewals(spark, sf_dir).select("policy_id", "party_id", "premium_before", "pct_before"), "drawn")
     return bootstrap(df, 2 * df.count(), "policy_id", "42")
 
 
@@ -82,13 +82,13 @@ def _jitter_sql(floor_names: tuple[str, ...]) -> str:
 
 @query("gaussian_jitter", over(RENEWALS, SCALES, select=_jitter_sql(())))
 def gaussian_jitter(spark, sf_dir):
-    df = renewals(spark, sf_dir).select("policy_id", *JITTERED)
+    df = stage(renewals(spark, sf_dir).select("policy_id", *JITTERED), "jittered")
     return rounded(jitter(df, noise_scales(df, JITTERED), "policy_id", "42"), 4, *JITTERED)
 
 
 @query("conditional_floor", over(RENEWALS, SCALES, select=_jitter_sql(("premium", "score"))))
 def conditional_floor(spark, sf_dir):
-    df = renewals(spark, sf_dir).select("policy_id", *JITTERED)
+    df = stage(renewals(spark, sf_dir).select("policy_id", *JITTERED), "jittered")
     return rounded(jitter(df, noise_scales(df, JITTERED), "policy_id", "42", ("premium", "score")), 4, *JITTERED)
 
 
@@ -191,7 +191,7 @@ def folds_by_class(spark, sf_dir):
     over(RENEWALS, select="SELECT policy_id, CAST(ntile(3) OVER (ORDER BY policy_id) - 1 AS INTEGER) AS fold FROM renewals"),
 )
 def folds_in_order(spark, sf_dir):
-    return contiguous_folds(renewals(spark, sf_dir).select("policy_id"), 3, "policy_id")
+    return contiguous_folds(stage(renewals(spark, sf_dir).select("policy_id"), "folds"), 3, "policy_id")
 
 
 @query(
