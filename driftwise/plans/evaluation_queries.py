@@ -294,7 +294,7 @@ qq AS (SELECT rank, ordered, {_QUANTILE} AS theoretical FROM radii)"""
 
 
 def _qq(spark, sf_dir):
-    return reg.qq_points(complete(scored(spark, sf_dir)), residual("pct_after", "reg_pred"), "policy_id", "11")
+    return reg.qq_points(complete(staged_scores(spark, sf_dir, "policy_id", "pct_after", "reg_pred")), residual("pct_after", "reg_pred"), "policy_id", "11")
 
 
 @query("qq_points", over(SCORED, QQ, select="SELECT CAST(rank AS INTEGER) AS rank, round(theoretical, 6) AS theoretical, round(ordered, 6) AS ordered FROM qq"))

@@ -254,7 +254,9 @@ def correction_surface(spark, sf_dir):
 
 
 def split_rows(spark, sf_dir) -> DataFrame:
-    return random_split(complete(scored(spark, sf_dir)), 0.2, "policy_id", "42")
+    """A cut reads its input several times, so the columns the figures need are written once."""
+    names = ("policy_id", "pct_before", "pct_after", "reg_pred", "class_true", "class_pred", "p_down", "p_keep", "p_up")
+    return random_split(complete(staged_scores(spark, sf_dir, *names)), 0.2, "policy_id", "42")
 
 
 SPLIT = f"""

@@ -24,7 +24,8 @@ BINS = 4
 
 
 def _complete(spark, sf_dir) -> DataFrame:
-    return complete(scored(spark, sf_dir)).select("policy_id", "class_true", "pct_after", *FEATURES)
+    """Model input, written once: cuts and fits pass over it many times."""
+    return stage(complete(scored(spark, sf_dir)).select("policy_id", "class_true", "pct_after", *FEATURES), "complete")
 
 
 # Feature selection ----------------------------------------------------------------------
@@ -71,7 +72,6 @@ cell{i} AS (
 
 
 def _selection_rows(spark, sf_dir) -> DataFrame:
-    """Written once, as every round reads them again."""
     return stage(random_split(_complete(spark, sf_dir), 0.3, "policy_id", "42"), "selection")
 
 
@@ -129,8 +129,7 @@ def class_weights(spark, sf_dir):
 
 
 def _split_by_class(spark, sf_dir) -> DataFrame:
-    """Written once: a fit passes over its rows many times."""
-    return stage(stratified_split(_complete(spark, sf_dir), 0.8, "class_true", "policy_id", "42", NAMES), "classes")
+    return stage(stratified_split(_complete(spark, sf_dir), 0.8, "class_true", "policy_id", "42", NAMES), "classes", spread=True)
 
 
 def _train(df: DataFrame) -> DataFrame:
@@ -168,7 +167,7 @@ def forest_importances(spark, sf_dir):
 def forest_grid_search(spark, sf_dir):
     """Three stratified folds of at most 40,000 training rows; the sample is part of the search."""
     sample = exact_sample(_train(_split_by_class(spark, sf_dir)), 40_000, "policy_id", "42")
-    folds = stage(stratified_folds(sample, 3, "class_true", "policy_id", "43", NAMES), "grid-input")
+    folds = stage(stratified_folds(sample, 3, "class_true", "policy_id", "43", NAMES), "grid", spread=True)
     rated = forest_grid(folds, FEATURES, "class_true", NAMES, "fold")
     return spark.createDataFrame(rated, "trees int, depth int, accuracy double")
 
@@ -177,7 +176,7 @@ def forest_grid_search(spark, sf_dir):
 
 
 def _ridge_rows(spark, sf_dir) -> DataFrame:
-    return stage(random_split(_complete(spark, sf_dir), 0.2, "policy_id", "42"), "values")
+    return random_split(_complete(spark, sf_dir), 0.2, "policy_id", "42")
 
 
 @query(

@@ -9,7 +9,7 @@ from driftwise.functions.scalar import clamp, direction
 from driftwise.operators.resample import Shares, banded_draw, bootstrap, jitter, noise_scale_table, noise_scales
 from driftwise.operators.splits import aligned, contiguous_folds, exact_sample, random_split, stratified_folds, stratified_split
 from driftwise.plans import twins
-from driftwise.plans.bindings import CLASSES, renewals, scored, table
+from driftwise.plans.bindings import CLASSES, renewals, scored, staged_scores, table
 from driftwise.plans.catalog import query
 from driftwise.plans.fusion_queries import rounded
 from driftwise.plans.twins import RENEWALS, SCORED, hash_order, over
@@ -145,7 +145,7 @@ def simulated_label(spark, sf_dir):
     over(RENEWALS, select=f"SELECT policy_id, premium_after FROM renewals ORDER BY {hash_order('7')} LIMIT 3000"),
 )
 def sample_rows(spark, sf_dir):
-    return exact_sample(renewals(spark, sf_dir).select("policy_id", "premium_after"), 3000, "policy_id", "7")
+    return exact_sample(stage(renewals(spark, sf_dir).select("policy_id", "premium_after"), "sampled"), 3000, "policy_id", "7")
 
 
 @query(
@@ -157,7 +157,7 @@ def sample_rows(spark, sf_dir):
     ),
 )
 def split_at_random(spark, sf_dir):
-    return random_split(renewals(spark, sf_dir).select("policy_id"), 0.3, "policy_id", "42")
+    return random_split(stage(renewals(spark, sf_dir).select("policy_id"), "split"), 0.3, "policy_id", "42")
 
 
 @query(
@@ -169,7 +169,7 @@ def split_at_random(spark, sf_dir):
     ),
 )
 def split_by_class(spark, sf_dir):
-    rows = scored(spark, sf_dir).select("policy_id", "class_true")
+    rows = staged_scores(spark, sf_dir, "policy_id", "class_true")
     return stratified_split(rows, 0.8, "class_true", "policy_id", "42", CLASSES.names())
 
 
@@ -182,7 +182,7 @@ def split_by_class(spark, sf_dir):
     ),
 )
 def folds_by_class(spark, sf_dir):
-    rows = scored(spark, sf_dir).select("policy_id", "class_true")
+    rows = staged_scores(spark, sf_dir, "policy_id", "class_true")
     return stratified_folds(rows, 3, "class_true", "policy_id", "42", CLASSES.names())
 
 

@@ -54,10 +54,17 @@ def new_table_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{app}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+def stage(df: DataFrame, name: str, spread: bool = False) -> DataFrame:
     """Write ``df`` once and read it back, so operators that need several passes
     over a derived table scan Parquet instead of repeating its joins. Unlike
-    cached blocks, the written table outlives a lost executor."""
-    path = new_table_path(df.sparkSession, name)
+    cached blocks, the written table outlives a lost executor.
+
+    ``spread`` is for iterative fits, which compute far more than they read: a table
+    of fewer files than there are cores is dealt out over all of them.
+    """
+    spark = df.sparkSession
+    path = new_table_path(spark, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    back = spark.read.schema(df.schema).parquet(path)
+    cores = spark.sparkContext.defaultParallelism
+    return back.repartition(cores) if spread and len(back.inputFiles()) < cores else back
