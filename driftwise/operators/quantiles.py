@@ -17,7 +17,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SMALL = 1_000_000
+# Rows per column that one task may hold for the built-in exact aggregate.
+SMALL = 200_000
 ACCURACY = 10_000
 
 
@@ -47,30 +48,41 @@ class _Search:
 
 
 def _narrow(df: DataFrame, searches: list[_Search]) -> None:
+    """One round for all columns: a sketch per open interval, then exact counts at its pivots."""
+    groups: dict[tuple, list[_Search]] = {}
+    for s in searches:
+        groups.setdefault((s.column, s.low, s.high), []).append(s)
+    members = list(groups.values())
     step = 2.0 / ACCURACY
-    near = [[max(0.0, s.fraction() - step), s.fraction(), min(1.0, s.fraction() + step)] for s in searches]
+    near = [sorted({min(1.0, max(0.0, s.fraction() + d)) for s in group for d in (-step, 0.0, step)}) for group in members]
     sketches = df.agg(
-        *[F.percentile_approx(F.expr(s.candidates()), p, ACCURACY).alias(f"p{i}") for i, (s, p) in enumerate(zip(searches, near))]
-    ).first()
-    pivots = [sorted(set(sketches[f"p{i}"])) for i in range(len(searches))]
-    counts = df.agg(
-        *[
-            F.array(*[F.count(F.when(test, 1)) for v in pivots[i] for test in (F.col(s.column) < v, F.col(s.column) <= v)]).alias(f"c{i}")
-            for i, s in enumerate(searches)
-        ]
+        *[F.percentile_approx(F.expr(g[0].candidates()), p, ACCURACY).alias(f"p{i}") for i, (g, p) in enumerate(zip(members, near))]
     ).first()
-    for i, s in enumerate(searches):
+    pivots = [sorted(set(sketches[f"p{i}"])) for i in range(len(members))]
+
+    def counts_at(column: str, values: list[float]):
+        x = F.col(column)
+        return F.array(*[F.count(F.when(test, 1)) for v in values for test in (x < v, x <= v)])
+
+    counts = df.agg(*[counts_at(g[0].column, pivots[i]).alias(f"c{i}") for i, g in enumerate(members)]).first()
+    for i, group in enumerate(members):
         under, through = counts[f"c{i}"][0::2], counts[f"c{i}"][1::2]
-        # Rows beyond the last pivot end where the old interval ended.
-        ends = [(s.low, s.below), *zip(pivots[i], through)]
-        tops = [*zip(pivots[i], under), (s.high, s.below + s.inside)]
-        for value, lo, hi in zip(pivots[i], under, through):
-            if lo <= s.rank < hi:
-                s.value = float(value)
-        for (low, below), (high, upto) in zip(ends, tops):
-            if s.value is None and below <= s.rank < upto:
-                s.low, s.high, s.below, s.inside = low, high, below, upto - below
-                break
+        for s in group:
+            _place(s, pivots[i], under, through)
+
+
+def _place(s: _Search, pivots: list[float], under: list[int], through: list[int]) -> None:
+    """Settle the rank on a pivot or keep the gap between two pivots that holds it."""
+    lower = [(s.low, s.below), *zip(pivots, through)]
+    upper = [*zip(pivots, under), (s.high, s.below + s.inside)]
+    for value, first, end in zip(pivots, under, through):
+        if first <= s.rank < end:
+            s.value = float(value)
+            return
+    for (low, below), (high, upto) in zip(lower, upper):
+        if below <= s.rank < upto:
+            s.low, s.high, s.below, s.inside = low, high, below, upto - below
+            return
 
 
 def order_statistics(df: DataFrame, wanted: dict[str, list[int]], small: int = SMALL) -> dict[tuple[str, int], float]:

@@ -122,8 +122,9 @@ PERSONAL = ("cpf_cnpj",)
 
 def augment(df: DataFrame, spec: BookSpec, n: int, seed: int = 42) -> DataFrame:
     """n bootstrapped rows with jittered columns, a simulated new value and its label."""
-    # Rows with equal content are interchangeable, so their content serves as the key.
-    keyed = df.withColumn("_row_key", F.to_json(F.struct(*df.columns)))
+    # The seed has no key of its own, and copies of a row must not share one. Writing the
+    # generated ids once keeps them the same in every later pass.
+    keyed = stage(df.withColumn("_row_key", F.monotonically_increasing_id()), "seed")
     drawn = bootstrap(keyed, n, "_row_key", seed, spec.key).drop("_row_key")
     noisy = jitter(drawn, noise_scales(df, list(spec.jittered)), spec.key, seed, spec.floor_names)
     if spec.bands:

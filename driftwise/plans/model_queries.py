@@ -125,7 +125,7 @@ FROM scored GROUP BY class_true""",
     ),
 )
 def class_weights(spark, sf_dir):
-    return rounded(class_weight_table(scored(spark, sf_dir), "class_true"), 6, "weight")
+    return rounded(class_weight_table(scored(spark, sf_dir), "class_true").drop("n"), 6, "weight")
 
 
 def _split_by_class(spark, sf_dir) -> DataFrame:
