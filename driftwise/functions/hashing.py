@@ -17,13 +17,17 @@ def order_hash(seed: int | str, key: str | Column) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}:"), key.cast("string")))
 
 
+def _fraction(hashed: Column, start: int, digits: int) -> Column:
+    return F.conv(F.substring(hashed, start, digits), 16, 10).cast("double") / F.lit(16.0**digits)
+
+
 def uniform(seed: int | str, key: str | Column, digits: int = 8) -> Column:
     """Uniform double in [0, 1) from the leading hex digits; 13 digits fill a double."""
-    leading = F.substring(order_hash(seed, key), 1, digits)
-    return F.conv(leading, 16, 10).cast("double") / F.lit(16.0**digits)
+    return _fraction(order_hash(seed, key), 1, digits)
 
 
 def standard_normal(seed: int | str, key: str | Column) -> Column:
-    """Box-Muller on two independent uniforms; half a step keeps ln finite."""
-    radius = F.sqrt(F.lit(-2.0) * F.log(uniform(f"{seed}:a", key) + F.lit(0.5 / 16.0**8)))
-    return radius * F.cos(F.lit(2.0 * math.pi) * uniform(f"{seed}:b", key))
+    """Box-Muller on two separate stretches of one hash; half a step keeps ln finite."""
+    hashed = order_hash(seed, key)
+    radius = F.sqrt(F.lit(-2.0) * F.log(_fraction(hashed, 1, 8) + F.lit(0.5 / 16.0**8)))
+    return radius * F.cos(F.lit(2.0 * math.pi) * _fraction(hashed, 9, 8))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from driftwise.functions import normal
 from driftwise.functions.scalar import residual
 from driftwise.operators import classification as cls
 from driftwise.operators import curves
@@ -260,26 +261,16 @@ def regression_metrics(spark, sf_dir):
     return rounded(metrics, 6, "rmse", "mae", "rmsle", "r2", "r2_adj")
 
 
-# Normal quantile by the published rational approximations of algorithm AS 241
-# (fixed values, Wichura 1988), lowest power first.
-_AS241 = {
-    "a": "3.3871328727963666080e0 1.3314166789178437745e2 1.9715909503065514427e3 1.3731693765509461125e4 4.5921953931549871457e4 6.7265770927008700853e4 3.3430575583588128105e4 2.5090809287301226727e3",
-    "b": "1 4.2313330701600911252e1 6.8718700749205790830e2 5.3941960214247511077e3 2.1213794301586595867e4 3.9307895800092710610e4 2.8729085735721942674e4 5.2264952788528545610e3",
-    "c": "1.42343711074968357734e0 4.63033784615654529590e0 5.76949722146069140550e0 3.64784832476320460504e0 1.27045825245236838258e0 2.41780725177450611770e-1 2.27238449892691845833e-2 7.74545014278341407640e-4",
-    "d": "1 2.05319162663775882187e0 1.67638483018380384940e0 6.89767334985100004550e-1 1.48103976427480074590e-1 1.51986665636164571966e-2 5.47593808499534494600e-4 1.05075007164441684324e-9",
-}
-
-
-def _polynomial(name: str, x: str) -> str:
-    text = ""
-    for c in reversed(_AS241[name].split()):
-        text = f"({c}::DOUBLE + {x} * {text})" if text else f"{c}::DOUBLE"
+def _polynomial(coefficients: tuple[float, ...], x: str) -> str:
+    text = f"{coefficients[-1]!r}::DOUBLE"
+    for c in reversed(coefficients[:-1]):
+        text = f"({c!r}::DOUBLE + {x} * {text})"
     return text
 
 
 _QUANTILE = (
-    f"CASE WHEN abs(p - 0.5::DOUBLE) <= 0.425::DOUBLE THEN (p - 0.5::DOUBLE) * {_polynomial('a', 'r1')} / {_polynomial('b', 'r1')}"
-    f" ELSE sign(p - 0.5::DOUBLE) * {_polynomial('c', 'r2')} / {_polynomial('d', 'r2')} END"
+    f"CASE WHEN abs(p - 0.5::DOUBLE) <= 0.425::DOUBLE THEN (p - 0.5::DOUBLE) * {_polynomial(normal.CENTER_OVER, 'r1')} / {_polynomial(normal.CENTER_UNDER, 'r1')}"
+    f" ELSE sign(p - 0.5::DOUBLE) * {_polynomial(normal.TAIL_OVER, 'r2')} / {_polynomial(normal.TAIL_UNDER, 'r2')} END"
 )
 QQ = f"""
 drawn AS (SELECT policy_id, pct_after - reg_pred AS ordered FROM complete ORDER BY {hash_order("11")} LIMIT 3000),

@@ -78,9 +78,9 @@ steps AS (
   FROM pts WINDOW down AS (PARTITION BY class ORDER BY score DESC))"""
 
 
-def uniform(seed: str, key: str, digits: int = 8) -> str:
-    leading = f"substr(md5(concat('{seed}:', CAST({key} AS VARCHAR))), 1, {digits})"
-    return f"(('0x' || {leading})::BIGINT / {16**digits}::DOUBLE)"
+def uniform(seed: str, key: str, digits: int = 8, start: int = 1) -> str:
+    stretch = f"substr(md5(concat('{seed}:', CAST({key} AS VARCHAR))), {start}, {digits})"
+    return f"(('0x' || {stretch})::BIGINT / {16**digits}::DOUBLE)"
 
 
 def hash_order(seed: str, key: str = "policy_id") -> str:
@@ -89,8 +89,8 @@ def hash_order(seed: str, key: str = "policy_id") -> str:
 
 def standard_normal(seed: str, key: str) -> str:
     return (
-        f"(sqrt(-2.0::DOUBLE * ln({uniform(seed + ':a', key)} + 0.5::DOUBLE / 4294967296::DOUBLE))"
-        f" * cos(6.283185307179586::DOUBLE * {uniform(seed + ':b', key)}))"
+        f"(sqrt(-2.0::DOUBLE * ln({uniform(seed, key)} + 0.5::DOUBLE / 4294967296::DOUBLE))"
+        f" * cos(6.283185307179586::DOUBLE * {uniform(seed, key, start=9)}))"
     )
 
 

@@ -1,8 +1,12 @@
 """Missing values, zeros, ties and ranges in the column expressions."""
 
+from statistics import NormalDist
+
+import pytest
 from pyspark.sql import functions as F
 
 from driftwise.functions import scalar
+from driftwise.functions.normal import normal_quantile
 from driftwise.operators.fusion import fuse, with_fusion
 
 
@@ -40,6 +44,13 @@ def test_floor_keeps_missing_and_clamp_does_not(spark):
     assert values(df, scalar.clamp("x", 0, 40)) == [0.0, 0.5, 40.0, 40.0]
 
 
+def test_normal_quantile(spark):
+    shares = [7e-7, 1e-4, 0.0749, 0.075, 0.0751, 0.3, 0.5, 0.9, 0.925, 0.99999, 1 - 7e-7]
+    df = spark.createDataFrame([(p,) for p in shares], "p double")
+    want = [NormalDist().inv_cdf(p) for p in shares]
+    assert values(df, normal_quantile(F.col("p"))) == pytest.approx(want, rel=1e-12, abs=1e-15)
+
+
 def test_texts(spark):
     df = spark.createDataFrame([(0.7926, 0.0605)], "a double, b double")
     assert values(df, scalar.percent_text("a")) == ["79.26%"]

@@ -42,7 +42,10 @@ def test_identifiers_are_dropped_or_hashed(spark):
 
 def test_staged_tables_live_in_the_shared_folder(spark):
     df = stage(spark.range(10), "t")
+    assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
     assert df.count() == 10 and shared_dir(spark) in df.inputFiles()[0]
+    dealt = stage(spark.range(10).coalesce(1), "t", spread=True)
+    assert dealt.count() == 10 and dealt.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
     assert new_table_path(spark, "t") != new_table_path(spark, "t")
 
 
