@@ -9,25 +9,11 @@ a table of (classes x ranges) rows, shift them into place.
 
 from __future__ import annotations
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from driftwise.operators.classification import one_vs_rest
-
-MAX_RANGES = 2000
-
-
-def range_edges(df: DataFrame, column: str, ranges: int) -> list[float]:
-    """Interior edges that cut the column into ranges of about equal row counts."""
-    shares = [i / ranges for i in range(1, ranges)]
-    found = df.agg(F.percentile_approx(column, shares, 10_000)).first()[0] or []
-    return sorted(set(map(float, found)))
-
-
-def _ranges(df: DataFrame) -> int:
-    return min(MAX_RANGES, 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-
+from driftwise.operators.ranges import default_ranges, range_edges, with_range
 
 def score_steps(
     df: DataFrame, label: str, probabilities: dict[str, Column], by: tuple[str, ...] = (), ranges: int | None = None
@@ -37,15 +23,11 @@ def score_steps(
     at the next lower score (next_pos, next_neg), and in total (n_pos, n_neg)."""
     group = [*by, "class"]
     long = one_vs_rest(df, label, probabilities, by).filter("score IS NOT NULL")
-    edges = range_edges(long, "score", ranges or _ranges(df))
+    edges = range_edges(long, "score", ranges or default_ranges(df))
     points = long.groupBy(*group, "score").agg(
         F.sum("is_positive").alias("pos"), F.sum(1 - F.col("is_positive")).alias("neg")
     )
-    if edges:
-        cut = Bucketizer(splits=[float("-inf"), *edges, float("inf")], inputCol="score", outputCol="_range")
-        points = cut.transform(points)
-    else:
-        points = points.withColumn("_range", F.lit(0.0))
+    points = with_range(points, "score", edges, "_range")
     downward = Window.partitionBy(*group).orderBy(F.desc("_range"))
     above = downward.rowsBetween(Window.unboundedPreceding, -1)
     every = Window.partitionBy(*group)

@@ -85,12 +85,14 @@ def _place(s: _Search, pivots: list[float], under: list[int], through: list[int]
             return
 
 
-def order_statistics(df: DataFrame, wanted: dict[str, list[int]], small: int = SMALL) -> dict[tuple[str, int], float]:
+def order_statistics(
+    df: DataFrame, wanted: dict[str, list[int]], small: int = SMALL, totals: dict[str, int] | None = None
+) -> dict[tuple[str, int], float]:
     """Value at each 0-based rank of each column, missing values left out."""
     columns = [c for c in wanted if wanted[c]]
     if not columns:
         return {}
-    totals = df.agg(*[F.count(c).alias(c) for c in columns]).first()
+    totals = totals or df.agg(*[F.count(c).alias(c) for c in columns]).first().asDict()
     searches = [_Search(c, r, 0, totals[c]) for c in columns for r in wanted[c]]
     for s in searches:
         if not 0 <= s.rank < s.inside:
@@ -121,7 +123,7 @@ def exact_quantiles(
         return {c: list(row[c]) if row[c] else [None] * len(probabilities) for c in columns}
     positions = {c: [p * (totals[c] - 1) for p in probabilities] for c in columns if totals[c]}
     ranks = {c: sorted({r for x in xs for r in (math.floor(x), math.ceil(x))}) for c, xs in positions.items()}
-    values = order_statistics(df, ranks, small)
+    values = order_statistics(df, ranks, small, totals)
 
     def at(c: str, x: float) -> float:
         low, high = values[c, math.floor(x)], values[c, math.ceil(x)]

@@ -30,7 +30,7 @@ def strata_of(df: DataFrame, by: str) -> list:
     return sorted(found, key=lambda v: (v is not None, v))
 
 
-def _cut_rows(keyed: DataFrame, ranks: Callable[[Column], Sequence[Column]], small: bool = True) -> DataFrame:
+def _cut_rows(keyed: DataFrame, ranks: Callable[[Column], Sequence[Column]]) -> DataFrame:
     """(stratum, edges): the (hash, key) of the row at each 1-based cut rank, missing at rank 0."""
     counts = keyed.groupBy("_stratum", "_prefix").agg(F.count(F.lit(1)).alias("_n"))
     # At most 16^digits rows per stratum, whatever the size of the table.
@@ -146,9 +146,9 @@ def stratified_folds(
 
 def contiguous_folds(df: DataFrame, k: int, key: str, name: str = "fold") -> DataFrame:
     """k folds of neighbouring keys; ``key`` is numeric and unique."""
-    total = df.count()
+    total = df.agg(F.count(key)).first()[0]
     ranks = [i * (total // k) + min(i, total % k) - 1 for i in range(1, k)]
-    edges = order_statistics(df, {key: sorted({r for r in ranks if r >= 0})})
+    edges = order_statistics(df, {key: sorted({r for r in ranks if r >= 0})}, totals={key: total})
     beyond = [(F.col(key) > edges[key, r]).cast("int") if r >= 0 else F.lit(1) for r in ranks]
     return df.withColumn(name, sum(beyond, F.lit(0)))
 

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from driftwise.functions.scalar import Directions, direction, floor_at_zero
+from driftwise.operators.ranges import default_ranges, range_edges, with_range
 from driftwise.session import stage
 
 CLASSES = Directions()
@@ -58,23 +59,25 @@ def _with_previous(policies: DataFrame) -> DataFrame:
     return policies.select("*", *[F.lag(c).over(timeline).alias(name) for name, c in CARRIED.items()])
 
 
-def _with_previous_by_month(policies: DataFrame) -> DataFrame:
+def _with_previous_by_range(policies: DataFrame, ranges: int | None = None) -> DataFrame:
     """The same lag for customers too large for one task.
 
-    Each customer's timeline is cut into months. Inside a month the lag is local;
-    the first row of a month takes the last row of that customer's latest earlier
-    month from a table with one row per (customer, month).
+    Their timeline is cut into ranges of similar size. Inside a range the lag is local;
+    the first row of a range takes the last row of that customer's latest earlier range
+    from a table with one row per (customer, range).
     """
-    month = F.trunc(F.col("o_orderdate").cast("date"), "month")
-    rows = policies.withColumn("_month", month)
+    date = F.col("o_orderdate")
+    # Whole seconds read off the calendar fields, free of time zones.
+    second = F.unix_date(date.cast("date")) * 86400 + F.hour(date) * 3600 + F.minute(date) * 60 + F.second(date)
+    timed = policies.withColumn("_second", second.cast("double"))
+    rows = with_range(timed, "_second", range_edges(timed, "_second", ranges or default_ranges(policies)), "_range")
     stamp = F.struct("o_orderdate", "o_orderkey")
     carried = F.struct(*[F.col(c).alias(name) for name, c in CARRIED.items()])
-    last_of_month = rows.groupBy("o_custkey", "_month").agg(F.max_by(carried, stamp).alias("_last"))
-    carry = last_of_month.select(
-        "o_custkey", "_month", F.lag("_last").over(Window.partitionBy("o_custkey").orderBy("_month")).alias("_carry")
-    )
-    inside = Window.partitionBy("o_custkey", "_month").orderBy("o_orderdate", "o_orderkey")
-    chained = rows.withColumn("_local", F.lag(carried).over(inside)).join(carry, ["o_custkey", "_month"])
+    lasts = rows.groupBy("o_custkey", "_range").agg(F.max_by(carried, stamp).alias("_last"))
+    earlier = Window.partitionBy("o_custkey").orderBy("_range")
+    carry = lasts.select("o_custkey", "_range", F.lag("_last").over(earlier).alias("_carry"))
+    inside = Window.partitionBy("o_custkey", "_range").orderBy("o_orderdate", "o_orderkey")
+    chained = rows.withColumn("_local", F.lag(carried).over(inside)).join(carry, ["o_custkey", "_range"])
     previous = F.coalesce("_local", "_carry")
     return chained.select(*policies.columns, *[previous[name].alias(name) for name in CARRIED])
 
@@ -100,7 +103,7 @@ def renewals(spark: SparkSession, sf_dir: str, hot_orders: int = HOT_CUSTOMER_OR
         # At most HOT_KEYS customer rows.
         few = F.broadcast(customers.join(keys, F.col("c_custkey") == F.col("key"), "left_semi"))
         chained = _of_customers(_with_previous(regular), customers).unionByName(
-            _of_customers(_with_previous_by_month(large), few)
+            _of_customers(_with_previous_by_range(large), few)
         )
     else:
         chained = _of_customers(_with_previous(policies), customers)

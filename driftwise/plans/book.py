@@ -27,7 +27,7 @@ from driftwise.operators.prep import Imputer, OneHot, PrincipalComponents, quant
 from driftwise.operators.profile import class_share, mean_by_segment, missing_counts, numeric_columns, other_columns, profile
 from driftwise.operators.resample import Shares, banded_draw, bootstrap, jitter, noise_scales
 from driftwise.operators.ridge import RidgeModel, ridge_search
-from driftwise.operators.selection import select_by_cells
+from driftwise.operators.selection import select_by_cells, select_by_trees
 from driftwise.operators.splits import contiguous_folds, exact_sample, random_split, stratified_folds, stratified_split
 from driftwise.session import stage
 from driftwise.sources.tables import read_delimited, without_identifiers, write_table
@@ -205,21 +205,29 @@ def run(
     spec: BookSpec,
     seed: int = 42,
     select: int = 15,
+    scorer: str = "cells",
+    scorer_rows: int | None = None,
     trees: Sequence[int] = (50,),
     depths: Sequence[int] = (10,),
     alphas: Sequence[float] = (0.1, 1.0, 10.0),
     search_rows: int = 40_000,
     fit_on: str = "train",
 ) -> BookRun:
-    """Fit both models on a labelled table and score every row of it."""
+    """Fit both models on a labelled table and score every row of it.
+
+    Features are selected on all training rows unless ``scorer_rows`` asks for a sample, as
+    the ``trees`` scorer should: it fits a tree per candidate and round.
+    """
     classes = spec.names.names()
     rows = stage(stratified_split(df, 0.8, spec.label, spec.key, seed, classes), "split")
     preparation = Preparation.fit(rows.filter("split = 'train'") if fit_on == "train" else rows, spec)
     prepared = stage(preparation.transform(rows), "prepared")
     train = prepared.filter("split = 'train'")
 
-    halves = random_split(train, 0.3, spec.key, f"{seed}:selection", "selection_split")
-    selected = select_by_cells(halves, preparation.features, spec.label, classes, "selection_split", select)
+    pool = exact_sample(train, scorer_rows, spec.key, f"{seed}:pool") if scorer_rows else train
+    halves = stage(random_split(pool, 0.3, spec.key, f"{seed}:selection", "selection_split"), "selection")
+    select_by = {"cells": select_by_cells, "trees": select_by_trees}[scorer]
+    selected = select_by(halves, preparation.features, spec.label, classes, "selection_split", select)
     chosen = [name for _, name, _ in selected]
 
     sample = exact_sample(train, search_rows, spec.key, f"{seed}:search")
@@ -274,13 +282,15 @@ def main(argv: Sequence[str] | None = None) -> None:
     arguments.add_argument("--rows", type=int, default=200_000)
     arguments.add_argument("--seed", type=int, default=42)
     arguments.add_argument("--select", type=int, default=15)
+    arguments.add_argument("--scorer", choices=["cells", "trees"], default="cells")
+    arguments.add_argument("--scorer-rows", type=int, help="sample size for feature selection; all training rows if absent")
     arguments.add_argument("--fit-on", choices=["train", "all"], default="train")
     given = arguments.parse_args(argv)
     spark = SparkSession.builder.appName("driftwise").getOrCreate()
     seed_rows = without_identifiers(read_delimited(spark, given.csv, COMMISSION_SCHEMA), drop=PERSONAL)
     write_table(augment(seed_rows, COMMISSION_BOOK, given.rows, given.seed), f"{given.out}/augmented")
     book = spark.read.parquet(f"{given.out}/augmented")
-    result = run(book, COMMISSION_BOOK, given.seed, given.select, fit_on=given.fit_on)
+    result = run(book, COMMISSION_BOOK, given.seed, given.select, given.scorer, given.scorer_rows, fit_on=given.fit_on)
     write_table(result.output, f"{given.out}/output")
     write_reports(result, book, given.out)
 

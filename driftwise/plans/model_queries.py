@@ -176,7 +176,7 @@ def forest_grid_search(spark, sf_dir):
 
 
 def _ridge_rows(spark, sf_dir) -> DataFrame:
-    return random_split(_complete(spark, sf_dir), 0.2, "policy_id", "42")
+    return stage(random_split(_complete(spark, sf_dir), 0.2, "policy_id", "42"), "values")
 
 
 @query(
@@ -202,6 +202,51 @@ def ridge_closed_form(spark, sf_dir):
     return rounded(spark.createDataFrame(terms, "term string, weight double"), 6, "weight")
 
 
+PAIR = ["pct_before", "insured_before"]
+
+# Normal equations of two features per (held-out fold, alpha), and the fit on all folds (f = 3).
+PAIR_FITS = """
+rows AS (
+  SELECT policy_id, pct_before AS x, insured_before AS z, pct_after AS y, ntile(3) OVER (ORDER BY policy_id) - 1 AS fold FROM complete),
+sums AS (
+  SELECT f, alpha, count(*) * covar_pop(x, x) + alpha AS a, count(*) * covar_pop(x, z) AS b, count(*) * covar_pop(z, z) + alpha AS d,
+         count(*) * covar_pop(x, y) AS u, count(*) * covar_pop(z, y) AS v, avg(x) AS mx, avg(z) AS mz, avg(y) AS my
+  FROM rows JOIN (VALUES (0), (1), (2), (3)) AS t(f) ON fold <> f, (VALUES (0.1::DOUBLE), (1.0::DOUBLE), (10.0::DOUBLE)) AS s(alpha)
+  GROUP BY f, alpha),
+fits AS (
+  SELECT f, alpha, (u * d - v * b) / (a * d - b * b) AS w1, (a * v - b * u) / (a * d - b * b) AS w2, mx, mz, my FROM sums),
+rated AS (
+  SELECT f, alpha, 1 - sum(pow(y - my - w1 * (x - mx) - w2 * (z - mz), 2)) / (var_pop(y) * count(*)) AS r2
+  FROM rows JOIN fits ON fold = f GROUP BY f, alpha),
+grid AS (SELECT alpha, avg(r2) AS r2 FROM rated GROUP BY alpha)"""
+
+
+def _pair_search(rows: DataFrame):
+    return ridge_search(contiguous_folds(rows, 3, "policy_id"), PAIR, "pct_after", "fold")
+
+
+@query("ridge_grid_of_pair", over(SCORED, PAIR_FITS, select="SELECT alpha, round(r2, 8) AS r2 FROM grid"))
+def ridge_grid_of_pair(spark, sf_dir):
+    """The grid search on two features, where SQL can solve every fold."""
+    scores = _pair_search(_complete(spark, sf_dir)).scores
+    return rounded(spark.createDataFrame(list(scores.items()), "alpha double, r2 double"), 8, "r2")
+
+
+@query(
+    "ridge_predictions_of_pair",
+    over(
+        SCORED,
+        PAIR_FITS,
+        "\nbest AS (SELECT fits.* FROM fits JOIN (SELECT alpha FROM grid ORDER BY r2 DESC LIMIT 1) USING (alpha) WHERE f = 3)",
+        select="""SELECT policy_id, round(CASE WHEN p < 0 THEN 0 ELSE p END, 6) AS reg_pred
+FROM (SELECT policy_id, my + w1 * (x - mx) + w2 * (z - mz) AS p FROM rows, best)""",
+    ),
+)
+def ridge_predictions_of_pair(spark, sf_dir):
+    rows = _complete(spark, sf_dir)
+    return rounded(_pair_search(rows).model.transform(rows).select("policy_id", "reg_pred"), 6, "reg_pred")
+
+
 @query("ridge_grid")
 def ridge_grid(spark, sf_dir):
     train = contiguous_folds(_train(_ridge_rows(spark, sf_dir)), 3, "policy_id")

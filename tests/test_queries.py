@@ -51,6 +51,17 @@ def test_plan_has_no_cross_join(spark, sf_dir, name):
     assert "BroadcastNestedLoopJoin" not in plan
 
 
+def test_scans_are_pruned_and_the_customer_partitioning_is_reused(spark, sf_dir):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = QUERIES["direction_label"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "l_discount" in plan and "l_quantity" not in plan and "l_extendedprice" not in plan
+    # The lag and the customer join share one shuffle of the policies.
+    assert plan.count("hashpartitioning(o_custkey") == 1
+
+
 def test_entry_runs(spark):
     row = driver.entry(spark).first()
     assert row["n_rows"] > 0 and 0 <= row["agreement_rate"] <= 1

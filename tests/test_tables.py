@@ -58,15 +58,16 @@ def test_hot_customers_get_the_same_previous_policy(spark, sf_dir, hot):
     assert plain.exceptAll(split.select(*plain.columns)).count() == 0
 
 
-def test_skewed_customer_by_month(spark):
-    """Two customers, one with most of the rows and months without any."""
+@pytest.mark.parametrize("ranges", [1, 2, 9, 500])
+def test_skewed_customer_by_range(spark, ranges):
+    """Two customers, one with most of the rows, and several orders on one day."""
     rows = [(i, 7 if i % 4 else 8, f"20{10 + i % 9}-{1 + i % 5:02d}-{1 + i % 27:02d}", float(i), float(i)) for i in range(200)]
     policies = spark.createDataFrame(rows, "o_orderkey bigint, o_custkey bigint, d string, pct double, insured double").select(
         "o_orderkey", "o_custkey", F.col("d").cast("timestamp_ntz").alias("o_orderdate"), F.lit("p").alias("o_orderpriority"),
         F.lit("s").alias("o_orderstatus"), F.col("pct").alias("o_totalprice"), F.when(F.col("o_orderkey") % 3 > 0, F.col("pct")).alias("pct"), "insured",
     )
-    plain, by_month = bindings._with_previous(policies), bindings._with_previous_by_month(policies)
-    assert sorted(map(str, plain.collect())) == sorted(map(str, by_month.select(*plain.columns).collect()))
+    plain, by_range = bindings._with_previous(policies), bindings._with_previous_by_range(policies, ranges)
+    assert sorted(map(str, plain.collect())) == sorted(map(str, by_range.select(*plain.columns).collect()))
 
 
 def test_fusion_on_a_stream_equals_the_batch(spark, renewal_rows, tmp_path):
