@@ -58,9 +58,12 @@ class Standardizer:
 
     @classmethod
     def fit(cls, df: DataFrame, columns: list[str]) -> Standardizer:
-        row = df.agg(
-            *[F.struct(F.avg(quoted(c)).alias("m"), F.stddev_pop(quoted(c)).alias("s")).alias(f"c{i}") for i, c in enumerate(columns)]
-        ).first()
+        def stats(x: Column) -> Column:
+            # Merged partial sums leave a constant column a tiny deviation; its range is exact.
+            deviation = F.when(F.min(x) == F.max(x), F.lit(0.0)).otherwise(F.stddev_pop(x))
+            return F.struct(F.avg(x).alias("m"), deviation.alias("s"))
+
+        row = df.agg(*[stats(quoted(c)).alias(f"c{i}") for i, c in enumerate(columns)]).first()
         return cls(
             {c: row[f"c{i}"]["m"] for i, c in enumerate(columns)}, {c: row[f"c{i}"]["s"] for i, c in enumerate(columns)}
         )

@@ -50,6 +50,13 @@ def test_scaling_uses_population_deviation(mixed):
     assert out[4].x is None and [r.const for r in out] == [0.0] * 5
 
 
+def test_constant_columns_scale_to_zero_however_they_are_split(spark):
+    df = spark.range(0, 1000, numPartitions=7).select(F.lit(0.1).alias("c"), F.lit(431.7).alias("d"))
+    scaler = Standardizer.fit(df, ["c", "d"])
+    assert scaler.deviations == {"c": 0.0, "d": 0.0}
+    assert scaler.transform(df).distinct().collect() == [(0.0, 0.0)]
+
+
 def test_components_match_eigenvectors(spark):
     rng = np.random.default_rng(5)
     data = rng.normal(size=(400, 4)) @ rng.normal(size=(4, 4)) + [0, 100, -3, 5]
