@@ -143,6 +143,34 @@ def tree_predictions(spark, sf_dir):
     return model.transform(rows).select("policy_id", "split", "class_true", "class_pred")
 
 
+STUMP = """
+sides AS (
+  SELECT cut, pct_before > cut AS beyond, class_true, count(*)::DOUBLE AS n
+  FROM complete, (SELECT DISTINCT pct_before AS cut FROM complete) GROUP BY 1, 2, 3),
+impurity AS (
+  SELECT cut, sum(total - squares / total) AS gini
+  FROM (SELECT cut, beyond, sum(n) AS total, sum(n * n) AS squares FROM sides GROUP BY 1, 2) GROUP BY cut),
+best AS (SELECT cut FROM impurity ORDER BY gini, cut LIMIT 1),
+leaves AS (
+  SELECT beyond, class_true AS class_pred FROM sides JOIN best USING (cut)
+  QUALIFY row_number() OVER (PARTITION BY beyond ORDER BY n DESC, class_true) = 1)"""
+
+
+@query(
+    "tree_stump",
+    over(
+        SCORED,
+        STUMP,
+        select="""SELECT policy_id, l.class_pred FROM complete c, best JOIN leaves l ON true WHERE l.beyond = (c.pct_before > cut)""",
+    ),
+)
+def tree_stump(spark, sf_dir):
+    """A tree of one split on a column of few values, whose best Gini cut SQL can search."""
+    rows = _complete(spark, sf_dir)
+    model = fit_tree(rows, ["pct_before"], "class_true", NAMES, depth=1)
+    return model.transform(rows.select("policy_id", "pct_before")).select("policy_id", "class_pred")
+
+
 @query("forest_predictions")
 def forest_predictions(spark, sf_dir):
     rows = _split_by_class(spark, sf_dir)
