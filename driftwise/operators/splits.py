@@ -12,6 +12,7 @@ every run and after a lost executor.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -62,6 +63,70 @@ def _cut_rows(keyed: DataFrame, ranks: Callable[[Column], Sequence[Column]]) ->
     )
 
 
+@dataclass(frozen=True)
+class HashCuts:
+    """Fitted cuts: per stratum the (hash, key) at each cut, None where a cut lies before the first row.
+
+    Stratum -1 holds labels that were not listed. Applying the cuts is a projection, so a
+    table need not be written again to keep its parts for later passes.
+    """
+
+    key: str
+    seed: int | str
+    by: str | None
+    strata: list
+    edges: dict[int, list[tuple | None]]
+    n_cuts: int
+
+    @classmethod
+    def fit(
+        cls,
+        df: DataFrame,
+        key: str,
+        seed: int | str,
+        ranks: Callable[[Column], Sequence[Column]],
+        by: str | None = None,
+        strata: Sequence | None = None,
+        digits: int = 4,
+    ) -> HashCuts:
+        """``ranks`` turns the number of rows (of a stratum) into ascending 1-based cut ranks."""
+        labels = [] if by is None else list(strata) if strata is not None else strata_of(df, by)
+        hashed = order_hash(seed, key)
+        # Strata travel as their position, so that a missing label is a stratum like any other.
+        stratum = F.lit(-1)
+        for i, label in enumerate(labels):
+            stratum = F.when(F.col(by).eqNullSafe(F.lit(label)), i).otherwise(stratum)
+        keyed = df.select(
+            stratum.alias("_stratum"),
+            F.col(key).alias("_key"),
+            hashed.alias("_hash"),
+            F.substring(hashed, 1, digits).alias("_prefix"),
+        )
+        # One row per stratum.
+        edges = {
+            r["_stratum"]: [None if e is None else (e["_hash"], e["_key"]) for e in r["_edges"]]
+            for r in _cut_rows(keyed, ranks).collect()
+        }
+        return cls(key, seed, by, labels, edges, len(list(ranks(F.lit(0)))))
+
+    def _part(self, stratum: int) -> Column:
+        hashed, key = order_hash(self.seed, self.key), F.col(self.key)
+        part = F.lit(0)
+        for edge in self.edges.get(stratum, [None] * self.n_cuts):
+            if edge is None:
+                part = part + F.lit(1)
+            else:
+                part = part + ((hashed > edge[0]) | ((hashed == edge[0]) & (key > F.lit(edge[1])))).cast("int")
+        return part
+
+    def transform(self, df: DataFrame, part: str = "part") -> DataFrame:
+        """Add the part: 0 up to the first cut, 1 up to the second, and so on."""
+        value = self._part(-1)
+        for i, label in enumerate(self.strata):
+            value = F.when(F.col(self.by).eqNullSafe(F.lit(label)), self._part(i)).otherwise(value)
+        return df.withColumn(part, value)
+
+
 def cut_by_hash(
     df: DataFrame,
     key: str,
@@ -72,38 +137,7 @@ def cut_by_hash(
     part: str = "part",
     digits: int = 4,
 ) -> DataFrame:
-    """Add ``part``: 0 up to the first cut, 1 up to the second, and so on.
-
-    ``ranks`` turns the number of rows (of a stratum) into ascending cut ranks.
-    """
-    hashed = order_hash(seed, key)
-    if by is None:
-        stratum = F.lit(0)
-    else:
-        # Strata travel as their position, so that a missing label is a stratum like any other.
-        labels = list(strata) if strata is not None else strata_of(df, by)
-        stratum = F.lit(-1)
-        for i, label in enumerate(labels):
-            stratum = F.when(F.col(by).eqNullSafe(F.lit(label)), i).otherwise(stratum)
-    keyed = df.select(
-        stratum.alias("_stratum"), F.col(key).alias("_key"), hashed.alias("_hash"), F.substring(hashed, 1, digits).alias("_prefix")
-    )
-    edges = _cut_rows(keyed, ranks)
-    n_cuts = len(list(ranks(F.lit(0))))
-    here = F.struct(hashed.alias("_hash"), F.col(key).alias("_key"))
-
-    def position(e: Column) -> Column:
-        # A cut at rank 0 has no row: everything lies beyond it.
-        return sum((F.coalesce((here > e[f"e{i}"]).cast("int"), F.lit(1)) for i in range(n_cuts)), F.lit(0))
-
-    if by is None:
-        return df.withColumn(part, position(edges.select("_edges").scalar()))
-    return (
-        df.withColumn("_stratum", stratum)
-        .join(F.broadcast(edges), "_stratum", "left")
-        .withColumn(part, position(F.col("_edges")))
-        .drop("_stratum", "_edges")
-    )
+    return HashCuts.fit(df, key, seed, ranks, by, strata, digits).transform(df, part)
 
 
 def exact_sample(df: DataFrame, n: int, key: str, seed: int | str) -> DataFrame:

@@ -215,17 +215,18 @@ def run(
 ) -> BookRun:
     """Fit both models on a labelled table and score every row of it.
 
+    ``df`` is a table that can be read again cheaply; a derived one should be staged first.
     Features are selected on all training rows unless ``scorer_rows`` asks for a sample, as
     the ``trees`` scorer should: it fits a tree per candidate and round.
     """
     classes = spec.names.names()
-    rows = stage(stratified_split(df, 0.8, spec.label, spec.key, seed, classes), "split")
+    rows = stratified_split(df, 0.8, spec.label, spec.key, seed, classes)
     preparation = Preparation.fit(rows.filter("split = 'train'") if fit_on == "train" else rows, spec)
     prepared = stage(preparation.transform(rows), "prepared")
     train = prepared.filter("split = 'train'")
 
     pool = exact_sample(train, scorer_rows, spec.key, f"{seed}:pool") if scorer_rows else train
-    halves = stage(random_split(pool, 0.3, spec.key, f"{seed}:selection", "selection_split"), "selection")
+    halves = random_split(pool, 0.3, spec.key, f"{seed}:selection", "selection_split")
     select_by = {"cells": select_by_cells, "trees": select_by_trees}[scorer]
     selected = select_by(halves, preparation.features, spec.label, classes, "selection_split", select)
     chosen = [name for _, name, _ in selected]

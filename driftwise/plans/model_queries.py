@@ -23,9 +23,9 @@ NAMES = CLASSES.names()
 BINS = 4
 
 
-def _complete(spark, sf_dir) -> DataFrame:
+def _complete(spark, sf_dir, spread: bool = False) -> DataFrame:
     """Model input, written once: cuts and fits pass over it many times."""
-    return stage(complete(scored(spark, sf_dir)).select("policy_id", "class_true", "pct_after", *FEATURES), "complete")
+    return stage(complete(scored(spark, sf_dir)).select("policy_id", "class_true", "pct_after", *FEATURES), "complete", spread)
 
 
 # Feature selection ----------------------------------------------------------------------
@@ -72,7 +72,7 @@ cell{i} AS (
 
 
 def _selection_rows(spark, sf_dir) -> DataFrame:
-    return stage(random_split(_complete(spark, sf_dir), 0.3, "policy_id", "42"), "selection")
+    return random_split(_complete(spark, sf_dir), 0.3, "policy_id", "42")
 
 
 @query("candidate_scores", over(SCORED, SELECTION, _round_sql(1), select="SELECT candidate, round(accuracy, 6) AS accuracy FROM rated1"))
@@ -129,7 +129,7 @@ def class_weights(spark, sf_dir):
 
 
 def _split_by_class(spark, sf_dir) -> DataFrame:
-    return stage(stratified_split(_complete(spark, sf_dir), 0.8, "class_true", "policy_id", "42", NAMES), "classes", spread=True)
+    return stratified_split(_complete(spark, sf_dir, spread=True), 0.8, "class_true", "policy_id", "42", NAMES)
 
 
 def _train(df: DataFrame) -> DataFrame:
@@ -204,7 +204,7 @@ def forest_grid_search(spark, sf_dir):
 
 
 def _ridge_rows(spark, sf_dir) -> DataFrame:
-    return stage(random_split(_complete(spark, sf_dir), 0.2, "policy_id", "42"), "values")
+    return random_split(_complete(spark, sf_dir), 0.2, "policy_id", "42")
 
 
 @query(
