@@ -8,8 +8,9 @@ import pytest
 import __spark_entry__ as driver
 from check_queries import SAME_TYPES, compare, connect
 from conftest import ROOT
+from driftwise.plans import catalog
 
-QUERIES, TWINS = driver.queries(), driver.oracle_sql()
+QUERIES, TWINS = catalog.load()
 
 
 @pytest.fixture(scope="module")
