@@ -217,12 +217,12 @@ def estimate_rules(
 ) -> list[RuleEstimate]:
     """Seconds per sampled row and share rejected, one small job per rule.
 
-    ``sample_rows`` bounds the sample. It only steers the order of the rules.
+    ``sample_rows`` is the expected size of the sample. It only steers the order of the rules.
     """
     _, measured = text_measures(text)
-    sample = stage(
-        documents.select(text).sample(fraction=0.2, seed=seed).limit(sample_rows), "rule-sample"
-    )
+    rows = documents.select(text)
+    share = min(1.0, sample_rows / max(rows.count(), 1))
+    sample = stage(rows.sample(fraction=share, seed=seed), "rule-sample")
     out = []
     for rule in rules:
         hits = F.coalesce(measured(lambda m, r=rule: r.rejects(m)), F.lit(False))

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from driftwise.llm import quality_queries
+from driftwise.llm import layout_queries, quality_queries
 
 QUERIES = {
     "op3_quality_rules": quality_queries.quality_rules,
+    "op9_sharding": layout_queries.sharding,
+    "op10_packing": layout_queries.packing,
 }
 TWINS = {
     "op3_quality_rules": quality_queries.OP3_SQL,

@@ -19,3 +19,10 @@ def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def benchmark(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "benchmark")
+
+
+def tokenizer_path(name: str) -> str:
+    """Place of a public vocabulary file; the same on every machine that has the package."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
