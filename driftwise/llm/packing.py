@@ -28,6 +28,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -40,14 +41,17 @@ WINDOW = 64 * SEQUENCE
 END_ID = 1
 #: Queues whose totals the driver holds. Beyond it, sources share queues by hash.
 MAX_QUEUES = 50_000
-CACHE_WORDS = 150_000
+#: Words whose ids a worker remembers, about 150 bytes each.
+CACHE_WORDS = 800_000
 
 
 class WordIds(dict):
-    """Ids of the parts between white space as little-endian 16-bit numbers, by the library.
+    """Ids of single words as little-endian 16-bit numbers, by the library's own merges.
 
-    The vocabulary ends words at white space and drops it, so parts are independent; a part
-    that holds a special string is given to the library with it. Full tables are cleared.
+    This kind of vocabulary lower-cases, ends words at white space and drops it, so a text's
+    ids are its words' ids in a row. Latin-1 text is cut into words here; in other text every
+    part between spaces that has other characters, or could hold a special string, goes to
+    the library whole. Full tables are cleared.
     """
 
     def __init__(self, path: str) -> None:
@@ -56,20 +60,57 @@ class WordIds(dict):
         self._tokenizer = Tokenizer.from_file(path)
         if self._tokenizer.get_vocab_size() > 1 << 16:
             raise ValueError("ids must fit in 16 bits")
-
-    def __missing__(self, part: str) -> bytes:
-        ids = self._tokenizer.encode(part, add_special_tokens=False).ids
+        self._model = self._tokenizer.model
+        self._words = regex.compile(
+            r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\t-\r \x85\xa0\p{L}\p{N}]+"
+        ).findall
+        # byte-level spelling: printable bytes stand for themselves, the others follow U+0100
+        plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        others = [b for b in range(256) if b not in set(plain)]
+        self._spelling = {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(others)}
+
+    def _keep(self, word: str, ids: list[int]) -> bytes:
         found = np.asarray(ids, dtype="<u2").tobytes()
-        if len(part) <= 64:
+        if len(word) <= 64:
             if len(self) >= CACHE_WORDS:
                 self.clear()
-            self[part] = found
+            self[word] = found
+        return found
+
+    def __missing__(self, word: str) -> bytes:
+        spelled = word
+        if not (word.isascii() and word.isprintable()):
+            spelled = "".join([self._spelling[b] for b in word.encode()])
+        return self._keep(word, [token.id for token in self._model.tokenize(spelled)])
+
+    def _whole(self, part: str) -> bytes:
+        mark = " " + part  # no word has a space, so these never meet the words
+        found = self.get(mark)
+        if found is None:
+            found = self._keep(mark, self._tokenizer.encode(part, add_special_tokens=False).ids)
         return found
 
     def of(self, text: str) -> bytes:
-        # str.split also splits at four control characters that are no white space to the library
-        parts = text.split(" ") if any(c in text for c in "\x1c\x1d\x1e\x1f") else text.split()
-        return b"".join(map(self.__getitem__, parts))
+        if "<|" not in text and is_latin(text):
+            return b"".join(map(self.__getitem__, self._words(text.lower())))
+        return b"".join(
+            [
+                self._whole(part)
+                if "<|" in part or not is_latin(part)
+                else b"".join(map(self.__getitem__, self._words(part.lower())))
+                for part in text.split(" ")
+            ]
+        )
+
+
+def is_latin(text: str) -> bool:
+    if text.isascii():
+        return True
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
 
 
 _WORD_IDS: dict[str, WordIds] = {}
