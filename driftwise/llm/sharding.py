@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from driftwise.session import stage
 
-SLICE_ROWS = 50_000
+SLICE_ROWS = 10_000
 
 
 def _ranked(rows: DataFrame, keys: list[str], piece: Column, order: list[str], name: str):
