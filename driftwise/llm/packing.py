@@ -43,6 +43,8 @@ END_ID = 1
 MAX_QUEUES = 50_000
 #: Words whose ids a worker remembers, about 150 bytes each.
 CACHE_WORDS = 800_000
+#: Places of (part, queue) that are broadcast, about 60 bytes each.
+BROADCAST_ROWS = 200_000
 
 
 class WordIds(dict):
@@ -283,14 +285,17 @@ def pack(
         rows = rows.withColumn("_queue", F.pmod(F.xxhash64("_queue"), F.lit(max_queues)).cast("string"))
     ids = tokenized(rows, tokenizer, key, text, "_queue")
     sums = ids.groupBy("part", "queue").agg(F.sum("n").alias("n"))
-    totals = {r["queue"]: r["n"] for r in sums.groupBy("queue").agg(F.sum("n").alias("n")).collect()}
+    queues = sums.groupBy("queue").agg(F.sum("n").alias("n"), F.count("*").alias("parts")).collect()
+    totals = {r["queue"]: r["n"] for r in queues}
     wanted = None if weights is None else {f"={k}": v for k, v in weights.items()}
     names, phases = schedule(totals, wanted, window)
     before = Window.partitionBy("queue").orderBy("part")
     places = sums.select(
         "part", "queue", (F.sum("n").over(before) - F.col("n")).alias("before")
     )
-    placed = ids.join(places, ["part", "queue"]).select(
+    # A row per (written part, queue); beyond the bound the ids are shuffled to their places.
+    small = sum(r["parts"] for r in queues) <= BROADCAST_ROWS
+    placed = ids.join(F.broadcast(places) if small else places, ["part", "queue"]).select(
         "doc_id", "queue", (F.col("before") + F.col("at")).alias("first"), "ids"
     )
     fields = [
