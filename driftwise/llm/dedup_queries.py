@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from driftwise.llm.decontamination import contamination
 from driftwise.llm.near_dedup import near_duplicates
-from driftwise.llm.tables import documents
+from driftwise.llm.tables import benchmark, documents
 
 OP4_SQL = r"""
 WITH RECURSIVE w AS (
@@ -40,3 +42,46 @@ FROM s LEFT JOIN classes c ON len(s.shingles) > 0 AND c.shingles = s.shingles
 
 def near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir))
+
+
+OP6_SQL = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[0-9a-z\x{80}-\x{10FFFF}]+') AS words
+  FROM documents),
+b AS (
+  SELECT item_id, regexp_extract_all(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[0-9a-z\x{80}-\x{10FFFF}]+') AS words
+  FROM benchmark),
+w AS (
+  SELECT DISTINCT item_id, least(10, len(words)) AS n,
+         array_to_string(words[i:i + least(10, len(words)) - 1], ' ') AS w
+  FROM b, unnest(range(1, len(words) - least(10, len(words)) + 2)) AS r(i)
+  WHERE len(words) > 0),
+hits AS (
+  SELECT doc_id, i, x.n, item_id FROM (
+    SELECT doc_id, i, s.n, array_to_string(words[i:i + s.n - 1], ' ') AS dw
+    FROM d, (SELECT DISTINCT n FROM w) AS s, unnest(range(1, len(words) - s.n + 2)) AS r(i)) AS x
+  JOIN w ON w.n = x.n AND w.w = x.dw),
+covered AS (
+  SELECT doc_id, count(DISTINCT i + k) AS n_hit FROM hits, unnest(range(0, n)) AS r(k) GROUP BY doc_id),
+items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS id FROM hits) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)"""
+
+
+def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination(documents(spark, sf_dir), benchmark(spark, sf_dir)).select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        "n_items",
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )

@@ -30,11 +30,12 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from driftwise.llm.components import components
+from driftwise.llm.tables import with_row_key
 from driftwise.llm.words import SPACED, constants, in_groups, mix, text_shingles, word_hashes
 from driftwise.session import stage
 
@@ -354,29 +355,11 @@ def labelled(rows: DataFrame, found: DataFrame) -> DataFrame:
     return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
-def unique_key(documents: DataFrame, key: str) -> bool:
-    """Whether no key is missing or repeated."""
-    repeated = documents.groupBy(key).agg(F.count("*").alias("n")).where(F.col(key).isNull() | (F.col("n") > 1))
-    return not repeated.take(1)
-
-
 def keep_one(
     documents: DataFrame, percent: int = PERCENT, key: str = "doc_id", text: str = "text"
 ) -> DataFrame:
-    """One row of each group, all columns unchanged: the one with the smallest key.
-
-    Missing or repeated keys cannot name a row, so such a table is first written with a
-    number for every row.
-    """
-    columns = [F.col(f"`{c}`") for c in documents.columns]
-    if unique_key(documents, key):
-        kept = near_duplicates(documents, percent, key, text).where("kept").select(
-            F.col("doc_id").alias("_kept")
-        )
-        return documents.join(kept, F.col(key) == F.col("_kept"), "left_semi")
-    by_key: Column = F.struct(F.col(key).isNull(), F.col(key), F.monotonically_increasing_id())
-    numbered = stage(documents.withColumn("_row_key", by_key), "numbered")
-    kept = near_duplicates(numbered, percent, "_row_key", text).where("kept").select(
-        F.col("doc_id").alias("_kept")
-    )
-    return numbered.join(kept, F.col("_row_key") == F.col("_kept"), "left_semi").select(*columns)
+    """One row of each group, all columns unchanged: the one with the smallest key."""
+    rows, row_key, columns = with_row_key(documents, key)
+    kept = near_duplicates(rows, percent, row_key, text).where("kept")
+    kept = kept.select(F.col("doc_id").alias("_kept"))
+    return rows.join(kept, F.col(row_key) == F.col("_kept"), "left_semi").select(*columns)

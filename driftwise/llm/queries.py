@@ -7,10 +7,12 @@ from driftwise.llm import dedup_queries, layout_queries, quality_queries
 QUERIES = {
     "op3_quality_rules": quality_queries.quality_rules,
     "op4_near_dedup": dedup_queries.near_dedup,
+    "op6_decontamination": dedup_queries.decontamination,
     "op9_sharding": layout_queries.sharding,
     "op10_packing": layout_queries.packing,
 }
 TWINS = {
     "op3_quality_rules": quality_queries.OP3_SQL,
     "op4_near_dedup": dedup_queries.OP4_SQL,
+    "op6_decontamination": dedup_queries.OP6_SQL,
 }

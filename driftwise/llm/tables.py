@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from driftwise.session import stage
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,3 +29,23 @@ def tokenizer_path(name: str) -> str:
     import public_tokenizers
 
     return public_tokenizers.path(name)
+
+
+def unique_key(rows: DataFrame, key: str) -> bool:
+    """Whether no key is missing or repeated."""
+    repeated = rows.groupBy(key).agg(F.count("*").alias("n"))
+    return not repeated.where(F.col(key).isNull() | (F.col("n") > 1)).take(1)
+
+
+def with_row_key(rows: DataFrame, key: str) -> tuple[DataFrame, str, list[Column]]:
+    """Rows with a column that names each of them, its name, and the columns of before.
+
+    Missing or repeated keys cannot name a row: such a table is first written with a number
+    for every row, so that a repeated task sees the same numbers. Rows with a key come before
+    those without, in the order of their keys.
+    """
+    columns = [F.col(f"`{c}`") for c in rows.columns]
+    if unique_key(rows, key):
+        return rows, key, columns
+    named = F.struct(F.col(key).isNull(), F.col(key), F.monotonically_increasing_id())
+    return stage(rows.withColumn("_row_key", named), "numbered"), "_row_key", columns
