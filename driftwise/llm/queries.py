@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from driftwise.llm import dedup_queries, layout_queries, quality_queries
+from driftwise.llm import dedup_queries, layout_queries, quality_queries, text_queries
 
 QUERIES = {
     "op3_quality_rules": quality_queries.quality_rules,
     "op4_near_dedup": dedup_queries.near_dedup,
     "op6_decontamination": dedup_queries.decontamination,
+    "op7_personal_data": text_queries.personal_data,
     "op9_sharding": layout_queries.sharding,
     "op10_packing": layout_queries.packing,
 }
