@@ -5,6 +5,7 @@ from __future__ import annotations
 from driftwise.llm import dedup_queries, layout_queries, quality_queries, text_queries
 
 QUERIES = {
+    "op1_extraction": text_queries.extraction,
     "op3_quality_rules": quality_queries.quality_rules,
     "op4_near_dedup": dedup_queries.near_dedup,
     "op6_decontamination": dedup_queries.decontamination,

@@ -4,9 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from driftwise.llm.extraction import extract_main_text
 from driftwise.llm.pii import find_personal_data
-from driftwise.llm.tables import documents
+from driftwise.llm.tables import documents, pages
 
 
 def personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_personal_data(documents(spark, sf_dir))
+
+
+def extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_main_text(pages(spark, sf_dir))
