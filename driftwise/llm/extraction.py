@@ -48,7 +48,7 @@ ENDS = {
 SCOPES = frozenset("ul ol dl table td th article body div section main aside nav header footer form blockquote".split())
 # Words in a class, id or role that mark a part as no article.
 BOILERPLATE = frozenset(
-    "ad ads adbox adslot advert adverts advertisement advertising alert banner breadcrumb breadcrumbs byline comment "
+    "ad ads adbox adslot advert adverts advertisement advertising alert banner breadcrumb breadcrumbs comment "
     "comments complementary consent contentinfo cookie cookies copyright dialog discussion disqus feedback footer "
     "footnav gdpr header login masthead menu menubar modal nav navbar navigation navigationbar newsletter notice "
     "notices overlay pager pagination popup promo promoted promotion recommended recommendations related replies "
@@ -59,7 +59,10 @@ BOILERPLATE = frozenset(
 FIRM = frozenset(
     "comment comments discussion disqus feedback related recommended recommendations replies reply respond responses".split()
 )
-CONTAINERS = frozenset("html body main".split())
+#: A header part named so holds the title.
+TITLED = frozenset("article content entry page post section story title".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+CONTAINERS = frozenset("html body main".split()) | HEADINGS
 
 _TAG = re.compile(
     r"""<!--.*?(?:-->|\Z)|<[!?][^<>]*>|<(?P<end>/)?(?P<name>[A-Za-z][^\s/<>]*)(?P<rest>(?:[^<>"']|"[^"]{0,9000}"|'[^']{0,9000}')*+)>""",
@@ -84,7 +87,10 @@ class Page:
         if rest and not drop and tag not in CONTAINERS:
             words = {w.lower() for m in _MARKS.finditer(rest) for w in _WORD.findall(m[2])}
             firm = bool(_HIDDEN.search(rest)) or bool(words & FIRM)
-            drop = firm or bool(words & BOILERPLATE)
+            if words & TITLED:
+                words.discard("header")
+            # an article is only dropped for what it is, not for its place in the layout
+            drop = firm or tag != "article" and bool(words & BOILERPLATE)
         if tag == "header":  # the header of an article holds its title
             node = parent
             while node > 0 and self.tag[node] not in ("article", "main"):

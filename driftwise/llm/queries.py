@@ -8,6 +8,7 @@ QUERIES = {
     "op1_extraction": text_queries.extraction,
     "op3_quality_rules": quality_queries.quality_rules,
     "op4_near_dedup": dedup_queries.near_dedup,
+    "op5_warc": text_queries.warc,
     "op6_decontamination": dedup_queries.decontamination,
     "op7_personal_data": text_queries.personal_data,
     "op9_sharding": layout_queries.sharding,

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from driftwise.llm.archives import archived
 from driftwise.llm.extraction import extract_main_text
 from driftwise.llm.pii import find_personal_data
 from driftwise.llm.tables import documents, pages
@@ -15,3 +16,9 @@ def personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_main_text(pages(spark, sf_dir))
+
+
+def warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archived(pages(spark, sf_dir)).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )

@@ -30,6 +30,7 @@ NOISE = """<html><head><title>T</title><style>p{}</style><script>var a="<p>no</p
         (f"<article><p><b>{LONG}<p>un<i>closed</article>", f"{LONG}unclosed"),
         (f"<article><p>{LONG}</p><div class='share'>Share</div><div class='comments'><p>{LONG}</p></div></article>", LONG),
         (f"<article><p>a&nbsp;&#65;&lt;b&gt; \n\t c</p><table><tr><td>1<td>2</table>{LONG}</article>", f"a A<b> c 1 2 {LONG}"),
+        (f"<article class='post widget'><div class='entry-header'><h1 class='page-header'>T</h1></div><p>{LONG}</article>", f"T {LONG}"),
         ("", ""),
     ],
 )
