@@ -6,6 +6,7 @@ from driftwise.llm import dedup_queries, layout_queries, quality_queries, text_q
 
 QUERIES = {
     "op1_extraction": text_queries.extraction,
+    "op2_token_counts": text_queries.tokens,
     "op3_quality_rules": quality_queries.quality_rules,
     "op4_near_dedup": dedup_queries.near_dedup,
     "op5_warc": text_queries.warc,

@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from driftwise.llm.archives import archived
 from driftwise.llm.extraction import extract_main_text
 from driftwise.llm.pii import find_personal_data
-from driftwise.llm.tables import documents, pages
+from driftwise.llm.tables import documents, pages, tokenizer_path
+from driftwise.llm.token_counts import token_counts
 
 
 def personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,3 +23,7 @@ def warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archived(pages(spark, sf_dir)).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
     )
+
+
+def tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(documents(spark, sf_dir), tokenizer_path("byte_bpe_50k.json"))

@@ -1,0 +1,79 @@
+"""Counts against the library, chunk maps against a sequential run."""
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import types as T
+from tokenizers import Tokenizer
+
+from driftwise.llm import token_counts as tc
+from driftwise.llm.tables import tokenizer_path
+
+PATH = tokenizer_path("byte_bpe_50k.json")
+LIBRARY = Tokenizer.from_file(PATH)
+COUNTS = tc.PretokenCounts(PATH)
+ODD = [
+    "it's we'll I'd they've 're '' 's 'S ''s !'s 5's 'r 'v 'l 'll' 'lx 're", "<|endoftext|>a <|endoftext|>  <|endo",
+    "a  b\n\n c \t\n d   ", " ' s", " x 　 y z\x85\x1c\x1d", "日本語 한국어 ½Ⅷ٣ ª é", "x" * 2000, " " * 700,
+    "\n" * 600 + "a", "-" * 500, "ÃÂ" * 300, "😀👍🏽" * 20, "aGVsbG8gd29ybGQ+/Zz09" * 30, "", "'",
+]
+
+
+def wanted(text):
+    return len(LIBRARY.encode(text, add_special_tokens=False).ids)
+
+
+@settings(max_examples=500, deadline=None)
+@given(st.lists(st.one_of(st.text(max_size=60), st.text("ab'sTrvelmd \n\t1!<|endoftx>é", max_size=80), st.sampled_from(ODD)), max_size=4))
+def test_counts_equal_the_library(texts):
+    assert tc.count_tokens(texts, COUNTS).tolist() == [wanted(t) for t in texts]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(st.characters(codec="ascii", categories=("L", "N", "P")), min_size=1, max_size=40))
+def test_transducer_equals_the_library(word):
+    assert tc.count_tokens([word], COUNTS)[0] == wanted(word)
+
+
+@pytest.mark.parametrize("chunk", [1, 2, 7, 64])
+def test_chunks_do_not_change_the_marks(monkeypatch, chunk):
+    texts = [t for t in ODD if t] + ["".join(ODD)]
+    joined, starts = tc.pretoken_starts(texts)
+    monkeypatch.setattr(tc, "CHUNK", chunk)
+    again, others = tc.pretoken_starts(texts)
+    assert joined == again and np.array_equal(starts, others)
+
+
+def test_scan_composes_in_order():
+    rng = np.random.default_rng(1)
+    maps = rng.integers(0, 12, (37, 12)).astype(np.uint8)
+    state = np.arange(12)
+    for one, all_ in zip(maps, tc.prefix_scan(maps)):
+        state = one[state]
+        assert np.array_equal(state, all_)
+
+
+def test_full_tables_are_emptied(monkeypatch):
+    for name in ("MOST_STATES", "MOST_PAIRS", "MOST_WORDS"):
+        monkeypatch.setattr(tc, name, 3)
+    small = tc.PretokenCounts(PATH)
+    assert tc.count_tokens(ODD, small).tolist() == [wanted(t) for t in ODD]
+
+
+def test_given_documents(spark, sf_dir):
+    df = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    text = {r.doc_id: r.text or "" for r in df.collect()}
+    for r in tc.token_counts(df, PATH).collect():
+        n = wanted(text[r.doc_id])
+        assert (r.n_bytes, r.n_tokens, r.over_limit) == (len(text[r.doc_id].encode()), n, n > 512)
+
+
+def test_nulls_repeats_clashing_names_and_empty_tables(spark):
+    schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType())])
+    df = spark.createDataFrame([(None, None), (1, ""), (2, "a b"), (2, "a b")], schema)
+    df = df.selectExpr("*", "1 AS n_tokens", "2 AS n_bytes", "3 AS `a.b`")
+    assert [tuple(r) for r in tc.token_counts(df, PATH).collect()] == [
+        (None, 0, 0, False), (1, 0, 0, False), (2, 3, 2, False), (2, 3, 2, False)
+    ]
+    assert tc.token_counts(df.limit(0), PATH).collect() == []
