@@ -12,6 +12,7 @@ QUERIES = {
     "op5_warc": text_queries.warc,
     "op6_decontamination": dedup_queries.decontamination,
     "op7_personal_data": text_queries.personal_data,
+    "op8_licenses": text_queries.licenses,
     "op9_sharding": layout_queries.sharding,
     "op10_packing": layout_queries.packing,
 }

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from driftwise.llm.archives import archived
 from driftwise.llm.extraction import extract_main_text
+from driftwise.llm.licenses import scan_licenses
 from driftwise.llm.pii import find_personal_data
 from driftwise.llm.tables import documents, pages, tokenizer_path
 from driftwise.llm.token_counts import token_counts
@@ -27,3 +28,7 @@ def warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(documents(spark, sf_dir), tokenizer_path("byte_bpe_50k.json"))
+
+
+def licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(documents(spark, sf_dir))
