@@ -305,4 +305,4 @@ def drop_contaminated(
     rows, row_key, columns = with_row_key(documents, key)
     found = contamination(rows, benchmark, key=row_key, text=text, **options)
     hit = found.where("n_hit > 0").select(F.col("doc_id").alias("_hit"))
-    return rows.join(hit, F.col(row_key) == F.col("_hit"), "left_anti").select(*columns)
+    return rows.join(hit, rows[row_key] == hit["_hit"], "left_anti").select(*columns)

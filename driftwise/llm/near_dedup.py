@@ -362,4 +362,4 @@ def keep_one(
     rows, row_key, columns = with_row_key(documents, key)
     kept = near_duplicates(rows, percent, row_key, text).where("kept")
     kept = kept.select(F.col("doc_id").alias("_kept"))
-    return rows.join(kept, F.col(row_key) == F.col("_kept"), "left_semi").select(*columns)
+    return rows.join(kept, rows[row_key] == kept["_kept"], "left_semi").select(*columns)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from driftwise.llm import dedup_queries, layout_queries, quality_queries, text_queries
 
 QUERIES = {
@@ -15,9 +16,12 @@ QUERIES = {
     "op8_licenses": text_queries.licenses,
     "op9_sharding": layout_queries.sharding,
     "op10_packing": layout_queries.packing,
+    "pipeline": corpus_pipeline.run,
 }
 TWINS = {
     "op3_quality_rules": quality_queries.OP3_SQL,
     "op4_near_dedup": dedup_queries.OP4_SQL,
     "op6_decontamination": dedup_queries.OP6_SQL,
 }
+if corpus_pipeline.ORACLE_SQL:
+    TWINS["pipeline"] = corpus_pipeline.ORACLE_SQL

@@ -48,4 +48,7 @@ def with_row_key(rows: DataFrame, key: str) -> tuple[DataFrame, str, list[Column
     if unique_key(rows, key):
         return rows, key, columns
     named = F.struct(F.col(key).isNull(), F.col(key), F.monotonically_increasing_id())
-    return stage(rows.withColumn("_row_key", named), "numbered"), "_row_key", columns
+    name = "_row_key"
+    while name in rows.columns:
+        name += "_"
+    return stage(rows.withColumn(name, named), "numbered"), name, columns
