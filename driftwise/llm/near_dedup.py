@@ -260,15 +260,19 @@ def node_sets(documents: DataFrame, rows: DataFrame, nodes: DataFrame, key: str,
         .select("first")
         .distinct()
     )
-    schema = T.StructType([T.StructField("node", T.BinaryType()), T.StructField("set", T.BinaryType())])
+    schema = T.StructType(
+        [T.StructField("node", T.BinaryType()), T.StructField("set", T.ArrayType(T.LongType(), False))]
+    )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, texts in _groups(batches):
             sets = _sets(texts)
+            offsets = np.concatenate(([0], np.cumsum([len(s) for s in sets])))
+            values = np.concatenate(sets).view(np.int64)
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([_fingerprint(s) for s in sets], pa.binary()),
-                    pa.array([s.tobytes() for s in sets], pa.binary()),
+                    pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values)),
                 ],
                 names=schema.fieldNames(),
             )
@@ -280,21 +284,14 @@ def node_sets(documents: DataFrame, rows: DataFrame, nodes: DataFrame, key: str,
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs whose full sets are similar enough."""
-    schema = T.StructType([T.StructField("a", T.BinaryType()), T.StructField("b", T.BinaryType())])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = []
-            for one, two in zip(batch["one"], batch["two"]):
-                x = np.frombuffer(one.as_buffer(), dtype=np.uint64)
-                y = np.frombuffer(two.as_buffer(), dtype=np.uint64)
-                common = len(x) + len(y) - len(np.union1d(x, y))
-                keep.append(100 * common >= percent * (len(x) + len(y) - common))
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-    with_one = pairs.select("a", "b").join(sets.select(F.col("node").alias("a"), F.col("set").alias("one")), "a")
-    with_both = with_one.join(sets.select(F.col("node").alias("b"), F.col("set").alias("two")), "b")
-    return with_both.select("a", "b", "one", "two").mapInArrow(run, schema)
+    one = sets.select(F.col("node").alias("a"), F.col("set").alias("one"))
+    two = sets.select(F.col("node").alias("b"), F.col("set").alias("two"))
+    common = F.size(F.array_intersect("one", "two"))
+    return (
+        pairs.select("a", "b").join(one, "a").join(two, "b")
+        .where(100 * common >= percent * (F.size("one") + F.size("two") - common))
+        .select("a", "b")
+    )
 
 
 def _best_partners(pairs: DataFrame) -> DataFrame:
