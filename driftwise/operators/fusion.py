@@ -45,7 +45,12 @@ def agreeing(df: DataFrame, predicted_class: str = "class_pred") -> DataFrame:
 
 
 def disagreeing(df: DataFrame, predicted_class: str = "class_pred") -> DataFrame:
-    return df.filter(F.col(predicted_class) != F.col("reg_direction"))
+    """All rows that do not agree, so also those without a class."""
+    return df.filter(~_agree(predicted_class))
+
+
+def _agree(predicted_class: str) -> Column:
+    return F.coalesce(F.col(predicted_class) == F.col("reg_direction"), F.lit(False))
 
 
 def rate(condition: Column) -> Column:
@@ -55,7 +60,7 @@ def rate(condition: Column) -> Column:
 
 def kpi_columns(after: str, value: str, predicted_class: str, pred: str = "fused_pred") -> list[Column]:
     """Agreement, corrected cases, errors and direction accuracy as aggregates."""
-    agrees = F.col(predicted_class) == F.col("reg_direction")
+    agrees = _agree(predicted_class)
     mae_value = F.avg(absolute_error(after, value))
     mae_fused = F.avg(absolute_error(after, pred))
     return [

@@ -15,17 +15,12 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from driftwise.operators.profile import modes
+from driftwise.operators.profile import balanced_sum, modes, quoted
 from driftwise.operators.quantiles import SMALL, exact_quantiles, medians
 
 MAX_LEVELS = 2000
 
 
-def quoted(name: str) -> Column:
-    """Column by its literal name; encoded names may hold dots."""
-    return F.col("`" + name.replace("`", "``") + "`")
-
-
 @dataclass(frozen=True)
 class Imputer:
     """Global median for numbers, most frequent value (ties: smallest) for the rest."""
@@ -44,8 +39,8 @@ class Imputer:
 
     def transform(self, df: DataFrame) -> DataFrame:
         """Imputed numbers become doubles."""
-        filled = {c: F.coalesce(F.col(c).cast("double"), F.lit(v)) for c, v in self.medians.items()}
-        filled |= {c: F.coalesce(c, F.lit(v)) for c, v in self.modes.items()}
+        filled = {c: F.coalesce(quoted(c).cast("double"), F.lit(v)) for c, v in self.medians.items()}
+        filled |= {c: F.coalesce(quoted(c), F.lit(v)) for c, v in self.modes.items()}
         return df.withColumns(filled) if filled else df
 
 
@@ -102,7 +97,7 @@ class PrincipalComponents:
     def transform(self, df: DataFrame, prefix: str = "pca_comp") -> DataFrame:
         return df.withColumns(
             {
-                f"{prefix}{i + 1}": sum((F.lit(w) * self.scaler.scaled(c) for c, w in zip(self.columns, weights)), F.lit(0.0))
+                f"{prefix}{i + 1}": balanced_sum([F.lit(w) * self.scaler.scaled(c) for c, w in zip(self.columns, weights)])
                 for i, weights in enumerate(self.loadings)
             }
         )

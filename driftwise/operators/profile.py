@@ -13,6 +13,18 @@ from pyspark.sql.types import NumericType
 from driftwise.operators.quantiles import SMALL, exact_quantiles
 
 
+def quoted(name: str) -> Column:
+    """Column by its literal name; encoded names may hold dots."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def balanced_sum(terms: list[Column]) -> Column:
+    """Sum of many terms as a tree, whose depth stays small."""
+    while len(terms) > 1:
+        terms = [terms[i] + terms[i + 1] if i + 1 < len(terms) else terms[i] for i in range(0, len(terms), 2)]
+    return terms[0]
+
+
 def numeric_columns(df: DataFrame, exclude: tuple[str, ...] = ()) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, NumericType) and f.name not in exclude]
 
@@ -28,9 +40,9 @@ def long_rows(one_row: DataFrame, structs: list[Column]) -> DataFrame:
 
 def value_counts(df: DataFrame, columns: list[str]) -> DataFrame:
     """(column, value, n) over several string columns; missing values are left out."""
-    values = df.select(*[F.col(c).cast("string").alias(c) for c in columns])
+    values = df.select(*[quoted(c).cast("string").alias(c) for c in columns])
     return (
-        values.unpivot([], columns, "column", "value")
+        values.unpivot([], [quoted(c) for c in columns], "column", "value")
         .filter("value IS NOT NULL")
         .groupBy("column", "value")
         .agg(F.count(F.lit(1)).alias("n"))
@@ -55,31 +67,31 @@ def profile(df: DataFrame, small: int = SMALL) -> DataFrame:
     if numbers:
         quartiles = exact_quantiles(df, numbers, [0.25, 0.5, 0.75], small)
         stats = []
-        for c in numbers:
-            x = F.col(c).cast("double")
+        for i, c in enumerate(numbers):
+            x = quoted(c).cast("double")
             stats.append(
                 F.struct(
-                    F.count(c).alias("count"),
+                    F.count(quoted(c)).alias("count"),
                     F.avg(x).alias("mean"),
                     F.stddev_samp(x).alias("std"),
                     F.min(x).alias("min"),
                     F.max(x).alias("max"),
-                ).alias(c)
+                ).alias(f"s{i}")
             )
         rows = [
             F.struct(
                 F.lit(c).alias("column"),
-                F.col(c)["count"].alias("count"),
+                F.col(f"s{i}")["count"].alias("count"),
                 F.lit(None).cast("long").alias("unique"),
                 F.lit(None).cast("string").alias("top"),
                 F.lit(None).cast("long").alias("freq"),
-                F.col(c)["mean"].alias("mean"),
-                F.col(c)["std"].alias("std"),
-                F.col(c)["min"].alias("min"),
+                F.col(f"s{i}")["mean"].alias("mean"),
+                F.col(f"s{i}")["std"].alias("std"),
+                F.col(f"s{i}")["min"].alias("min"),
                 *[F.lit(q).cast("double").alias(name) for q, name in zip(quartiles[c], ("q25", "q50", "q75"))],
-                F.col(c)["max"].alias("max"),
+                F.col(f"s{i}")["max"].alias("max"),
             )
-            for c in numbers
+            for i, c in enumerate(numbers)
         ]
         parts.append(long_rows(df.agg(*stats), rows))
     if strings:
@@ -100,8 +112,8 @@ def profile(df: DataFrame, small: int = SMALL) -> DataFrame:
 
 def missing_counts(df: DataFrame) -> DataFrame:
     """(column, missing) for the columns that have any."""
-    counts = df.agg(*[F.count(F.when(F.col(c).isNull(), 1)).alias(c) for c in df.columns])
-    rows = [F.struct(F.lit(c).alias("column"), F.col(c).alias("missing")) for c in df.columns]
+    counts = df.agg(*[F.count(F.when(quoted(c).isNull(), 1)).alias(f"n{i}") for i, c in enumerate(df.columns)])
+    rows = [F.struct(F.lit(c).alias("column"), F.col(f"n{i}").alias("missing")) for i, c in enumerate(df.columns)]
     return long_rows(counts, rows).filter("missing > 0")
 
 

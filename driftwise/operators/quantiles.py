@@ -14,14 +14,32 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import FractionalType, IntegralType
 
 # Rows per column that one task may hold for the built-in exact aggregate.
 SMALL = 200_000
 ACCURACY = 10_000
 
 
+def known(df: DataFrame, column: str) -> Column:
+    """The column as a number, NaN as missing. Whole numbers keep all their digits."""
+    kind = df.schema[column].dataType
+    value = F.col(f"`{column}`")
+    if isinstance(kind, IntegralType):
+        return value.cast("long")
+    if isinstance(kind, FractionalType):
+        value = value.cast("double")
+        return F.when(~F.isnan(value), value)
+    return value.cast("double")
+
+
+def known_counts(df: DataFrame, columns: list[str]) -> dict[str, int]:
+    row = df.agg(*[F.count(known(df, c)).alias(f"n{i}") for i, c in enumerate(columns)]).first()
+    return {c: row[f"n{i}"] for i, c in enumerate(columns)}
+
+
 @dataclass
 class _Search:
     """One wanted rank (0-based, among non-missing values) and the open interval that holds it."""
@@ -30,18 +48,19 @@ class _Search:
     rank: int
     below: int  # rows at or under the interval's lower end
     inside: int  # rows strictly within the interval
-    low: float | None = None
-    high: float | None = None
-    value: float | None = None
-
-    def candidates(self) -> str:
-        """SQL for the column value where it may be the answer, else missing."""
-        tests = [f"`{self.column}` IS NOT NULL"]
+    low: float | int | None = None
+    high: float | int | None = None
+    value: float | int | None = None
+
+    def candidates(self, df: DataFrame) -> Column:
+        """The column value where it may be the answer, else missing."""
+        x = known(df, self.column)
+        test = x.isNotNull()
         if self.low is not None:
-            tests.append(f"`{self.column}` > {self.low!r}D")
+            test = test & (x > F.lit(self.low))
         if self.high is not None:
-            tests.append(f"`{self.column}` < {self.high!r}D")
-        return f"CASE WHEN {' AND '.join(tests)} THEN CAST(`{self.column}` AS DOUBLE) END"
+            test = test & (x < F.lit(self.high))
+        return F.when(test, x)
 
     def fraction(self) -> float:
         return (self.rank - self.below + 0.5) / self.inside
@@ -56,12 +75,12 @@ def _narrow(df: DataFrame, searches: list[_Search]) -> None:
     step = 2.0 / ACCURACY
     near = [sorted({min(1.0, max(0.0, s.fraction() + d)) for s in group for d in (-step, 0.0, step)}) for group in members]
     sketches = df.agg(
-        *[F.percentile_approx(F.expr(g[0].candidates()), p, ACCURACY).alias(f"p{i}") for i, (g, p) in enumerate(zip(members, near))]
+        *[F.percentile_approx(g[0].candidates(df), p, ACCURACY).alias(f"p{i}") for i, (g, p) in enumerate(zip(members, near))]
     ).first()
     pivots = [sorted(set(sketches[f"p{i}"])) for i in range(len(members))]
 
-    def counts_at(column: str, values: list[float]):
-        x = F.col(column)
+    def counts_at(column: str, values: list):
+        x = known(df, column)
         return F.array(*[F.count(F.when(test, 1)) for v in values for test in (x < v, x <= v)])
 
     counts = df.agg(*[counts_at(g[0].column, pivots[i]).alias(f"c{i}") for i, g in enumerate(members)]).first()
@@ -71,13 +90,13 @@ def _narrow(df: DataFrame, searches: list[_Search]) -> None:
             _place(s, pivots[i], under, through)
 
 
-def _place(s: _Search, pivots: list[float], under: list[int], through: list[int]) -> None:
+def _place(s: _Search, pivots: list, under: list[int], through: list[int]) -> None:
     """Settle the rank on a pivot or keep the gap between two pivots that holds it."""
     lower = [(s.low, s.below), *zip(pivots, through)]
     upper = [*zip(pivots, under), (s.high, s.below + s.inside)]
     for value, first, end in zip(pivots, under, through):
         if first <= s.rank < end:
-            s.value = float(value)
+            s.value = value
             return
     for (low, below), (high, upto) in zip(lower, upper):
         if below <= s.rank < upto:
@@ -87,28 +106,34 @@ def _place(s: _Search, pivots: list[float], under: list[int], through: list[int]
 
 def order_statistics(
     df: DataFrame, wanted: dict[str, list[int]], small: int = SMALL, totals: dict[str, int] | None = None
-) -> dict[tuple[str, int], float]:
-    """Value at each 0-based rank of each column, missing values left out."""
+) -> dict[tuple[str, int], float | int]:
+    """Value at each 0-based rank of each column, missing values and NaN left out."""
     columns = [c for c in wanted if wanted[c]]
     if not columns:
         return {}
-    totals = totals or df.agg(*[F.count(c).alias(c) for c in columns]).first().asDict()
+    totals = totals or known_counts(df, columns)
     searches = [_Search(c, r, 0, totals[c]) for c in columns for r in wanted[c]]
     for s in searches:
         if not 0 <= s.rank < s.inside:
             raise ValueError(f"rank {s.rank} is outside column {s.column} with {s.inside} values")
-    while large := [s for s in searches if s.value is None and s.inside > small]:
+    # The built-in exact aggregate gives doubles, so whole numbers are narrowed to the end.
+    whole = {c for c in columns if isinstance(df.schema[c].dataType, IntegralType)}
+    while large := [s for s in searches if s.value is None and (s.inside > small or s.column in whole)]:
         _narrow(df, large)
     left = [s for s in searches if s.value is None]
     if left:
-        row = df.agg(
-            *[
-                F.expr(f"percentile_disc({s.fraction()!r}D) WITHIN GROUP (ORDER BY {s.candidates()})").alias(f"v{i}")
-                for i, s in enumerate(left)
-            ]
-        ).first()
+        row = (
+            df.select(*[s.candidates(df).alias(f"c{i}") for i, s in enumerate(left)])
+            .agg(
+                *[
+                    F.expr(f"percentile_disc({s.fraction()!r}D) WITHIN GROUP (ORDER BY c{i})").alias(f"v{i}")
+                    for i, s in enumerate(left)
+                ]
+            )
+            .first()
+        )
         for i, s in enumerate(left):
-            s.value = float(row[f"v{i}"])
+            s.value = row[f"v{i}"]
     return {(s.column, s.rank): s.value for s in searches}
 
 
@@ -116,18 +141,20 @@ def exact_quantiles(
     df: DataFrame, columns: list[str], probabilities: list[float], small: int = SMALL
 ) -> dict[str, list[float | None]]:
     """Quantiles by linear interpolation between neighbours; None for an all-missing column."""
-    totals = df.agg(*[F.count(c).alias(c) for c in columns]).first().asDict()
+    totals = known_counts(df, columns)
     if max(totals.values()) <= small:
         wanted = F.array(*[F.lit(float(p)) for p in probabilities])
-        row = df.agg(*[F.percentile(c, wanted).alias(c) for c in columns]).first()
-        return {c: list(row[c]) if row[c] else [None] * len(probabilities) for c in columns}
+        row = df.agg(*[F.percentile(known(df, c), wanted).alias(f"q{i}") for i, c in enumerate(columns)]).first()
+        return {c: list(row[f"q{i}"] or [None] * len(probabilities)) for i, c in enumerate(columns)}
     positions = {c: [p * (totals[c] - 1) for p in probabilities] for c in columns if totals[c]}
     ranks = {c: sorted({r for x in xs for r in (math.floor(x), math.ceil(x))}) for c, xs in positions.items()}
     values = order_statistics(df, ranks, small, totals)
 
     def at(c: str, x: float) -> float:
-        low, high = values[c, math.floor(x)], values[c, math.ceil(x)]
-        return low + (high - low) * (x - math.floor(x))
+        below, above = math.floor(x), math.ceil(x)
+        low, high = float(values[c, below]), float(values[c, above])
+        # equal neighbours may be infinite
+        return low if low == high else (above - x) * low + (x - below) * high
 
     return {c: [at(c, x) for x in positions[c]] if c in positions else [None] * len(probabilities) for c in columns}
 

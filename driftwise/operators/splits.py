@@ -31,9 +31,16 @@ def strata_of(df: DataFrame, by: str) -> list:
     return sorted(found, key=lambda v: (v is not None, v))
 
 
+def _refuse(lacking: Column) -> Column:
+    """Rows without a key share one place in the hash order, where no cut can part them."""
+    return F.raise_error(F.concat(lacking.cast("string"), F.lit(" rows have no key"))).cast("long")
+
+
 def _cut_rows(keyed: DataFrame, ranks: Callable[[Column], Sequence[Column]]) -> DataFrame:
     """(stratum, edges): the (hash, key) of the row at each 1-based cut rank, missing at rank 0."""
-    counts = keyed.groupBy("_stratum", "_prefix").agg(F.count(F.lit(1)).alias("_n"))
+    counts = keyed.groupBy("_stratum", "_prefix").agg(
+        F.count(F.lit(1)).alias("_n"), F.count(F.when(F.col("_key").isNull(), 1)).alias("_lacking")
+    )
     # At most 16^digits rows per stratum, whatever the size of the table.
     ahead = Window.partitionBy("_stratum").orderBy("_prefix").rowsBetween(Window.unboundedPreceding, -1)
     cuts = list(ranks(F.col("_total")))
@@ -42,8 +49,10 @@ def _cut_rows(keyed: DataFrame, ranks: Callable[[Column], Sequence[Column]]) ->
             {
                 "_start": F.coalesce(F.sum("_n").over(ahead), F.lit(0)),
                 "_total": F.sum("_n").over(Window.partitionBy("_stratum")),
+                "_lacking": F.sum("_lacking").over(Window.partitionBy("_stratum")),
             }
         )
+        .withColumn("_total", F.when(F.col("_lacking") == 0, F.col("_total")).otherwise(_refuse(F.col("_lacking"))))
         .select(
             "_stratum", "_prefix", "_start", "_n", F.posexplode(F.array(*[c.cast("long") for c in cuts])).alias("_cut", "_rank")
         )
@@ -63,6 +72,18 @@ def _cut_rows(keyed: DataFrame, ranks: Callable[[Column], Sequence[Column]]) ->
     )
 
 
+def _position(by: str | None, labels: Sequence) -> Column:
+    """Position of the label, -1 for one that is not listed. A missing label is a label like any other."""
+    found = F.lit(-1)
+    named = [(label, i) for i, label in enumerate(labels) if label is not None]
+    if named:
+        lookup = F.create_map(*[F.lit(x) for pair in named for x in pair])
+        found = F.coalesce(lookup[F.col(by)], F.lit(-1))
+    if None in list(labels):
+        found = F.when(F.col(by).isNull(), F.lit(list(labels).index(None))).otherwise(found)
+    return found
+
+
 @dataclass(frozen=True)
 class HashCuts:
     """Fitted cuts: per stratum the (hash, key) at each cut, None where a cut lies before the first row.
@@ -92,12 +113,8 @@ class HashCuts:
         """``ranks`` turns the number of rows (of a stratum) into ascending 1-based cut ranks."""
         labels = [] if by is None else list(strata) if strata is not None else strata_of(df, by)
         hashed = order_hash(seed, key)
-        # Strata travel as their position, so that a missing label is a stratum like any other.
-        stratum = F.lit(-1)
-        for i, label in enumerate(labels):
-            stratum = F.when(F.col(by).eqNullSafe(F.lit(label)), i).otherwise(stratum)
         keyed = df.select(
-            stratum.alias("_stratum"),
+            _position(by, labels).alias("_stratum"),
             F.col(key).alias("_key"),
             hashed.alias("_hash"),
             F.substring(hashed, 1, digits).alias("_prefix"),
@@ -109,21 +126,23 @@ class HashCuts:
         }
         return cls(key, seed, by, labels, edges, len(list(ranks(F.lit(0)))))
 
-    def _part(self, stratum: int) -> Column:
-        hashed, key = order_hash(self.seed, self.key), F.col(self.key)
-        part = F.lit(0)
-        for edge in self.edges.get(stratum, [None] * self.n_cuts):
-            if edge is None:
-                part = part + F.lit(1)
-            else:
-                part = part + ((hashed > edge[0]) | ((hashed == edge[0]) & (key > F.lit(edge[1])))).cast("int")
-        return part
-
     def transform(self, df: DataFrame, part: str = "part") -> DataFrame:
-        """Add the part: 0 up to the first cut, 1 up to the second, and so on."""
-        value = self._part(-1)
-        for i, label in enumerate(self.strata):
-            value = F.when(F.col(self.by).eqNullSafe(F.lit(label)), self._part(i)).otherwise(value)
+        """Add the part: 0 up to the first cut, 1 up to the second, and so on.
+
+        The cuts of all strata are one array that the stratum's position looks up, so their
+        number does not deepen the expression.
+        """
+        place = F.struct(order_hash(self.seed, self.key).alias("h"), F.col(self.key).alias("k"))
+        kind = df.schema[self.key].dataType
+        position = _position(self.by, self.strata) + 1
+        value = F.lit(0)
+        for cut in range(self.n_cuts):
+            found = [self.edges.get(i, [None] * self.n_cuts)[cut] for i in range(-1, len(self.strata))]
+            # the empty text lies before every hash: a cut before the first row
+            edges = [
+                F.struct(F.lit(e[0] if e else "").alias("h"), F.lit(e[1] if e else None).cast(kind).alias("k")) for e in found
+            ]
+            value = value + (place > (F.get(F.array(*edges), position) if len(edges) > 1 else edges[0])).cast("int")
         return df.withColumn(part, value)
 
 
@@ -178,12 +197,19 @@ def stratified_folds(
     return cut_by_hash(df, key, seed, _fold_ranks(k), by, strata, part=name)
 
 
+def hash_folds(df: DataFrame, k: int, key: str, seed: int | str, name: str = "fold") -> DataFrame:
+    """k folds of equal size (within one row) over the shuffled rows."""
+    return cut_by_hash(df, key, seed, _fold_ranks(k), part=name)
+
+
 def contiguous_folds(df: DataFrame, k: int, key: str, name: str = "fold") -> DataFrame:
-    """k folds of neighbouring keys; ``key`` is numeric and unique."""
-    total = df.agg(F.count(key)).first()[0]
+    """k folds of neighbouring keys; ``key`` is numeric, unique and never missing."""
+    total, missing = df.agg(F.count(key), F.count(F.when(F.col(key).isNull(), 1))).first()
+    if missing:
+        raise ValueError(f"{missing} rows have no {key}")
     ranks = [i * (total // k) + min(i, total % k) - 1 for i in range(1, k)]
     edges = order_statistics(df, {key: sorted({r for r in ranks if r >= 0})}, totals={key: total})
-    beyond = [(F.col(key) > edges[key, r]).cast("int") if r >= 0 else F.lit(1) for r in ranks]
+    beyond = [(F.col(key) > F.lit(edges[key, r])).cast("int") if r >= 0 else F.lit(1) for r in ranks]
     return df.withColumn(name, sum(beyond, F.lit(0)))
 
 

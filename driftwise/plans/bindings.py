@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from driftwise.functions.scalar import Directions, direction, floor_at_zero
+from driftwise.functions.scalar import Directions, direction, floor_at_zero, nan_to_null
 from driftwise.operators.ranges import default_ranges, range_edges, with_range
 from driftwise.session import stage
 
@@ -38,7 +38,7 @@ SCHEMAS = {
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
+    return nan_to_null(spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet"))
 
 
 def _policies(orders: DataFrame, lineitem: DataFrame) -> DataFrame:

@@ -26,7 +26,7 @@ def write_delimited(df: DataFrame, path: str, sep: str = ";") -> None:
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+    return nan_to_null(spark.read.parquet(path))
 
 
 def write_table(df: DataFrame, path: str) -> None:
