@@ -78,9 +78,5 @@ def nan_to_null(df: DataFrame) -> DataFrame:
     """Spark orders NaN above every number and equal to itself, so a NaN would flip
     the rules above; missing values must arrive as NULL."""
     floats = {f.name for f in df.schema.fields if isinstance(f.dataType, (DoubleType, FloatType))}
-    return df.select(
-        *[
-            F.when(F.isnan(c), F.lit(None)).otherwise(F.col(c)).alias(c) if c in floats else F.col(c)
-            for c in df.columns
-        ]
-    )
+    by_name = {c: F.col("`" + c.replace("`", "``") + "`") for c in df.columns}
+    return df.select(*[F.when(~F.isnan(x), x).alias(c) if c in floats else x for c, x in by_name.items()])

@@ -109,16 +109,19 @@ def order_statistics(
 ) -> dict[tuple[str, int], float | int]:
     """Value at each 0-based rank of each column, missing values and NaN left out."""
     columns = [c for c in wanted if wanted[c]]
+    whole = [c for c in columns if isinstance(df.schema[c].dataType, IntegralType)]
+    found = {}
+    for c in whole:
+        found |= {(c, r): v for r, v in _whole_statistics(df, c, wanted[c], small).items()}
+    columns = [c for c in columns if c not in whole]
     if not columns:
-        return {}
+        return found
     totals = totals or known_counts(df, columns)
     searches = [_Search(c, r, 0, totals[c]) for c in columns for r in wanted[c]]
     for s in searches:
         if not 0 <= s.rank < s.inside:
             raise ValueError(f"rank {s.rank} is outside column {s.column} with {s.inside} values")
-    # The built-in exact aggregate gives doubles, so whole numbers are narrowed to the end.
-    whole = {c for c in columns if isinstance(df.schema[c].dataType, IntegralType)}
-    while large := [s for s in searches if s.value is None and (s.inside > small or s.column in whole)]:
+    while large := [s for s in searches if s.value is None and s.inside > small]:
         _narrow(df, large)
     left = [s for s in searches if s.value is None]
     if left:
@@ -134,7 +137,30 @@ def order_statistics(
         )
         for i, s in enumerate(left):
             s.value = row[f"v{i}"]
-    return {(s.column, s.rank): s.value for s in searches}
+    return found | {(s.column, s.rank): s.value for s in searches}
+
+
+def _whole_statistics(df: DataFrame, column: str, ranks: list[int], small: int) -> dict[int, int]:
+    """Whole numbers by doubles that hold them exactly: counted from the smallest, or, where they
+    span more than 2^53, first by their upper 33 bits and then by the lower 31."""
+    x = known(df, column)
+    low, high = df.agg(F.min(x), F.max(x)).first()
+    if low is None:
+        raise ValueError(f"column {column} has no values")
+    if high - low < 1 << 53:
+        shifted = df.select((x - F.lit(low)).cast("double").alias("x"))
+        found = order_statistics(shifted, {"x": ranks}, small)
+        return {r: int(found["x", r]) + low for r in ranks}
+    upper, lower = F.shiftright(x, 31), x.bitwiseAND(F.lit((1 << 31) - 1))
+    uppers = order_statistics(df.select(upper.cast("double").alias("x")), {"x": ranks}, small)
+    out = {}
+    for value in sorted(set(uppers.values())):
+        own = [r for r in ranks if uppers["x", r] == value]
+        below = df.filter(upper < F.lit(int(value))).count()
+        rest = df.filter(upper == F.lit(int(value))).select(lower.cast("double").alias("x"))
+        found = order_statistics(rest, {"x": [r - below for r in own]}, small)
+        out |= {r: (int(value) << 31) + int(found["x", r - below]) for r in own}
+    return out
 
 
 def exact_quantiles(

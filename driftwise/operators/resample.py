@@ -1,10 +1,8 @@
-"""Bootstrap, jitter and banded draws, every one a function of (seed, key)."""
+"""Bootstrap and jitter, each a function of (seed, key)."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
-from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -72,26 +70,3 @@ def jitter(df: DataFrame, scales: dict[str, float], key: str, seed: int | str, f
             if c in df.columns
         }
     )
-
-
-@dataclass(frozen=True)
-class Shares:
-    """Values and their probabilities."""
-
-    values: tuple[int, ...]
-    shares: tuple[float, ...]
-
-    def pick(self, u: Column) -> Column:
-        bounds = [round(x, 12) for x in accumulate(self.shares)]
-        value = F.lit(self.values[-1])
-        for v, bound in reversed(list(zip(self.values[:-1], bounds[:-1]))):
-            value = F.when(u < bound, v).otherwise(value)
-        return value
-
-
-def banded_draw(u: Column, bands: Sequence[tuple[Column, Shares]], otherwise: Shares) -> Column:
-    """Draw from the first band whose condition holds; an unknown condition does not hold."""
-    value = otherwise.pick(u)
-    for condition, shares in reversed(list(bands)):
-        value = F.when(condition, shares.pick(u)).otherwise(value)
-    return value

@@ -21,6 +21,8 @@ from driftwise.functions.hashing import order_hash
 from driftwise.operators.quantiles import order_statistics
 
 MAX_STRATA = 1000
+#: More strata than this are looked up in a table instead of an expression.
+FEW_STRATA = 32
 
 
 def strata_of(df: DataFrame, by: str) -> list:
@@ -75,15 +77,18 @@ def _cut_rows(keyed: DataFrame, ranks: Callable[[Column], Sequence[Column]]) ->
 def _position(by: str | None, labels: Sequence) -> Column:
     """Position of the label, -1 for one that is not listed. A missing label is a label like any other."""
     found = F.lit(-1)
-    named = [(label, i) for i, label in enumerate(labels) if label is not None]
-    if named:
-        lookup = F.create_map(*[F.lit(x) for pair in named for x in pair])
-        found = F.coalesce(lookup[F.col(by)], F.lit(-1))
-    if None in list(labels):
-        found = F.when(F.col(by).isNull(), F.lit(list(labels).index(None))).otherwise(found)
+    for i, label in enumerate(labels):
+        found = F.when(F.col(by).eqNullSafe(F.lit(label)), i).otherwise(found)
     return found
 
 
+def _looked_up(df: DataFrame, by: str, labels: Sequence, values: list, kind: str, name: str) -> DataFrame:
+    """The value of each label from a table of at most MAX_STRATA rows, null for other labels."""
+    schema = f"_label {df.schema[by].dataType.simpleString()}, {name} {kind}"
+    table = df.sparkSession.createDataFrame(list(zip(labels, values)), schema)
+    return df.join(F.broadcast(table), F.col(by).eqNullSafe(F.col("_label")), "left").drop("_label")
+
+
 @dataclass(frozen=True)
 class HashCuts:
     """Fitted cuts: per stratum the (hash, key) at each cut, None where a cut lies before the first row.
@@ -113,8 +118,12 @@ class HashCuts:
         """``ranks`` turns the number of rows (of a stratum) into ascending 1-based cut ranks."""
         labels = [] if by is None else list(strata) if strata is not None else strata_of(df, by)
         hashed = order_hash(seed, key)
+        position = _position(by, labels if len(labels) <= FEW_STRATA else [])
+        if len(labels) > FEW_STRATA:
+            df = _looked_up(df, by, labels, list(range(len(labels))), "int", "_position")
+            position = F.coalesce("_position", F.lit(-1))
         keyed = df.select(
-            _position(by, labels).alias("_stratum"),
+            position.alias("_stratum"),
             F.col(key).alias("_key"),
             hashed.alias("_hash"),
             F.substring(hashed, 1, digits).alias("_prefix"),
@@ -129,20 +138,31 @@ class HashCuts:
     def transform(self, df: DataFrame, part: str = "part") -> DataFrame:
         """Add the part: 0 up to the first cut, 1 up to the second, and so on.
 
-        The cuts of all strata are one array that the stratum's position looks up, so their
-        number does not deepen the expression.
+        A projection for few strata; many are looked up in a small table, so that their number
+        does not deepen the expression.
         """
-        place = F.struct(order_hash(self.seed, self.key).alias("h"), F.col(self.key).alias("k"))
         kind = df.schema[self.key].dataType
-        position = _position(self.by, self.strata) + 1
-        value = F.lit(0)
-        for cut in range(self.n_cuts):
-            found = [self.edges.get(i, [None] * self.n_cuts)[cut] for i in range(-1, len(self.strata))]
+        place = F.struct(order_hash(self.seed, self.key).alias("h"), F.col(self.key).alias("k"))
+
+        def cuts(stratum: int) -> list[tuple]:
             # the empty text lies before every hash: a cut before the first row
-            edges = [
-                F.struct(F.lit(e[0] if e else "").alias("h"), F.lit(e[1] if e else None).cast(kind).alias("k")) for e in found
-            ]
-            value = value + (place > (F.get(F.array(*edges), position) if len(edges) > 1 else edges[0])).cast("int")
+            return [e or ("", None) for e in self.edges.get(stratum, [None] * self.n_cuts)]
+
+        def edge(e: tuple) -> Column:
+            return F.struct(F.lit(e[0]).alias("h"), F.lit(e[1]).cast(kind).alias("k"))
+
+        def beyond(edges: list[Column]) -> Column:
+            return sum(((place > e).cast("int") for e in edges), F.lit(0))
+
+        rest = beyond([edge(e) for e in cuts(-1)])
+        if len(self.strata) > FEW_STRATA:
+            shape = f"array<struct<h:string,k:{kind.simpleString()}>>"
+            found = _looked_up(df, self.by, self.strata, [cuts(i) for i in range(len(self.strata))], shape, "_edges")
+            value = beyond([F.get("_edges", F.lit(j)) for j in range(self.n_cuts)])
+            return found.withColumn(part, F.when(F.col("_edges").isNull(), rest).otherwise(value)).drop("_edges")
+        value = rest
+        for i, label in enumerate(self.strata):
+            value = F.when(F.col(self.by).eqNullSafe(F.lit(label)), beyond([edge(e) for e in cuts(i)])).otherwise(value)
         return df.withColumn(part, value)
 
 

@@ -11,15 +11,13 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from driftwise.functions.scalar import Directions, direction, floor_at_zero, nan_to_null
-from driftwise.operators.ranges import default_ranges, range_edges, with_range
-from driftwise.session import stage
+from driftwise.operators.ranges import with_ordered_range
+from driftwise.session import stage_once
 
 CLASSES = Directions()
 
 # A customer above this many orders leaves the one-sort-per-customer path.
 HOT_CUSTOMER_ORDERS = 5_000_000
-HOT_KEYS = 1_000
-SKETCH_ITEMS = 100_000
 
 CARRIED = {"prior_id": "o_orderkey", "pct_before": "pct", "premium_before": "o_totalprice", "insured_before": "insured"}
 
@@ -75,15 +73,16 @@ def _with_previous(policies: DataFrame) -> DataFrame:
 def _with_previous_by_range(policies: DataFrame, ranges: int | None = None) -> DataFrame:
     """The same lag for customers too large for one task.
 
-    Their timeline is cut into ranges of similar size. Inside a range the lag is local;
-    the first row of a range takes the last row of that customer's latest earlier range
-    from a table with one row per (customer, range).
+    Their timeline is cut into ranges of similar size by (time, key), missing times first, so
+    that one instant with many orders is cut too. Inside a range the lag is local; the first
+    row of a range takes the last row of that customer's latest earlier range from a table
+    with one row per (customer, range).
     """
     date = F.col("o_orderdate")
-    # Whole seconds read off the calendar fields, free of time zones.
-    second = F.unix_date(date.cast("date")) * 86400 + F.hour(date) * 3600 + F.minute(date) * 60 + F.second(date)
-    timed = policies.withColumn("_second", second.cast("double"))
-    rows = with_range(timed, "_second", range_edges(timed, "_second", ranges or default_ranges(policies)), "_range")
+    # Microseconds read off the calendar fields, free of time zones; a double holds them exactly.
+    second = F.unix_date(date.cast("date")) * 86400 + F.hour(date) * 3600 + F.minute(date) * 60
+    micro = second.cast("double") * 1e6 + F.round(F.extract(F.lit("SECOND"), date).cast("double") * 1e6)
+    rows = with_ordered_range(policies.withColumn("_time", micro), "_time", "o_orderkey", "_range", ranges)
     stamp = F.struct("o_orderdate", "o_orderkey")
     carried = F.struct(*[F.col(c).alias(name) for name, c in CARRIED.items()])
     lasts = rows.groupBy("o_custkey", "_range").agg(F.max_by(carried, stamp).alias("_last"))
@@ -99,13 +98,9 @@ _hot_customers: dict[tuple, list[int]] = {}
 
 
 def hot_customers(orders: DataFrame, hot_orders: int = HOT_CUSTOMER_ORDERS) -> list[int]:
-    """Customers above the threshold, from a mergeable frequent-items sketch: one scan, no shuffle.
-
-    At most HOT_KEYS keys come back, which bounds what is broadcast below. The list only
-    decides how a customer is processed, so an estimate is enough.
-    """
-    found = orders.agg(F.expr(f"approx_top_k(o_custkey, {HOT_KEYS}, {SKETCH_ITEMS})")).first()[0]
-    return [r["item"] for r in found if r["count"] > hot_orders]
+    """Customers above the threshold; there can be no more than orders / threshold of them."""
+    counts = orders.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n"))
+    return [r[0] for r in counts.filter(F.col("n") > hot_orders).select("o_custkey").collect() if r[0] is not None]
 
 
 def renewals(spark: SparkSession, sf_dir: str, hot_orders: int = HOT_CUSTOMER_ORDERS) -> DataFrame:
@@ -121,7 +116,7 @@ def renewals(spark: SparkSession, sf_dir: str, hot_orders: int = HOT_CUSTOMER_OR
         keys = F.broadcast(spark.createDataFrame([(k,) for k in hot], "key bigint"))
         regular = policies.join(keys, F.col("o_custkey") == F.col("key"), "left_anti")
         large = policies.join(keys, F.col("o_custkey") == F.col("key"), "left_semi")
-        # At most HOT_KEYS customer rows.
+        # One customer row per hot key.
         few = F.broadcast(customers.join(keys, F.col("c_custkey") == F.col("key"), "left_semi"))
         chained = _of_customers(_with_previous(regular), customers).unionByName(
             _of_customers(_with_previous_by_range(large), few)
@@ -176,7 +171,7 @@ def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def staged_scores(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     """Only the named columns, written once, for operators that read their input several times."""
-    return stage(scored(spark, sf_dir).select(*columns), "scores")
+    return stage_once(spark, ("scores", sf_dir, *columns), lambda: scored(spark, sf_dir).select(*columns))
 
 
 def complete(df: DataFrame) -> DataFrame:

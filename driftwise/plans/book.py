@@ -1,6 +1,6 @@
-"""The whole run over one before/after table: augment, prepare, select, fit, score, fuse, evaluate.
+"""The whole run over one before/after table: prepare, select, fit, score, fuse, evaluate.
 
-    python -m driftwise.plans.book --csv SEED.csv --out FOLDER --rows 200000
+    python -m driftwise.plans.book --csv BOOK.csv --out FOLDER
 
 Everything a step learns is learned from training rows unless ``fit_on="all"``; figures
 are reported for train, test and all rows side by side.
@@ -15,8 +15,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from driftwise.functions.hashing import uniform
-from driftwise.functions.scalar import Directions, absolute_error, clamp, difference, direction, guarded_ratio, residual
+from driftwise.functions.scalar import Directions, absolute_error, difference, direction, guarded_ratio, residual
 from driftwise.operators import classification as cls
 from driftwise.operators import curves
 from driftwise.operators import regression as reg
@@ -25,32 +24,13 @@ from driftwise.operators.fusion import with_fusion
 from driftwise.operators.kpis import kpi_table
 from driftwise.operators.prep import Imputer, OneHot, PrincipalComponents, quantile_bin, quantile_edges
 from driftwise.operators.profile import class_share, mean_by_segment, missing_counts, numeric_columns, other_columns, profile
-from driftwise.operators.resample import Shares, banded_draw, bootstrap, jitter, noise_scales
 from driftwise.operators.ridge import RidgeModel, ridge_search
 from driftwise.operators.selection import select_by_cells, select_by_trees
-from driftwise.operators.splits import contiguous_folds, exact_sample, random_split, stratified_folds, stratified_split
+from driftwise.operators.splits import exact_sample, hash_folds, random_split, stratified_folds, stratified_split
 from driftwise.session import stage
 from driftwise.sources.tables import read_delimited, without_identifiers, write_table
 
 
-@dataclass(frozen=True)
-class Bands:
-    """Thresholds and outcome shares of the simulated change."""
-
-    score: str
-    premium: str
-    high_score: float
-    high_premium: float
-    low_score: float
-    low_premium: float
-    raise_: Shares
-    lower: Shares
-    steady: Shares
-    # Used where a column is absent, not where a value is missing.
-    absent_score: float = 500.0
-    absent_premium: float = 1000.0
-
-
 @dataclass(frozen=True)
 class BookSpec:
     """Roles of the columns of a before/after table."""
@@ -65,16 +45,12 @@ class BookSpec:
     segment: str | None = None
     segment_names: tuple[str, ...] = ("low", "middle", "high")
     names: Directions = Directions()
-    jittered: tuple[str, ...] = ()
-    floor_names: tuple[str, ...] = ()
-    bands: Bands | None = None
 
     def not_features(self) -> tuple[str, ...]:
         return (self.key, *self.identifiers, self.after, self.label, "split")
 
 
-# Fixed values of the insurance commission book: column names, label names, jittered
-# columns, floor rule, bands and outcome shares.
+# Fixed values of the insurance commission book: column names and label names.
 COMMISSION_SCHEMA = """
     apolice double, apl_renovada1 double, item_renovado bigint, pct_comiss_depois double,
     cod_corretor_depois bigint, is_casco_depois double, Cod_prod_antes bigint, bonus_antes bigint,
@@ -89,7 +65,7 @@ COMMISSION_SCHEMA = """
     Score_Serasa_depois double, Score_RF_depois double, Score_Sinistro_depois double, filial_antes string
 """
 COMMISSION_BOOK = BookSpec(
-    key="draw",
+    key="row_key",
     before="pct_comiss_antes",
     after="pct_comiss_depois",
     label="target_class",
@@ -99,53 +75,15 @@ COMMISSION_BOOK = BookSpec(
     segment="Premio_antes",
     segment_names=("Baixo Ticket", "Medio Ticket", "Alto Ticket"),
     names=Directions(up="Aumentou", down="Diminuiu", keep="Manteve"),
-    jittered=(
-        "Premio_depois", "Premio_antes", "Premio_proposto", "ajuste_medio", "mudanca_premio", "ajuste_preco", "ajuste_is",
-        "Score_Autoglass_antes", "Score_Serasa_antes", "Score_RF_antes", "Score_Sinistro_antes", "Score_Autoglass_depois",
-        "Score_Serasa_depois", "Score_RF_depois", "Score_Sinistro_depois",
-    ),
-    floor_names=("Premio", "Score"),
-    bands=Bands(
-        score="Score_Serasa_antes",
-        premium="Premio_antes",
-        high_score=700,
-        high_premium=1800,
-        low_score=600,
-        low_premium=1300,
-        raise_=Shares((0, 1, 2, 3), (0.1, 0.3, 0.4, 0.2)),
-        lower=Shares((-3, -2, -1, 0), (0.3, 0.4, 0.2, 0.1)),
-        steady=Shares((-1, 0, 1), (0.2, 0.6, 0.2)),
-    ),
 )
 PERSONAL = ("cpf_cnpj",)
 
 
-def augment(df: DataFrame, spec: BookSpec, n: int, seed: int = 42) -> DataFrame:
-    """n bootstrapped rows with jittered columns, a simulated new value and its label."""
-    # The seed has no key of its own, and copies of a row must not share one. Writing the
-    # generated ids once keeps them the same in every later pass.
-    keyed = stage(df.withColumn("_row_key", F.monotonically_increasing_id()), "seed")
-    drawn = bootstrap(keyed, n, "_row_key", seed, spec.key).drop("_row_key")
-    noisy = jitter(drawn, noise_scales(df, list(spec.jittered)), spec.key, seed, spec.floor_names)
-    if spec.bands:
-        noisy = noisy.withColumn(spec.after, simulated_value(noisy, spec, uniform(f"{seed}:band", spec.key)))
-    return noisy.withColumn(spec.label, direction(spec.before, spec.after, spec.names))
-
-
-def simulated_value(df: DataFrame, spec: BookSpec, u: Column) -> Column:
-    """Old value plus a banded draw, kept within 0 and 40."""
-    b = spec.bands
-    score = F.col(b.score) if b.score in df.columns else F.lit(b.absent_score)
-    premium = F.col(b.premium) if b.premium in df.columns else F.lit(b.absent_premium)
-    change = banded_draw(
-        u,
-        [
-            ((score > b.high_score) & (premium > b.high_premium), b.raise_),
-            ((score < b.low_score) | (premium < b.low_premium), b.lower),
-        ],
-        b.steady,
-    )
-    return clamp(F.col(spec.before) + change, 0, 40)
+def labelled(df: DataFrame, spec: BookSpec) -> DataFrame:
+    """The table with a key and the label, written once. Rows of a file have no key of their
+    own; a written number stays the same in every later pass."""
+    keyed = df if spec.key in df.columns else df.withColumn(spec.key, F.monotonically_increasing_id())
+    return stage(keyed.withColumn(spec.label, direction(spec.before, spec.after, spec.names)), "book")
 
 
 @dataclass(frozen=True)
@@ -210,14 +148,15 @@ def run(
     trees: Sequence[int] = (50,),
     depths: Sequence[int] = (10,),
     alphas: Sequence[float] = (0.1, 1.0, 10.0),
-    search_rows: int = 40_000,
+    search_rows: int | None = None,
     fit_on: str = "train",
 ) -> BookRun:
     """Fit both models on a labelled table and score every row of it.
 
     ``df`` is a table that can be read again cheaply; a derived one should be staged first.
     Features are selected on all training rows unless ``scorer_rows`` asks for a sample, as
-    the ``trees`` scorer should: it fits a tree per candidate and round.
+    the ``trees`` scorer should: it fits a tree per candidate and round. The forest's grid is
+    searched on all training rows unless ``search_rows`` bounds it.
     """
     classes = spec.names.names()
     rows = stratified_split(df, 0.8, spec.label, spec.key, seed, classes)
@@ -231,12 +170,12 @@ def run(
     selected = select_by(halves, preparation.features, spec.label, classes, "selection_split", select)
     chosen = [name for _, name, _ in selected]
 
-    sample = exact_sample(train, search_rows, spec.key, f"{seed}:search")
+    sample = exact_sample(train, search_rows, spec.key, f"{seed}:search") if search_rows else train
     folds = stage(stratified_folds(sample, 3, spec.label, spec.key, f"{seed}:folds", classes), "grid")
     grid = forest_grid(folds, chosen, spec.label, classes, "fold", trees, depths, seed)
     forest = fit_forest(train, chosen, spec.label, classes, grid[0][0], grid[0][1], seed)
 
-    search = ridge_search(contiguous_folds(train, 3, spec.key), preparation.features, spec.after, "fold", 3, alphas)
+    search = ridge_search(hash_folds(train, 3, spec.key, f"{seed}:ridge"), preparation.features, spec.after, "fold", 3, alphas)
     predicted = search.model.transform(forest.transform(prepared))
     output = with_fusion(predicted, spec.before, spec.after, "reg_pred", "class_pred", spec.names)
     return BookRun(preparation, selected, grid, forest, search.model, search.scores, stage(output, "output"))
@@ -265,7 +204,7 @@ def write_reports(result: BookRun, raw: DataFrame, out: str) -> None:
         "areas": curves.areas(test, label, p),
         "reliability": cls.reliability_bins(test, label, p),
         "hexagons": reg.hexagon_counts(test, spec.after, "reg_pred"),
-        "qq": reg.qq_points(test, residual(spec.after, "reg_pred"), spec.key, 42),
+        "qq": reg.qq_points(test, residual(spec.after, "reg_pred"), spec.key, 42, 3000),
         "residuals": reg.residuals_by_fitted(test, spec.after, "reg_pred"),
         "surface": reg.density_grid(rows, "reg_pred", "fused_pred"),
     }
@@ -280,7 +219,7 @@ def main(argv: Sequence[str] | None = None) -> None:
     arguments = argparse.ArgumentParser(description=__doc__)
     arguments.add_argument("--csv", required=True)
     arguments.add_argument("--out", required=True)
-    arguments.add_argument("--rows", type=int, default=200_000)
+    arguments.add_argument("--search-rows", type=int, help="sample size for the forest grid; all training rows if absent")
     arguments.add_argument("--seed", type=int, default=42)
     arguments.add_argument("--select", type=int, default=15)
     arguments.add_argument("--scorer", choices=["cells", "trees"], default="cells")
@@ -288,10 +227,12 @@ def main(argv: Sequence[str] | None = None) -> None:
     arguments.add_argument("--fit-on", choices=["train", "all"], default="train")
     given = arguments.parse_args(argv)
     spark = SparkSession.builder.appName("driftwise").getOrCreate()
-    seed_rows = without_identifiers(read_delimited(spark, given.csv, COMMISSION_SCHEMA), drop=PERSONAL)
-    write_table(augment(seed_rows, COMMISSION_BOOK, given.rows, given.seed), f"{given.out}/augmented")
-    book = spark.read.parquet(f"{given.out}/augmented")
-    result = run(book, COMMISSION_BOOK, given.seed, given.select, given.scorer, given.scorer_rows, fit_on=given.fit_on)
+    rows = without_identifiers(read_delimited(spark, given.csv, COMMISSION_SCHEMA), drop=PERSONAL)
+    book = labelled(rows, COMMISSION_BOOK)
+    result = run(
+        book, COMMISSION_BOOK, given.seed, given.select, given.scorer, given.scorer_rows,
+        search_rows=given.search_rows, fit_on=given.fit_on,
+    )
     write_table(result.output, f"{given.out}/output")
     write_reports(result, book, given.out)
 

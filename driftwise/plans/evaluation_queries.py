@@ -273,7 +273,7 @@ _QUANTILE = (
     f" ELSE sign(p - 0.5::DOUBLE) * {_polynomial(normal.TAIL_OVER, 'r2')} / {_polynomial(normal.TAIL_UNDER, 'r2')} END"
 )
 QQ = f"""
-drawn AS (SELECT policy_id, pct_after - reg_pred AS ordered FROM complete ORDER BY {hash_order("11")} LIMIT 3000),
+drawn AS (SELECT policy_id, pct_after - reg_pred AS ordered FROM complete),
 medians AS (
   SELECT row_number() OVER (ORDER BY ordered, policy_id) AS rank, ordered, count(*) OVER () AS n FROM drawn),
 shares AS (
@@ -285,10 +285,10 @@ qq AS (SELECT rank, ordered, {_QUANTILE} AS theoretical FROM radii)"""
 
 
 def _qq(spark, sf_dir):
-    return reg.qq_points(complete(staged_scores(spark, sf_dir, "policy_id", "pct_after", "reg_pred")), residual("pct_after", "reg_pred"), "policy_id", "11")
+    return reg.qq_points(complete(staged_scores(spark, sf_dir, "policy_id", "pct_after", "reg_pred")), residual("pct_after", "reg_pred"), "policy_id")
 
 
-@query("qq_points", over(SCORED, QQ, select="SELECT CAST(rank AS INTEGER) AS rank, round(theoretical, 6) AS theoretical, round(ordered, 6) AS ordered FROM qq"))
+@query("qq_points", over(SCORED, QQ, select="SELECT CAST(rank AS BIGINT) AS rank, round(theoretical, 6) AS theoretical, round(ordered, 6) AS ordered FROM qq"))
 def qq_points(spark, sf_dir):
     return rounded(_qq(spark, sf_dir), 6, "theoretical", "ordered")
 

@@ -281,12 +281,13 @@ _KPI_SQL = {
     + ") / 3",
     "rmse": "sqrt(avg(pow(pct_after - reg_pred, 2)))",
     "mae": "avg(abs(pct_after - reg_pred))",
+    "log10_mape": "log10(avg(abs(pct_after - reg_pred) / greatest(abs(pct_after), 2.220446049250313e-16::DOUBLE)))",
     "rmsle": "sqrt(avg(pow(ln(1 + pct_after) - ln(1 + reg_pred), 2)))",
     "r2": "1 - sum(pow(pct_after - reg_pred, 2)) / (var_pop(pct_after) * count(*))",
     "r2_adj": "1 - (sum(pow(pct_after - reg_pred, 2)) / (var_pop(pct_after) * count(*))) * (count(*) - 1) / (count(*) - 7)",
     "n_rows": "count(*)",
     "agreement_rate": "avg(CASE WHEN class_pred = reg_direction THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END)",
-    "discordant": "count(CASE WHEN class_pred <> reg_direction THEN 1 END)",
+    "discordant": "count(CASE WHEN coalesce(class_pred = reg_direction, false) THEN NULL ELSE 1 END)",
     "mae_reg": "avg(abs(pct_after - reg_pred))",
     "mae_fused": "avg(abs(pct_after - fused_pred))",
     "mae_gain": "avg(abs(pct_after - reg_pred)) - avg(abs(pct_after - fused_pred))",
@@ -303,8 +304,13 @@ def all_kpis(spark, sf_dir) -> DataFrame:
     table = kpi_table(
         split_rows(spark, sf_dir), "pct_before", "pct_after", "reg_pred", "class_true", "class_pred", probabilities(), 6
     )
-    # On whole percentages with zeros the relative error is an explosion by definition; it has its own query.
-    return table.filter("metric <> 'mape'")
+    # On whole percentages with zeros the relative error explodes; its logarithm can be compared.
+    is_mape = F.col("metric") == "mape"
+    return table.select(
+        F.when(is_mape, "log10_mape").otherwise(F.col("metric")).alias("metric"),
+        "split",
+        F.when(is_mape, F.log10("value")).otherwise(F.col("value")).alias("value"),
+    )
 
 
 @query("kpi_table", over(FUSED, SPLIT, select=_KPI_ROWS))

@@ -10,22 +10,30 @@ from driftwise.operators import classification as cls
 from driftwise.operators import selection
 from driftwise.operators.forest import class_weight_table, fit_forest, fit_tree, forest_grid
 from driftwise.operators.kpis import kpi_table
+from driftwise.operators.prep import Imputer
 from driftwise.operators.ridge import fit_ridge, ridge_search
-from driftwise.operators.splits import contiguous_folds, exact_sample, random_split, stratified_folds, stratified_split
-from driftwise.plans.bindings import CLASSES, complete, probabilities, scored
+from driftwise.operators.splits import hash_folds, random_split, stratified_folds, stratified_split
+from driftwise.plans.bindings import CLASSES, probabilities, renewals, scored
+from driftwise.plans.book import BookSpec, labelled, run
 from driftwise.plans.catalog import query
 from driftwise.plans.fusion_queries import rounded
-from driftwise.plans.prep_queries import FEATURES
-from driftwise.plans.twins import SCORED, hash_order, over
-from driftwise.session import stage
+from driftwise.plans.prep_queries import FEATURES, filled
+from driftwise.plans.twins import FILLED, hash_order, over
+from driftwise.session import stage, stage_once
 
 NAMES = CLASSES.names()
 BINS = 4
 
 
-def _complete(spark, sf_dir, spread: bool = False) -> DataFrame:
-    """Model input, written once: cuts and fits pass over it many times."""
-    return stage(complete(scored(spark, sf_dir)).select("policy_id", "class_true", "pct_after", *FEATURES), "complete", spread)
+_fits: dict[tuple, object] = {}
+
+
+def _fitted(spark, sf_dir, name: str, make):
+    """A model is fitted once per session and table and shared by the queries that report on it."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _fits:
+        _fits[key] = make()
+    return _fits[key]
 
 
 # Feature selection ----------------------------------------------------------------------
@@ -42,8 +50,8 @@ _BIN_ROWS = " UNION ALL ".join(
 SELECTION = f"""
 parts AS (
   SELECT *, row_number() OVER (ORDER BY {hash_order("42")}) > count(*) OVER () - ceil(0.3::DOUBLE * count(*) OVER ()) AS held_out
-  FROM complete),
-edges AS (SELECT {_EDGES} FROM complete),
+  FROM filled),
+edges AS (SELECT {_EDGES} FROM filled),
 binned AS ({_BIN_ROWS}),
 overall AS (SELECT class_true AS c FROM parts WHERE NOT held_out GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1),
 cell0 AS (SELECT policy_id, 0 AS cell FROM parts)"""
@@ -72,16 +80,16 @@ cell{i} AS (
 
 
 def _selection_rows(spark, sf_dir) -> DataFrame:
-    return random_split(_complete(spark, sf_dir), 0.3, "policy_id", "42")
+    return random_split(filled(spark, sf_dir), 0.3, "policy_id", "42")
 
 
-@query("candidate_scores", over(SCORED, SELECTION, _round_sql(1), select="SELECT candidate, round(accuracy, 6) AS accuracy FROM rated1"))
+@query("candidate_scores", over(FILLED, SELECTION, _round_sql(1), select="SELECT candidate, round(accuracy, 6) AS accuracy FROM rated1"))
 def candidate_scores(spark, sf_dir):
     binned = selection.bin_columns(_selection_rows(spark, sf_dir), FEATURES, BINS, ["class_true", "split"])
     return rounded(selection.cell_scores(binned, "class_true", "split", NAMES, BINS, [], FEATURES), 6, "accuracy")
 
 
-@query("best_candidate", over(SCORED, SELECTION, _round_sql(1), select="SELECT candidate, round(accuracy, 6) AS accuracy FROM pick1"))
+@query("best_candidate", over(FILLED, SELECTION, _round_sql(1), select="SELECT candidate, round(accuracy, 6) AS accuracy FROM pick1"))
 def best_candidate(spark, sf_dir):
     binned = selection.bin_columns(_selection_rows(spark, sf_dir), FEATURES, BINS, ["class_true", "split"])
     scores = selection.cell_scores(binned, "class_true", "split", NAMES, BINS, [], FEATURES)
@@ -95,22 +103,22 @@ def _picked(spark, picks) -> DataFrame:
 @query(
     "forward_selection",
     over(
-        SCORED,
+        FILLED,
         SELECTION,
-        *[_round_sql(i) for i in (1, 2, 3)],
-        select=" UNION ALL ".join(f"SELECT {i} AS round, candidate, round(accuracy, 6) AS accuracy FROM pick{i}" for i in (1, 2, 3)),
+        *[_round_sql(i + 1) for i in range(len(FEATURES))],
+        select=" UNION ALL ".join(f"SELECT {i + 1} AS round, candidate, round(accuracy, 6) AS accuracy FROM pick{i + 1}" for i in range(len(FEATURES))),
     ),
 )
 def forward_selection(spark, sf_dir):
     rows = _selection_rows(spark, sf_dir)
-    picks = selection.select_by_cells(rows, FEATURES, "class_true", NAMES, "split", 3, BINS)
+    picks = selection.select_by_cells(rows, FEATURES, "class_true", NAMES, "split", len(FEATURES), BINS)
     return rounded(_picked(spark, picks), 6, "accuracy")
 
 
 @query("forward_selection_by_trees")
 def forward_selection_by_trees(spark, sf_dir):
     rows = _selection_rows(spark, sf_dir)
-    return _picked(spark, selection.select_by_trees(rows, FEATURES, "class_true", NAMES, "split", 2))
+    return _picked(spark, selection.select_by_trees(rows, FEATURES, "class_true", NAMES, "split", 3))
 
 
 # Classifiers ----------------------------------------------------------------------------
@@ -119,7 +127,7 @@ def forward_selection_by_trees(spark, sf_dir):
 @query(
     "class_weights",
     over(
-        SCORED,
+        FILLED,
         select="""SELECT class_true, round(sum(count(*)) OVER ()::DOUBLE / (count(*) OVER () * count(*)), 6) AS weight
 FROM scored GROUP BY class_true""",
     ),
@@ -129,7 +137,13 @@ def class_weights(spark, sf_dir):
 
 
 def _split_by_class(spark, sf_dir) -> DataFrame:
-    return stratified_split(_complete(spark, sf_dir, spread=True), 0.8, "class_true", "policy_id", "42", NAMES)
+    return stratified_split(stage_once(spark, ("spread", sf_dir), lambda: filled(spark, sf_dir), spread=True), 0.8, "class_true", "policy_id", "42", NAMES)
+
+
+def _forest(spark, sf_dir):
+    return _fitted(
+        spark, sf_dir, "forest", lambda: fit_forest(_train(_split_by_class(spark, sf_dir)), FEATURES, "class_true", NAMES)
+    )
 
 
 def _train(df: DataFrame) -> DataFrame:
@@ -146,7 +160,7 @@ def tree_predictions(spark, sf_dir):
 STUMP = """
 sides AS (
   SELECT cut, pct_before > cut AS beyond, class_true, count(*)::DOUBLE AS n
-  FROM complete, (SELECT DISTINCT pct_before AS cut FROM complete) GROUP BY 1, 2, 3),
+  FROM filled, (SELECT DISTINCT pct_before AS cut FROM filled) GROUP BY 1, 2, 3),
 impurity AS (
   SELECT cut, sum(total - squares / total) AS gini
   FROM (SELECT cut, beyond, sum(n) AS total, sum(n * n) AS squares FROM sides GROUP BY 1, 2) GROUP BY cut),
@@ -159,43 +173,40 @@ leaves AS (
 @query(
     "tree_stump",
     over(
-        SCORED,
+        FILLED,
         STUMP,
-        select="""SELECT policy_id, l.class_pred FROM complete c, best JOIN leaves l ON true WHERE l.beyond = (c.pct_before > cut)""",
+        select="""SELECT policy_id, l.class_pred FROM filled c, best JOIN leaves l ON true WHERE l.beyond = (c.pct_before > cut)""",
     ),
 )
 def tree_stump(spark, sf_dir):
     """A tree of one split on a column of few values, whose best Gini cut SQL can search."""
-    rows = _complete(spark, sf_dir)
+    rows = filled(spark, sf_dir)
     model = fit_tree(rows, ["pct_before"], "class_true", NAMES, depth=1)
     return model.transform(rows.select("policy_id", "pct_before")).select("policy_id", "class_pred")
 
 
 @query("forest_predictions")
 def forest_predictions(spark, sf_dir):
-    rows = _split_by_class(spark, sf_dir)
-    model = fit_forest(_train(rows), FEATURES, "class_true", NAMES)
+    rows, model = _split_by_class(spark, sf_dir), _forest(spark, sf_dir)
     return model.transform(rows).select("policy_id", "split", "class_true", "class_pred", "p_down", "p_keep", "p_up")
 
 
 @query("forest_metrics")
 def forest_metrics(spark, sf_dir):
-    rows = _split_by_class(spark, sf_dir)
-    model = fit_forest(_train(rows), FEATURES, "class_true", NAMES)
+    rows, model = _split_by_class(spark, sf_dir), _forest(spark, sf_dir)
     return cls.summary(model.transform(rows), "class_true", "class_pred", probabilities(), ("split",))
 
 
 @query("forest_importances")
 def forest_importances(spark, sf_dir):
-    rows = _train(_split_by_class(spark, sf_dir))
-    return fit_forest(rows, FEATURES, "class_true", NAMES).importance_table(rows, 10)
+    return _forest(spark, sf_dir).importance_table(filled(spark, sf_dir), 10)
 
 
 @query("forest_grid")
 def forest_grid_search(spark, sf_dir):
-    """Three stratified folds of at most 40,000 training rows; the sample is part of the search."""
-    sample = exact_sample(_train(_split_by_class(spark, sf_dir)), 40_000, "policy_id", "42")
-    folds = stage(stratified_folds(sample, 3, "class_true", "policy_id", "43", NAMES), "grid", spread=True)
+    """Three stratified folds of all training rows."""
+    train = _train(_split_by_class(spark, sf_dir))
+    folds = stage(stratified_folds(train, 3, "class_true", "policy_id", "43", NAMES), "grid", spread=True)
     rated = forest_grid(folds, FEATURES, "class_true", NAMES, "fold")
     return spark.createDataFrame(rated, "trees int, depth int, accuracy double")
 
@@ -204,19 +215,19 @@ def forest_grid_search(spark, sf_dir):
 
 
 def _ridge_rows(spark, sf_dir) -> DataFrame:
-    return random_split(_complete(spark, sf_dir), 0.2, "policy_id", "42")
+    return random_split(filled(spark, sf_dir), 0.2, "policy_id", "42")
 
 
 @query(
     "ridge_closed_form",
     over(
-        SCORED,
+        FILLED,
         """
 s AS (
   SELECT count(*) * covar_pop(pct_before, pct_before) + 1 AS a, count(*) * covar_pop(pct_before, insured_before) AS b,
          count(*) * covar_pop(insured_before, insured_before) + 1 AS d, count(*) * covar_pop(pct_before, pct_after) AS u,
          count(*) * covar_pop(insured_before, pct_after) AS v, avg(pct_before) AS m1, avg(insured_before) AS m2, avg(pct_after) AS my
-  FROM complete),
+  FROM filled),
 solved AS (SELECT (u * d - v * b) / (a * d - b * b) AS w1, (a * v - b * u) / (a * d - b * b) AS w2, m1, m2, my FROM s)""",
         select="""SELECT 'pct_before' AS term, round(w1, 6) AS weight FROM solved UNION ALL SELECT 'insured_before', round(w2, 6) FROM solved
 UNION ALL SELECT 'intercept', round(my - w1 * m1 - w2 * m2, 6) FROM solved""",
@@ -224,72 +235,85 @@ UNION ALL SELECT 'intercept', round(my - w1 * m1 - w2 * m2, 6) FROM solved""",
 )
 def ridge_closed_form(spark, sf_dir):
     """Two features at alpha 1, where SQL can solve the normal equations."""
-    rows = stage(complete(scored(spark, sf_dir)).select("pct_before", "insured_before", "pct_after"), "values")
+    rows = filled(spark, sf_dir)
     model = fit_ridge(rows, ["pct_before", "insured_before"], "pct_after", 1.0)
     terms = [*zip(model.features, model.weights), ("intercept", model.intercept)]
     return rounded(spark.createDataFrame(terms, "term string, weight double"), 6, "weight")
 
 
-PAIR = ["pct_before", "insured_before"]
-
-# Normal equations of two features per (held-out fold, alpha), and the fit on all folds (f = 3).
-PAIR_FITS = """
-rows AS (
-  SELECT policy_id, pct_before AS x, insured_before AS z, pct_after AS y, ntile(3) OVER (ORDER BY policy_id) - 1 AS fold FROM complete),
-sums AS (
-  SELECT f, alpha, count(*) * covar_pop(x, x) + alpha AS a, count(*) * covar_pop(x, z) AS b, count(*) * covar_pop(z, z) + alpha AS d,
-         count(*) * covar_pop(x, y) AS u, count(*) * covar_pop(z, y) AS v, avg(x) AS mx, avg(z) AS mz, avg(y) AS my
-  FROM rows JOIN (VALUES (0), (1), (2), (3)) AS t(f) ON fold <> f, (VALUES (0.1::DOUBLE), (1.0::DOUBLE), (10.0::DOUBLE)) AS s(alpha)
-  GROUP BY f, alpha),
-fits AS (
-  SELECT f, alpha, (u * d - v * b) / (a * d - b * b) AS w1, (a * v - b * u) / (a * d - b * b) AS w2, mx, mz, my FROM sums),
+def _ridge_sql() -> str:
+    """Normal equations of all features per (held-out fold, alpha), solved by elimination; the
+    fit on all folds has f = 3. Folds are cut from the shuffled training rows."""
+    n = range(len(FEATURES))
+    entries = [f"count(*) * covar_pop({a}, {b})" + (" + alpha" if i == j else "") + f" AS a{i}{j}"
+               for i, a in enumerate(FEATURES) for j, b in enumerate(FEATURES) if i <= j]
+    right = [f"count(*) * covar_pop({a}, pct_after) AS b{i}, avg({a}) AS m{i}" for i, a in enumerate(FEATURES)]
+    steps = []
+    for k in n[:-1]:
+        changed = [f"a{i}{j} - a{k}{i} * a{k}{j} / a{k}{k} AS a{i}{j}" for i in n for j in n if k < i <= j]
+        changed += [f"b{i} - a{k}{i} * b{k} / a{k}{k} AS b{i}" for i in n if i > k]
+        steps.append(f"\nstep{k + 1} AS (SELECT * REPLACE ({', '.join(changed)}) FROM step{k})")
+    source = f"step{len(FEATURES) - 1}"
+    for i in reversed(n):
+        known = "".join(f" - a{i}{j} * w{j}" for j in n if j > i)
+        steps.append(f"\nweight{i} AS (SELECT *, (b{i}{known}) / a{i}{i} AS w{i} FROM {source})")
+        source = f"weight{i}"
+    value = "my + " + " + ".join(f"w{i} * ({c} - m{i})" for i, c in enumerate(FEATURES))
+    return f"""
+parts AS (
+  SELECT *, CASE WHEN row_number() OVER (ORDER BY {hash_order("42")})
+                      <= count(*) OVER () - ceil(0.2::DOUBLE * count(*) OVER ()) THEN 'train' ELSE 'test' END AS split FROM filled),
+folded AS (SELECT *, ntile(3) OVER (ORDER BY {hash_order("43")}) - 1 AS fold FROM parts WHERE split = 'train'),
+step0 AS (
+  SELECT f, alpha, {", ".join([*entries, *right])}, avg(pct_after) AS my
+  FROM folded JOIN (VALUES (0), (1), (2), (3)) AS t(f) ON fold <> f, (VALUES (0.1::DOUBLE), (1.0::DOUBLE), (10.0::DOUBLE)) AS s(alpha)
+  GROUP BY f, alpha),{",".join(steps)},
 rated AS (
-  SELECT f, alpha, 1 - sum(pow(y - my - w1 * (x - mx) - w2 * (z - mz), 2)) / (var_pop(y) * count(*)) AS r2
-  FROM rows JOIN fits ON fold = f GROUP BY f, alpha),
-grid AS (SELECT alpha, avg(r2) AS r2 FROM rated GROUP BY alpha)"""
+  SELECT f, alpha, 1 - sum(pow(pct_after - ({value}), 2)) / (var_pop(pct_after) * count(*)) AS r2
+  FROM folded JOIN {source} ON fold = f GROUP BY f, alpha),
+grid AS (SELECT alpha, avg(r2) AS r2 FROM rated GROUP BY alpha),
+best AS (SELECT w.* FROM {source} w JOIN (SELECT alpha FROM grid ORDER BY r2 DESC LIMIT 1) USING (alpha) WHERE f = 3),
+predicted AS (
+  SELECT policy_id, split, pct_after, CASE WHEN p < 0 THEN 0 ELSE p END AS reg_pred
+  FROM (SELECT policy_id, split, pct_after, {value} AS p FROM parts, best))"""
 
 
-def _pair_search(rows: DataFrame):
-    return ridge_search(contiguous_folds(rows, 3, "policy_id"), PAIR, "pct_after", "fold")
+RIDGE = _ridge_sql()
 
 
-@query("ridge_grid_of_pair", over(SCORED, PAIR_FITS, select="SELECT alpha, round(r2, 8) AS r2 FROM grid"))
-def ridge_grid_of_pair(spark, sf_dir):
-    """The grid search on two features, where SQL can solve every fold."""
-    scores = _pair_search(_complete(spark, sf_dir)).scores
-    return rounded(spark.createDataFrame(list(scores.items()), "alpha double, r2 double"), 8, "r2")
+def _ridge(spark, sf_dir):
+    def made():
+        train = hash_folds(_train(_ridge_rows(spark, sf_dir)), 3, "policy_id", "43")
+        return ridge_search(train, FEATURES, "pct_after", "fold")
+
+    return _fitted(spark, sf_dir, "ridge", made)
 
 
 @query(
-    "ridge_predictions_of_pair",
-    over(
-        SCORED,
-        PAIR_FITS,
-        "\nbest AS (SELECT fits.* FROM fits JOIN (SELECT alpha FROM grid ORDER BY r2 DESC LIMIT 1) USING (alpha) WHERE f = 3)",
-        select="""SELECT policy_id, round(CASE WHEN p < 0 THEN 0 ELSE p END, 6) AS reg_pred
-FROM (SELECT policy_id, my + w1 * (x - mx) + w2 * (z - mz) AS p FROM rows, best)""",
-    ),
+    "ridge_grid",
+    over(FILLED, RIDGE, select="SELECT alpha, round(r2, 8) AS r2, alpha = (SELECT alpha FROM best) AS best FROM grid"),
 )
-def ridge_predictions_of_pair(spark, sf_dir):
-    rows = _complete(spark, sf_dir)
-    return rounded(_pair_search(rows).model.transform(rows).select("policy_id", "reg_pred"), 6, "reg_pred")
-
-
-@query("ridge_grid")
 def ridge_grid(spark, sf_dir):
-    train = contiguous_folds(_train(_ridge_rows(spark, sf_dir)), 3, "policy_id")
-    search = ridge_search(train, FEATURES, "pct_after", "fold")
+    search = _ridge(spark, sf_dir)
     rows = [(a, r2, a == search.model.alpha) for a, r2 in search.scores.items()]
-    return spark.createDataFrame(rows, "alpha double, r2 double, best boolean")
+    return rounded(spark.createDataFrame(rows, "alpha double, r2 double, best boolean"), 8, "r2")
 
 
-@query("ridge_predictions")
+@query(
+    "ridge_predictions",
+    over(
+        FILLED,
+        RIDGE,
+        select="""SELECT policy_id, split, round(pct_after, 6) AS pct_after, round(reg_pred, 6) AS reg_pred,
+  round(pct_after - reg_pred, 6) AS residual FROM predicted""",
+    ),
+)
 def ridge_predictions(spark, sf_dir):
-    rows = _ridge_rows(spark, sf_dir)
-    search = ridge_search(contiguous_folds(_train(rows), 3, "policy_id"), FEATURES, "pct_after", "fold")
-    return search.model.transform(rows).select(
+    predicted = _ridge(spark, sf_dir).model.transform(_ridge_rows(spark, sf_dir))
+    found = predicted.select(
         "policy_id", "split", "pct_after", "reg_pred", residual("pct_after", "reg_pred").alias("residual")
     )
+    return rounded(found, 6, "pct_after", "reg_pred", "residual")
 
 
 # Both models fused ----------------------------------------------------------------------
@@ -298,11 +322,41 @@ def ridge_predictions(spark, sf_dir):
 @query("fitted_kpis")
 def fitted_kpis(spark, sf_dir):
     """Forest and ridge fitted on the same training rows, fused and rated on train, test and all rows."""
-    rows = _split_by_class(spark, sf_dir)
-    forest = fit_forest(_train(rows), FEATURES, "class_true", NAMES)
-    folds = contiguous_folds(_train(rows), 3, "policy_id")
+    rows, forest = _split_by_class(spark, sf_dir), _forest(spark, sf_dir)
+    folds = hash_folds(_train(rows), 3, "policy_id", "43")
     ridge = ridge_search(folds, FEATURES, "pct_after", "fold").model
     predicted = ridge.transform(forest.transform(rows))
     return kpi_table(
         predicted, "pct_before", "pct_after", "reg_pred", "class_true", "class_pred", probabilities(), len(FEATURES)
     ).select("metric", "split", F.col("value"))
+
+
+# The whole run -------------------------------------------------------------------------
+
+
+RENEWAL_BOOK = BookSpec(
+    key="policy_id",
+    before="pct_before",
+    after="pct_after",
+    label="class_true",
+    identifiers=("prior_policy_id", "party_id"),
+    ratios={"ratio_premium": ("premium_after", "premium_before")},
+    differences={"diff_insured": ("insured_after", "insured_before")},
+    segment="premium_before",
+    names=CLASSES,
+)
+
+
+@query("renewal_run")
+def renewal_run(spark, sf_dir):
+    """Impute, derive, reduce, encode, select, fit, score and fuse, over every renewal."""
+
+    def made():
+        rows = labelled(renewals(spark, sf_dir), RENEWAL_BOOK)
+        # The old and new value are no features, so their gaps are filled here.
+        values = Imputer.fit(rows, [RENEWAL_BOOK.before, RENEWAL_BOOK.after], [])
+        return run(values.transform(rows), RENEWAL_BOOK, trees=(20,))
+
+    return _fitted(spark, sf_dir, "run", made).output.select(
+        "policy_id", "split", "class_pred", "reg_pred", "fused_pred", "reg_direction", "fused_direction"
+    )

@@ -6,14 +6,15 @@ from pyspark.sql import functions as F
 
 from driftwise.operators.classification import one_vs_rest
 from driftwise.operators.prep import Imputer, OneHot, PrincipalComponents, Standardizer, code_label, label_code
-from driftwise.plans.bindings import CLASSES, complete, probabilities, renewals, scored
+from driftwise.plans import twins
+from driftwise.plans.bindings import CLASSES, probabilities, renewals, scored
 from driftwise.plans.catalog import query
 from driftwise.plans.fusion_queries import rounded
-from driftwise.plans.twins import LONG, RENEWALS, SCORED, over
-from driftwise.session import stage
+from driftwise.plans.twins import FILLED, LONG, RENEWALS, SCORED, over
+from driftwise.session import stage, stage_once
 
 FEATURES = ["pct_before", "premium_before", "premium_after", "insured_before", "insured_after", "score"]
-GAPPY = ["pct_before", "pct_after", "insured_before", "insured_after"]
+GAPPY = list(twins.GAPPY)
 
 
 @query(
@@ -66,50 +67,88 @@ def standardize(spark, sf_dir):
     return rounded(Standardizer.fit(df, FEATURES).transform(df), 5, *FEATURES)
 
 
-@query("pca_components")
-def pca_components(spark, sf_dir):
-    df = stage(complete(scored(spark, sf_dir)).select("policy_id", *FEATURES), "components")
-    return PrincipalComponents.fit(df, FEATURES, 2).transform(df).select("policy_id", "pca_comp1", "pca_comp2")
+def filled(spark, sf_dir):
+    """Every renewal with its label and gaps filled by medians, written once per session."""
+
+    def made():
+        rows = stage(scored(spark, sf_dir).select("policy_id", "class_true", "pct_after", *FEATURES), "labelled")
+        return Imputer.fit(rows, GAPPY, []).transform(rows)
+
+    return stage_once(spark, ("filled", sf_dir), made)
+
+
+def _vector(of: str, matrix: str, squarings: int = 24) -> str:
+    """Leading eigenvector of the matrix in CTE ``matrix``: squared again and again and scaled by
+    its trace, the matrix tends to the projection on it, even if the next one is close."""
+    n = range(len(FEATURES))
+
+    def c(i: int, j: int) -> str:
+        return f"c{min(i, j)}{max(i, j)}"
+
+    trace = " + ".join(c(i, i) for i in n)
+    square = ", ".join(
+        "(" + " + ".join(f"{c(i, k)} * {c(k, j)}" for k in n) + f") / (t * t) AS c{i}{j}" for i in n for j in n if i <= j
+    )
+    steps = [f"\n{of}_0 AS (SELECT * FROM {matrix})"] + [
+        f"\n{of}_{s} AS (SELECT {square} FROM (SELECT *, {trace} AS t FROM {of}_{s - 1}))" for s in range(1, squarings + 1)
+    ]
+    image = ", ".join("(" + " + ".join(f"{c(i, j)} * {1 / (j + 1)!r}::DOUBLE" for j in n) + f") AS w{i}" for i in n)
+    size = "sqrt(" + " + ".join(f"w{i} * w{i}" for i in n) + ")"
+    value = " + ".join(f"v{i} * {c(i, j)} * v{j}" for i in n for j in n)
+    largest = "greatest(" + ", ".join(f"abs(v{i})" for i in n) + ")"
+    sign = "CASE " + " ".join(f"WHEN abs(v{i}) = {largest} THEN sign(v{i})" for i in n) + " END"
+    return ",".join(steps) + f""",
+{of}_v AS (SELECT {", ".join(f"w{i} / {size} AS v{i}" for i in n)} FROM (SELECT {image} FROM {of}_{squarings})),
+{of} AS (SELECT {", ".join(f"v{i} * {sign} AS v{i}" for i in n)}, {value} AS size FROM {of}_v, {matrix})"""
+
+
+_PAIRS = [(i, j) for i in range(len(FEATURES)) for j in range(i, len(FEATURES))]
+PCA = (
+    "\nmoments AS (SELECT "
+    + ", ".join(f"avg({c}) AS m{i}, stddev_pop({c}) AS s{i}" for i, c in enumerate(FEATURES))
+    + " FROM filled),\nc1 AS (SELECT "
+    + ", ".join(f"corr({FEATURES[i]}, {FEATURES[j]}) AS c{i}{j}" for i, j in _PAIRS)
+    + " FROM filled),"
+    + _vector("first", "c1")
+    + ",\nc2 AS (SELECT "
+    + ", ".join(f"c{i}{j} - size * v{i} * v{j} AS c{i}{j}" for i, j in _PAIRS)
+    + " FROM c1, first),"
+    + _vector("second", "c2")
+)
 
 
-@query("pca_variance")
-def pca_variance(spark, sf_dir):
-    df = stage(complete(scored(spark, sf_dir)).select(*FEATURES), "components")
-    shares = PrincipalComponents.fit(df, FEATURES, 2).explained
-    return spark.createDataFrame([(i + 1, v) for i, v in enumerate(shares)], "component int, explained double")
+def _scores_sql(of: str) -> str:
+    return "round(" + " + ".join(f"{of}.v{i} * ({c} - m{i}) / s{i}" for i, c in enumerate(FEATURES)) + ", 4)"
 
 
 @query(
-    "pca_variance_of_pair",
+    "pca_components",
     over(
-        SCORED,
-        "\nr AS (SELECT abs(corr(premium_before, insured_before)) AS r FROM complete)",
-        select="SELECT 1 AS component, round((1 + r) / 2, 6) AS explained FROM r UNION ALL SELECT 2, round((1 - r) / 2, 6) FROM r",
+        FILLED,
+        PCA,
+        select=f"""SELECT policy_id, {_scores_sql("first")} AS pca_comp1, {_scores_sql("second")} AS pca_comp2
+FROM filled, moments, first, second""",
     ),
 )
-def pca_variance_of_pair(spark, sf_dir):
-    """Two standardized columns have eigenvalues 1 + |r| and 1 - |r|, which SQL can state."""
-    df = stage(complete(scored(spark, sf_dir)).select("premium_before", "insured_before"), "components")
-    shares = PrincipalComponents.fit(df, df.columns, 2).explained
-    rows = spark.createDataFrame([(i + 1, v) for i, v in enumerate(shares)], "component int, explained double")
-    return rounded(rows, 6, "explained")
+def pca_components(spark, sf_dir):
+    df = filled(spark, sf_dir)
+    found = PrincipalComponents.fit(df, FEATURES, 2).transform(df).select("policy_id", "pca_comp1", "pca_comp2")
+    return rounded(found, 4, "pca_comp1", "pca_comp2")
 
 
 @query(
-    "pca_leading_of_pair",
+    "pca_variance",
     over(
-        SCORED,
-        """
-m AS (SELECT avg(premium_before) AS ma, stddev_pop(premium_before) AS sa, avg(insured_before) AS mb, stddev_pop(insured_before) AS sb,
-             CASE WHEN corr(premium_before, insured_before) < 0 THEN -1 ELSE 1 END AS sign FROM complete)""",
-        select="""SELECT policy_id, round(abs((premium_before - ma) / sa + sign * (insured_before - mb) / sb) / sqrt(2.0::DOUBLE), 4) AS size
-FROM complete, m""",
+        FILLED,
+        PCA,
+        select=f"""SELECT 1 AS component, round(size / {len(FEATURES)}, 6) AS explained FROM first
+UNION ALL SELECT 2, round(size / {len(FEATURES)}, 6) FROM second""",
     ),
 )
-def pca_leading_of_pair(spark, sf_dir):
-    df = stage(complete(scored(spark, sf_dir)).select("policy_id", "premium_before", "insured_before"), "components")
-    model = PrincipalComponents.fit(df, ["premium_before", "insured_before"], 2)
-    return rounded(model.transform(df).select("policy_id", F.abs("pca_comp1").alias("size")), 4, "size")
+def pca_variance(spark, sf_dir):
+    shares = PrincipalComponents.fit(filled(spark, sf_dir), FEATURES, 2).explained
+    rows = spark.createDataFrame([(i + 1, v) for i, v in enumerate(shares)], "component int, explained double")
+    return rounded(rows, 6, "explained")
 
 
 _LEVELS = {

@@ -4,9 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from driftwise.functions.hashing import uniform
-from driftwise.functions.scalar import clamp, direction
-from driftwise.operators.resample import Shares, banded_draw, bootstrap, jitter, noise_scale_table, noise_scales
+from driftwise.functions.scalar import clamp
+from driftwise.operators.resample import bootstrap, jitter, noise_scale_table, noise_scales
 from driftwise.operators.splits import aligned, contiguous_folds, exact_sample, random_split, stratified_folds, stratified_split
 from driftwise.plans import twins
 from driftwise.plans.bindings import CLASSES, renewals, scored, staged_scores, table
@@ -92,52 +91,12 @@ def conditional_floor(spark, sf_dir):
     return rounded(jitter(df, noise_scales(df, JITTERED), "policy_id", "42", ("premium", "score")), 4, *JITTERED)
 
 
-RAISE = Shares((0, 1, 2, 3), (0.1, 0.3, 0.4, 0.2))
-LOWER = Shares((-3, -2, -1, 0), (0.3, 0.4, 0.2, 0.1))
-STEADY = Shares((-1, 0, 1), (0.2, 0.6, 0.2))
-
-
-def simulated(spark, sf_dir):
-    """Simulated change and value after renewal, by bands of score and premium."""
-    df = renewals(spark, sf_dir).select("policy_id", "pct_before", "premium_before", "score")
-    bands = [
-        ((F.col("score") > 7000) & (F.col("premium_before") > 250000), RAISE),
-        ((F.col("score") < 2000) | (F.col("premium_before") < 100000), LOWER),
-    ]
-    change = banded_draw(uniform("42", "policy_id"), bands, STEADY)
-    return df.select("policy_id", "pct_before", change.alias("change")).withColumn(
-        "pct_simulated", clamp(F.col("pct_before") + F.col("change"), 0, 40)
-    )
-
-
-SIMULATED = f"""
-sim AS (
-  SELECT policy_id, pct_before, change, greatest(0.0::DOUBLE, least(40.0::DOUBLE, pct_before + change)) AS pct_simulated
-  FROM (SELECT *, CAST(CASE
-      WHEN score > 7000 AND premium_before > 250000 THEN
-        CASE WHEN u < 0.1::DOUBLE THEN 0 WHEN u < 0.4::DOUBLE THEN 1 WHEN u < 0.8::DOUBLE THEN 2 ELSE 3 END
-      WHEN score < 2000 OR premium_before < 100000 THEN
-        CASE WHEN u < 0.3::DOUBLE THEN -3 WHEN u < 0.7::DOUBLE THEN -2 WHEN u < 0.9::DOUBLE THEN -1 ELSE 0 END
-      ELSE CASE WHEN u < 0.2::DOUBLE THEN -1 WHEN u < 0.8::DOUBLE THEN 0 ELSE 1 END END AS INTEGER) AS change
-    FROM (SELECT *, {twins.uniform("42", "policy_id")} AS u FROM renewals)))"""
-
-
-@query("banded_draw", over(RENEWALS, SIMULATED, select="SELECT policy_id, change FROM sim"))
-def banded_draws(spark, sf_dir):
-    return simulated(spark, sf_dir).select("policy_id", "change")
-
-
-@query("clamp_range", over(RENEWALS, SIMULATED, select="SELECT policy_id, pct_simulated FROM sim"))
-def clamp_range(spark, sf_dir):
-    return simulated(spark, sf_dir).select("policy_id", "pct_simulated")
-
-
 @query(
-    "simulated_label",
-    over(RENEWALS, SIMULATED, select=f"SELECT policy_id, {twins.direction('pct_before', 'pct_simulated')} AS target_class FROM sim"),
+    "clamp_range",
+    over(RENEWALS, select="SELECT policy_id, greatest(10.0::DOUBLE, least(40.0::DOUBLE, 5 * pct_after)) AS pct_clamped FROM renewals"),
 )
-def simulated_label(spark, sf_dir):
-    return simulated(spark, sf_dir).select("policy_id", direction("pct_before", "pct_simulated", CLASSES).alias("target_class"))
+def clamp_range(spark, sf_dir):
+    return renewals(spark, sf_dir).select("policy_id", clamp(5 * F.col("pct_after"), 10, 40).alias("pct_clamped"))
 
 
 @query(

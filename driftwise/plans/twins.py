@@ -38,6 +38,20 @@ scored AS (
 complete AS (SELECT * FROM scored WHERE reg_pred IS NOT NULL AND pct_after IS NOT NULL)"""
 )
 
+GAPPY = ("pct_before", "pct_after", "insured_before", "insured_after")
+
+# Gaps filled by the median of the column, so that every renewal is fitted or scored.
+FILLED = (
+    SCORED
+    + ",\nmedians AS (SELECT "
+    + ", ".join(f"quantile_cont({c}, 0.5) AS m_{c}" for c in GAPPY)
+    + """ FROM renewals),
+filled AS (
+  SELECT policy_id, class_true, premium_before, premium_after, score, """
+    + ", ".join(f"coalesce({c}, m_{c}) AS {c}" for c in GAPPY)
+    + " FROM scored, medians)"
+)
+
 
 def direction(before: str, after: str) -> str:
     return f"CASE WHEN {after} > {before} THEN 'up' WHEN {after} < {before} THEN 'down' ELSE 'keep' END"

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -54,6 +55,18 @@ def new_table_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{app}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+_staged: dict[tuple, DataFrame] = {}
+
+
+def stage_once(spark: SparkSession, key: tuple, make: Callable[[], DataFrame], spread: bool = False) -> DataFrame:
+    """The table ``make`` gives, written the first time it is asked for under ``key`` and read
+    back after that: queries of one application share their derived tables."""
+    full = (spark.sparkContext.applicationId, spread, *key)
+    if full not in _staged:
+        _staged[full] = stage(make(), str(key[0]), spread)
+    return _staged[full]
+
+
 def stage(df: DataFrame, name: str, spread: bool = False) -> DataFrame:
     """Write ``df`` once and read it back, so operators that need several passes
     over a derived table scan Parquet instead of repeating its joins. Unlike

@@ -158,3 +158,9 @@ def test_histogram_of_a_constant(spark):
 
 def test_roles_follow_the_types(mixed):
     assert numeric_columns(mixed, ("k",)) == ["x", "const"] and other_columns(mixed, ("rare", "none")) == ["s"]
+
+
+def test_names_with_dots_are_profiled(spark):
+    df = spark.createDataFrame([(1.0, "x", None), (2.0, None, 3)], "`a.b` double, `c.d` string, `e.f` int")
+    assert {(r.column, r.missing) for r in missing_counts(df).collect()} == {("c.d", 1), ("e.f", 1)}
+    assert {r.column: r["count"] for r in profile(df).collect()} == {"a.b": 2, "c.d": 1, "e.f": 1}

@@ -49,3 +49,21 @@ def test_all_missing_and_bad_rank(spark):
     assert exact_quantiles(df, ["a", "b"], [0.5], small=1) == {"a": [None], "b": [1.5]}
     with pytest.raises(ValueError, match="rank"):
         order_statistics(df, {"b": [2]})
+
+
+@pytest.mark.parametrize("values", [
+    [1.0, float("nan"), 2.0, None, 5.0, float("nan"), 9.0] * 20,
+    [float("-inf"), 1.0, 2.0, float("inf"), float("inf")] * 30,
+    [float("inf")] * 50 + [float("nan")] * 20,
+])
+def test_nan_and_infinity_give_the_same_on_both_paths(spark, values):
+    df = spark.createDataFrame([(v,) for v in values], "c0 double")
+    assert repr(exact_quantiles(df, ["c0"], SHARES, 5)) == repr(exact_quantiles(df, ["c0"], SHARES, 10**6))
+
+
+@pytest.mark.parametrize("small", [5, 10**6])
+def test_large_whole_numbers_keep_their_digits(spark, small):
+    values = [2**56 + 3 * i for i in range(500)]
+    df = spark.createDataFrame([(v,) for v in values], "c0 bigint")
+    found = order_statistics(df, {"c0": [0, 137, 250, 499]}, small)
+    assert [found["c0", r] for r in (0, 137, 250, 499)] == [values[r] for r in (0, 137, 250, 499)]

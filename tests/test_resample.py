@@ -1,11 +1,11 @@
-"""Bootstrap, jitter and banded draws."""
+"""Bootstrap and jitter."""
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from driftwise.functions.hashing import standard_normal, uniform
-from driftwise.operators.resample import Shares, banded_draw, bootstrap, jitter, noise_scales, number_rows
+from driftwise.operators.resample import bootstrap, jitter, noise_scales, number_rows
 
 
 def test_rows_are_numbered_densely_in_hash_order(spark):
@@ -57,17 +57,3 @@ def test_draws_depend_on_seed_and_key_only(spark):
     assert a == b and 0 <= min(a.values()) and max(a.values()) < 1
     z = np.array([r.z for r in df.select(standard_normal(1, "k").alias("z")).collect()])
     assert abs(z.mean()) < 0.1 and abs(z.std() - 1) < 0.08
-
-
-def test_bands_take_the_first_condition_and_unknown_does_not_hold(spark):
-    df = spark.createDataFrame([(1, 800.0), (2, 500.0), (3, 650.0), (4, None)], "k int, s double")
-    bands = [(F.col("s") > 700, Shares((10,), (1.0,))), (F.col("s") < 600, Shares((20,), (1.0,)))]
-    got = df.select(banded_draw(F.lit(0.5), bands, Shares((30,), (1.0,))).alias("v")).collect()
-    assert [r.v for r in got] == [10, 20, 30, 30]
-
-
-def test_share_boundaries(spark):
-    shares = Shares((0, 1, 2, 3), (0.1, 0.3, 0.4, 0.2))
-    us = [0.0, 0.0999, 0.1, 0.3999, 0.4, 0.7999, 0.8, 0.9999]
-    df = spark.createDataFrame([(u,) for u in us], "u double")
-    assert [r.v for r in df.select(shares.pick(F.col("u")).alias("v")).collect()] == [0, 0, 1, 1, 2, 2, 3, 3]

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from driftwise.functions import scalar
 from driftwise.functions.normal import normal_quantile
-from driftwise.operators.fusion import fuse, with_fusion
+from driftwise.operators.fusion import agreeing, disagreeing, fuse, fusion_kpis, with_fusion
 
 
 def values(df, column):
@@ -91,3 +91,11 @@ def test_fusion_properties(renewal_rows):
     assert mirrored.filter("abs((fused_pred + reg_pred) / 2 - pct_before) > 1e-9").count() == 0
     agree = out.filter("class_pred = reg_direction").count()
     assert agree + out.filter("class_pred <> reg_direction").count() == out.count()
+
+
+def test_a_missing_class_disagrees(spark):
+    df = spark.createDataFrame([("up", "up"), ("up", "down"), (None, "up")], "class_pred string, reg_direction string")
+    df = df.selectExpr("*", "1D AS y", "1D AS p", "1D AS fused_pred", "'up' AS real_direction", "'up' AS fused_direction")
+    assert disagreeing(df).count() == 2 and agreeing(df).count() == 1
+    row = fusion_kpis(df, "y", "p", "class_pred").first()
+    assert row.discordant == 2 == row.n_rows - 1

@@ -11,6 +11,7 @@ from driftwise.operators.splits import (
     contiguous_folds,
     cut_by_hash,
     exact_sample,
+    hash_folds,
     random_split,
     stratified_folds,
     stratified_split,
@@ -104,3 +105,27 @@ def test_fitted_cuts_apply_to_other_rows(people):
     cuts = HashCuts.fit(people, "id", "s", lambda total: [total / 2])
     low = cuts.transform(people.filter("id < 300")).filter("part = 0").count()
     assert 110 < low < 190 and cuts.transform(people).filter("part = 0").count() == 501
+
+
+def test_rows_without_a_key_are_refused(spark):
+    df = spark.range(100).select(F.when(F.col("id") % 10 > 0, F.col("id")).alias("id"))
+    for cut in (lambda: exact_sample(df, 50, "id", 1), lambda: random_split(df, 0.3, "id", 1), lambda: contiguous_folds(df, 3, "id")):
+        with pytest.raises(Exception, match="no (key|id)"):
+            cut().count()
+
+
+def test_a_thousand_strata(spark):
+    df = spark.range(4000).select("id", F.when(F.col("id") % 1000 > 0, F.col("id") % 1000).cast("string").alias("label"))
+    split = stratified_split(df, 0.5, "label", "id", 1)
+    assert {r.n for r in split.filter("split = 'train'").groupBy("label").agg(F.count("*").alias("n")).collect()} == {2}
+
+
+def test_folds_of_large_ids_are_even(spark):
+    df = spark.range(3000).select((F.col("id") + F.lit(2**56 + 1)).alias("id"))
+    assert sorted(r["count"] for r in contiguous_folds(df, 3, "id").groupBy("fold").count().collect()) == [1000] * 3
+
+
+def test_hash_folds_are_even_and_shuffled(people):
+    rows = hash_folds(people, 3, "id", 1).orderBy("id").collect()
+    sizes = [sum(r.fold == i for r in rows) for i in range(3)]
+    assert max(sizes) - min(sizes) <= 1 and len({r.fold for r in rows[:20]}) == 3

@@ -6,8 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from driftwise.operators.fusion import with_fusion
+from driftwise.operators.ranges import with_ordered_range
 from driftwise.plans import bindings
-from driftwise.plans.book import COMMISSION_BOOK, COMMISSION_SCHEMA, augment, main, simulated_value
+from driftwise.plans.book import COMMISSION_SCHEMA, main
 from driftwise.session import new_table_path, shared_dir, stage
 from driftwise.sources.tables import read_delimited, read_table, without_identifiers, write_delimited, write_table
 from driftwise.streaming.scoring import score_stream
@@ -70,6 +71,36 @@ def test_skewed_customer_by_range(spark, ranges):
     assert sorted(map(str, plain.collect())) == sorted(map(str, by_range.select(*plain.columns).collect()))
 
 
+@pytest.mark.parametrize("ranges", [2, 40, 300])
+def test_one_instant_and_missing_times_are_cut_too(spark, ranges):
+    """One customer with most of its orders at one instant and many without a time."""
+    rows = [(i * 7919 % 3001, 7, None if i % 3 == 0 else "2020-01-01 10:00:00.000001" if i % 3 == 1 else f"2020-01-01 10:00:00.{i:06d}") for i in range(900)]
+    policies = spark.createDataFrame(rows, "o_orderkey bigint, o_custkey bigint, d string").select(
+        "o_orderkey", "o_custkey", F.col("d").cast("timestamp_ntz").alias("o_orderdate"),
+        *[F.col("o_orderkey").cast("double").alias(c) for c in ("o_totalprice", "pct", "insured")],
+    )
+    plain, by_range = bindings._with_previous(policies), bindings._with_previous_by_range(policies, ranges)
+    assert sorted(map(str, plain.collect())) == sorted(map(str, by_range.select(*plain.columns).collect()))
+    timed = policies.withColumn("t", F.when(F.col("o_orderdate").isNotNull(), F.lit(1.0)))
+    sizes = [r["count"] for r in with_ordered_range(timed, "t", "o_orderkey", "r", ranges).groupBy("r").count().collect()]
+    assert max(sizes) <= 4 * 900 / ranges + 4
+
+
+def test_hot_path_keeps_orders_without_a_date(spark, sf_dir, tmp_path):
+    for name in ("orders", "customer", "lineitem", "nation", "region"):
+        df = bindings.table(spark, sf_dir, name)
+        if name == "orders":
+            df = df.withColumn("o_orderdate", F.when(F.col("o_orderkey") % 97 > 0, F.col("o_orderdate")))
+        df.write.parquet(str(tmp_path / f"{name}.parquet"))
+    plain, split = (bindings.renewals(spark, str(tmp_path), hot_orders=n) for n in (10**9, 10))
+    assert plain.count() == split.count() and plain.exceptAll(split.select(*plain.columns)).count() == 0
+
+
+def test_nan_on_parquet_is_missing(spark, tmp_path):
+    spark.createDataFrame([(float("nan"), 1), (2.0, 2)], "`a.b` double, n int").write.parquet(str(tmp_path / "t"))
+    assert {r["a.b"] for r in read_table(spark, str(tmp_path / "t")).collect()} == {None, 2.0}
+
+
 def test_fusion_on_a_stream_equals_the_batch(spark, renewal_rows, tmp_path):
     columns = ["policy_id", "pct_before", "pct_after", "reg_pred", "class_pred"]
     source, out = str(tmp_path / "in"), str(tmp_path / "out")
@@ -85,61 +116,42 @@ def test_fusion_on_a_stream_equals_the_batch(spark, renewal_rows, tmp_path):
     assert batch.exceptAll(streamed.select(*batch.columns)).count() == 0
 
 
-def seed_file(folder):
-    """19 invented rows in the shape of the commission book; no value is taken from anywhere."""
+def book_file(folder, n):
+    """Invented rows in the shape of the commission book, whose change follows a score; no value
+    is taken from anywhere."""
     rng = random.Random(8)
     names = [c.split() for c in COMMISSION_SCHEMA.replace("\n", " ").split(",")]
     texts = {"fabricante": ["F1", "F2", "F3"], "faixa_ajuste_medio": ["4. De 0.95 até 0.99", "5. De 1.0 até 1.1"], "Origem": ["A", "B"], "filial_antes": ["X", "Y", "Z"]}
     lines = [";".join(n for n, _ in names)]
-    for i in range(19):
-        cells = []
+    for i in range(n):
+        row = {}
         for name, kind in names:
             if kind == "string":
-                cells.append(rng.choice(texts.get(name, ["K"])))
-            elif name in ("Score_Serasa_depois", "Score_RF_depois", "Score_Sinistro_depois") and i > 7:
-                cells.append("")
-            elif name.startswith("Score_Autoglass"):
-                cells.append(str(rng.randint(-5, 1)))
+                row[name] = rng.choice(texts.get(name, ["K"]))
+            elif name in ("Score_Serasa_depois", "Score_RF_depois", "Score_Sinistro_depois") and i % 3:
+                row[name] = ""
             elif name.startswith("Score"):
-                cells.append(str(rng.randint(400, 900)))
+                row[name] = str(rng.randint(400, 900))
             elif name.startswith("Premio"):
-                cells.append(f"{rng.uniform(1000, 3800):.2f}")
+                row[name] = f"{rng.uniform(1000, 3800):.2f}"
             elif name.startswith("pct"):
-                cells.append(str(rng.choice([10, 12.5, 15, 20, 25])))
+                row[name] = str(rng.choice([10, 12.5, 15, 20, 25]))
             elif kind == "bigint":
-                cells.append(str(rng.randint(1, 30)))
+                row[name] = str(rng.randint(1, 30))
             else:
-                cells.append(f"{rng.uniform(-500, 800):.2f}")
-        lines.append(";".join(cells))
-    path = folder / "seed.csv"
+                row[name] = f"{rng.uniform(-500, 800):.2f}"
+        score = int(row["Score_Serasa_antes"])
+        change = 2 if score > 720 else -2 if score < 560 else 0
+        row["pct_comiss_depois"] = str(float(row["pct_comiss_antes"]) + change)
+        lines.append(";".join(row[n] for n, _ in names))
+    path = folder / "book.csv"
     path.write_text("\n".join(lines) + "\n", encoding="utf-8-sig")
     return str(path)
 
 
-def test_augmented_book(spark, tmp_path):
-    seed = read_delimited(spark, seed_file(tmp_path), COMMISSION_SCHEMA)
-    assert seed.count() == 19 and len(seed.columns) == 45
-    book = augment(seed, COMMISSION_BOOK, 3000).cache()
-    assert book.count() == 3000 and len(book.columns) == 47  # draw key and label
-    row = book.agg(
-        F.min("Premio_antes").alias("p"), F.min("Score_Autoglass_antes").alias("s"), F.min("mudanca_premio").alias("m"),
-        F.min("pct_comiss_depois").alias("lo"), F.max("pct_comiss_depois").alias("hi"), F.countDistinct("target_class").alias("k"),
-        F.count("Score_RF_depois").alias("known"), F.countDistinct("apolice").alias("ids"),
-    ).first()
-    assert row.p >= 0 and row.s == 0.0 and row.m < 0 and 0 <= row.lo and row.hi <= 40 and row.k == 3
-    assert 900 < row.known < 1650
-    moved = book.select((F.col("pct_comiss_depois") - F.col("pct_comiss_antes")).alias("d")).distinct()
-    assert {r.d for r in moved.collect()} <= {-3.0, -2.0, -1.0, 0.0, 1.0, 2.0, 3.0}
-
-
-def test_absent_band_columns_use_their_defaults(spark):
-    df = spark.createDataFrame([(10.0,)], "pct_comiss_antes double")
-    assert df.select(simulated_value(df, COMMISSION_BOOK, F.lit(0.0)).alias("v")).first().v == 7.0
-
-
 def test_whole_run(spark, tmp_path):
     out = str(tmp_path / "out")
-    main(["--csv", seed_file(tmp_path), "--out", out, "--rows", "2500", "--select", "3"])
+    main(["--csv", book_file(tmp_path, 2500), "--out", out, "--select", "3"])
     output = spark.read.parquet(f"{out}/output")
     assert output.count() == 2500 and "cpf_cnpj" not in output.columns
     assert {"class_pred", "reg_pred", "fused_pred", "reg_direction", "real_direction", "fused_direction"} <= set(output.columns)
