@@ -11,6 +11,8 @@
    per row and order, never all its pairs.
 4. Candidates are confirmed on the full sets: first the best partner of every row, then every
    other candidate whose ends are not connected yet. Confirmed links give the components.
+5. A region with more rows than the neighbours cover is settled if it is one component. The
+   rows of the others are searched exactly, by prefix filters between their components.
 
 With 25 orders of 5 values a pair at the similarity limit misses all common regions with
 probability 4e-7. The sort is by range, which cuts a region anywhere, so a region that holds
@@ -35,6 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from driftwise.llm.components import components
+from driftwise.llm.dense_links import cross_pairs
 from driftwise.llm.tables import with_row_key
 from driftwise.llm.words import SPACED, constants, in_groups, mix, text_shingles, word_hashes
 from driftwise.session import stage
@@ -303,11 +306,27 @@ def _best_partners(pairs: DataFrame) -> DataFrame:
     return best.select("p.*").distinct()
 
 
+def unsettled(forest: DataFrame, found: DataFrame, followers: int = FOLLOWERS) -> DataFrame:
+    """node and root of the classes in regions where not every pair was a neighbour and more than
+    one component is left, written once."""
+    roots = components(found)
+    named = forest.select("region", "node").join(roots, "node", "left").select(
+        "region", "node", F.coalesce("root", "node").alias("root")
+    )
+    crowded = (
+        named.groupBy("region")
+        .agg(F.count("*").alias("n"), F.min("root").alias("low"), F.max("root").alias("high"))
+        .where((F.col("n") > followers + 1) & (F.col("low") != F.col("high")))
+    )
+    return stage(named.join(crowded.select("region"), "region").groupBy("node").agg(F.first("root").alias("root")), "unsettled")
+
+
 def links(
     documents: DataFrame, rows: DataFrame, percent: int = PERCENT, key: str = "doc_id", text: str = "text"
 ) -> DataFrame:
     """Confirmed links between classes that connect every group; pairs already connected are not tried."""
-    pairs = candidates(forest_rows(rows, percent), percent)
+    forest = forest_rows(rows, percent)
+    pairs = candidates(forest, percent)
     nodes = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
     sets = node_sets(documents, rows, nodes, key, text)
     first = stage(_best_partners(pairs), "best-pairs")
@@ -322,7 +341,11 @@ def links(
         .select("a", "b")
     )
     more = stage(confirmed(stage(left, "rest-pairs"), sets, percent).distinct(), "links")
-    return found.union(more)
+    known = found.union(more)
+    open_ = unsettled(forest, known)
+    sets = node_sets(documents, rows, open_.select("node"), key, text).join(open_, "node")
+    late = stage(cross_pairs(sets, percent).join(pairs, ["a", "b"], "left_anti"), "late-pairs")
+    return known.union(stage(confirmed(late, sets, percent).distinct(), "links"))
 
 
 def near_duplicates(

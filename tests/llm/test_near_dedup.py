@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import types as T
 
 from driftwise.llm.components import components
+from driftwise.llm.dense_links import cross_pairs
 from driftwise.llm.near_dedup import near_duplicates, smallest_set
 from driftwise.llm.words import ALPHANUMERIC, SPACED, shingles, word_hashes
 
@@ -74,6 +75,40 @@ def test_dense_region_is_connected(spark):
     assert run(spark, rows) == brute(rows)
 
 
+def test_links_hidden_in_a_dense_region(spark):
+    """Texts that share a long passage and are no copies, with a few copies among them."""
+    rng = random.Random(11)
+    passage = [f"s{i}" for i in range(310)]
+    texts = [passage + [f"u{i}x{k}" for k in range(36)] for i in range(700)]
+    for i in rng.sample(range(700), 60):
+        copy = list(texts[i])
+        copy[-24:] = [f"c{i}x{k}" for k in range(24)]
+        texts.append(copy)
+    rows = list(enumerate(" ".join(t) for t in texts))
+    assert run(spark, rows) == brute(rows)
+
+
+def test_prefix_join_finds_all_similar_pairs_of_different_roots(spark):
+    rng = random.Random(13)
+    sets = []
+    for g in range(60):
+        base = [rng.randrange(10**9) for _ in range(rng.choice([6, 7, 20, 45, 130]))]
+        for _ in range(4):
+            n = rng.randrange(len(base) // 5 + 1)
+            sets.append(set(base[n:] if rng.random() < 0.5 else base[: len(base) - n] + [rng.randrange(10**9) for _ in range(n // 2)]))
+    rows = [(i.to_bytes(2, "big"), (i - i % 2 if i % 3 else i).to_bytes(2, "big"), sorted(s)) for i, s in enumerate(sets)]
+    df = spark.createDataFrame(rows, "node binary, root binary, set array<long>")
+    got = {(bytes(r.a), bytes(r.b)) for r in cross_pairs(df, 85).collect()}
+    want = set()
+    for x, (a, root_a, s) in enumerate(rows):
+        for b, root_b, t in rows[x + 1 :]:
+            common = len(set(s) & set(t))
+            if root_a != root_b and 100 * common >= 85 * (len(s) + len(t) - common):
+                want.add((a, b))
+    assert len(want) > 50 and want <= got
+    assert len(got) < 3 * len(want)
+
+
 def test_nulls_repeats_clashing_names_and_empty_tables(spark):
     text = "one two three four five six seven"
     rows = [(None, text), (5, text), (5, text), (7, text.upper()), (None, None), (None, "alone in here with no other one")]
