@@ -54,3 +54,15 @@ def components(links: DataFrame) -> DataFrame:
     nodes = edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
     roots = edges.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
     return nodes.union(roots)
+
+
+def merged(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """(node, root) after further links (a, b) between nodes, which may be new; written once.
+    Only the components that the links connect are worked on."""
+    ends = links
+    for end in ("a", "b"):
+        ends = ends.join(roots.select(F.col("node").alias(end), F.col("root").alias(f"root_{end}")), end, "left")
+    heads = components(ends.select(F.coalesce("root_a", "a").alias("a"), F.coalesce("root_b", "b").alias("b")))
+    moved = heads.select(F.col("node").alias("root"), F.col("root").alias("head"))
+    old = roots.join(moved, "root", "left").select("node", F.coalesce("head", "root").alias("root"))
+    return stage(old.union(heads.join(roots, "node", "left_anti")), "roots")

@@ -6,6 +6,9 @@ the smaller one ``1 - 2t / (1 + t)``. Sizes and the places of the shared token r
 what meets there. A token of all the sets that share a passage stands last in every one of
 them, so it is not joined on unless the passage is nearly the whole text.
 
+Where a set holds the token also bounds the sizes of its partners, so tokens are joined
+together with a class of sizes: near copies just below the limit meet in no class.
+
 Sets that are connected already never meet: tokens are first joined by the components that
 hold them, then by the sets of two different ones. So a group of any size that is one
 component costs a row per token and set, and no pairs.
@@ -13,11 +16,16 @@ component costs a row per token and set, and no pairs.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import math
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from driftwise.session import stage
 
+#: Sizes of one class differ by this factor at most.
+SIZE_STEP = 1.04
+
 
 def prefixes(sets: DataFrame, percent: int) -> DataFrame:
     """(node, root, set) -> node, root, size, token, pos, short: the first tokens of every set
@@ -47,29 +55,42 @@ def prefixes(sets: DataFrame, percent: int) -> DataFrame:
     )
 
 
+def _size_class(size: Column) -> Column:
+    return F.floor(F.log(size.cast("double")) / math.log(SIZE_STEP)).cast("int")
+
+
 def cross_pairs(sets: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) with a < b of distinct nodes with different roots. Every pair whose sets
     reach the similarity is among them."""
     first = stage(prefixes(sets, percent), "prefixes")
-    holders = first.groupBy("token", "root").agg(F.max("short").alias("short"))
-    split = holders.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high"))
-    holders = holders.join(split.where("low <> high").select("token"), "token")
+    split = first.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high"))
+    live = stage(first.join(split.where("low <> high").select("token"), "token"), "prefixes-split")
+    names = ("node", "root", "size", "pos")
+    small = live.where("short").select(
+        "token", _size_class(F.col("size")).alias("sizes"), *[F.col(c).alias(f"small_{c}") for c in names]
+    )
+    # no more than what follows in both can be common: a bound on the size of the smaller set
+    least = F.expr(f"({percent} * size + 99) div 100")
+    most = F.expr(f"least(size, ({100 + percent} * (size - pos)) div {percent} - size)")
+    large = (
+        live.withColumn("least", least).withColumn("most", most).where("least <= most")
+        .select(
+            "token",
+            F.explode(F.sequence(_size_class(F.col("least")), _size_class(F.col("most")))).alias("sizes"),
+            *[F.col(c).alias(f"large_{c}") for c in names],
+        )
+    )
     meets = (
-        holders.where("short").select("token", F.col("root").alias("small_root"))
-        .join(holders.select("token", F.col("root").alias("large_root")), "token")
+        small.select("token", "sizes", "small_root").distinct()
+        .join(large.select("token", "sizes", "large_root").distinct(), ["token", "sizes"])
         .where("small_root <> large_root")
     )
-    small = first.where("short").select(
-        "token", *[F.col(c).alias(f"small_{c}") for c in ("node", "root", "size", "pos")]
-    )
-    large = first.select("token", *[F.col(c).alias(f"large_{c}") for c in ("node", "root", "size", "pos")])
     left = F.least(F.col("small_size") - F.col("small_pos"), F.col("large_size") - F.col("large_pos"))
     return (
-        small.join(meets, ["token", "small_root"])
-        .join(large, ["token", "large_root"])
+        small.join(meets, ["token", "sizes", "small_root"])
+        .join(large, ["token", "sizes", "large_root"])
         .where("small_size <= large_size")
         .where(100 * F.col("small_size") >= percent * F.col("large_size"))
-        # no more than what follows in both can be common
         .where((100 + percent) * left >= percent * (F.col("small_size") + F.col("large_size")))
         .select(F.least("small_node", "large_node").alias("a"), F.greatest("small_node", "large_node").alias("b"))
         .distinct()

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from driftwise.llm.components import components
+from driftwise.llm.components import components, merged
 from driftwise.llm.dense_links import cross_pairs
 from driftwise.llm.tables import with_row_key
 from driftwise.llm.words import SPACED, constants, in_groups, mix, text_shingles, word_hashes
@@ -306,10 +306,9 @@ def _best_partners(pairs: DataFrame) -> DataFrame:
     return best.select("p.*").distinct()
 
 
-def unsettled(forest: DataFrame, found: DataFrame, followers: int = FOLLOWERS) -> DataFrame:
+def unsettled(forest: DataFrame, roots: DataFrame, followers: int = FOLLOWERS) -> DataFrame:
     """node and root of the classes in regions where not every pair was a neighbour and more than
     one component is left, written once."""
-    roots = components(found)
     named = forest.select("region", "node").join(roots, "node", "left").select(
         "region", "node", F.coalesce("root", "node").alias("root")
     )
@@ -321,18 +320,16 @@ def unsettled(forest: DataFrame, found: DataFrame, followers: int = FOLLOWERS) -
     return stage(named.join(crowded.select("region"), "region").groupBy("node").agg(F.first("root").alias("root")), "unsettled")
 
 
-def links(
+def class_roots(
     documents: DataFrame, rows: DataFrame, percent: int = PERCENT, key: str = "doc_id", text: str = "text"
 ) -> DataFrame:
-    """Confirmed links between classes that connect every group; pairs already connected are not tried."""
+    """(node, root) of the classes with links. Pairs that are already connected are not tried."""
     forest = forest_rows(rows, percent)
     pairs = candidates(forest, percent)
     nodes = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
     sets = node_sets(documents, rows, nodes, key, text)
     first = stage(_best_partners(pairs), "best-pairs")
-    found = stage(confirmed(first, sets, percent).distinct(), "links")
-    roots = stage(components(found), "roots")
-    root = F.coalesce(F.col("root"), F.col("node"))
+    roots = stage(components(stage(confirmed(first, sets, percent).distinct(), "links")), "roots")
     left = (
         pairs.join(first, ["a", "b"], "left_anti")
         .join(roots.select(F.col("node").alias("a"), F.col("root").alias("root_a")), "a", "left")
@@ -340,12 +337,11 @@ def links(
         .where(F.coalesce("root_a", "a") != F.coalesce("root_b", "b"))
         .select("a", "b")
     )
-    more = stage(confirmed(stage(left, "rest-pairs"), sets, percent).distinct(), "links")
-    known = found.union(more)
-    open_ = unsettled(forest, known)
+    roots = merged(roots, stage(confirmed(stage(left, "rest-pairs"), sets, percent).distinct(), "links"))
+    open_ = unsettled(forest, roots)
     sets = node_sets(documents, rows, open_.select("node"), key, text).join(open_, "node")
     late = stage(cross_pairs(sets, percent).join(pairs, ["a", "b"], "left_anti"), "late-pairs")
-    return known.union(stage(confirmed(late, sets, percent).distinct(), "links"))
+    return merged(roots, stage(confirmed(late, sets, percent).distinct(), "links"))
 
 
 def near_duplicates(
@@ -353,14 +349,13 @@ def near_duplicates(
 ) -> DataFrame:
     """doc_id, n_shingles, component_id, kept of every row."""
     rows = shingle_rows(documents, key, text)
-    return labelled(rows, links(documents, rows, percent, key, text)).drop("row")
+    return labelled(rows, class_roots(documents, rows, percent, key, text)).drop("row")
 
 
-def labelled(rows: DataFrame, found: DataFrame) -> DataFrame:
-    """Component of every row from the links between classes."""
+def labelled(rows: DataFrame, roots: DataFrame) -> DataFrame:
+    """Component of every row from the roots of the classes."""
     filled = rows.where("n_shingles > 0")
     firsts = filled.groupBy("node").agg(F.min("doc_id").alias("first"))
-    roots = components(found)
     linked = roots.join(firsts, "node")
     heads = linked.groupBy("root").agg(F.min("first").alias("head"))
     moved = linked.join(heads, "root").select("node", "head")
