@@ -64,8 +64,9 @@ TITLED = frozenset("article content entry page post section story title".split()
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 CONTAINERS = frozenset("html body main".split()) | HEADINGS
 
+# Possessive throughout: a value may have any length, and no character is read again on the way back.
 _TAG = re.compile(
-    r"""<!--.*?(?:-->|\Z)|<[!?][^<>]*>|<(?P<end>/)?(?P<name>[A-Za-z][^\s/<>]*)(?P<rest>(?:[^<>"']|"[^"]{0,9000}"|'[^']{0,9000}')*+)>""",
+    r"""<!--.*?(?:-->|\Z)|<[!?][^<>]*>|<(?P<end>/)?(?P<name>[A-Za-z][^\s/<>]*+)(?P<rest>(?:[^<>"']|"[^"]*+"|'[^']*+')*+)>""",
     re.S,
 )
 _MARKS = re.compile(r"""(?i)(?:^|[\s"'/])(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""")

@@ -55,6 +55,24 @@ def test_time_is_linear():
     assert time.time() - began < 60
 
 
+@pytest.mark.parametrize("quote", ["'", '"'])
+def test_attribute_values_of_any_length(quote):
+    uri = f"{quote}data:image/png;base64,{'iVBORw0KGgo>' * 9000}{quote}"
+    for page in (
+        f"<article><p>{LONG}</p><img src={uri} alt=x><p>Ja.</p></article>",
+        f"<img src={uri}><div class=menu data-x={uri}>Menu, a long one with words and no links.</div><article><p>{LONG}</p><p>Ja.</p></article>",
+    ):
+        assert main_text(NOISE % page) == f"{LONG}Ja."
+
+
+def test_time_is_linear_in_open_quotes():
+    began = time.time()
+    for piece in ('<a b="', "<a b='\"", '<a ""="', "<a b=\"' c='", "<a '\"'\"", "<a" + "x" * 40):
+        main_text(piece * 20_000)
+    main_text("<" + "a" * 300_000)
+    assert time.time() - began < 20
+
+
 def test_given_pages(spark, sf_dir):
     """Their article is a known element; its text is what stands there without tags."""
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
