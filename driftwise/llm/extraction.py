@@ -71,6 +71,8 @@ _TAG = re.compile(
 )
 _MARKS = re.compile(r"""(?i)(?:^|[\s"'/])(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""")
 _HIDDEN = re.compile(r"""(?i)(?:^|[\s"'])(?:hidden(?=[\s/=]|$)|aria-hidden\s*=\s*["']?true|style\s*=\s*["'][^"']*(?:display\s*:\s*none|visibility\s*:\s*hidden))""")
+#: Searched in the page as it is: lower() changes the length of some letters, and so the places after them.
+_RAW_END = {name: re.compile(f"(?ai)</{name}") for name in RAW}
 _WORD = re.compile(r"[A-Z]?[a-z0-9]+|[A-Z0-9]+")
 
 
@@ -104,7 +106,7 @@ class Page:
         return len(self.tag) - 1
 
     def _read(self, source: str) -> None:
-        stack, at, lowered = [0], 0, None
+        stack, at = [0], 0
         while at < len(source):
             m = _TAG.search(source, at)
             text = source[at : m.start() if m else len(source)]
@@ -130,9 +132,8 @@ class Page:
                 self.parts.append((stack[-1], None))
             node = self._add(name, stack[-1], m["rest"])
             if name in RAW:
-                lowered = source.lower() if lowered is None else lowered
-                end = lowered.find("</" + name, at)
-                at = len(source) if end < 0 else end
+                end = _RAW_END[name].search(source, at)
+                at = end.start() if end else len(source)
                 stack.append(node)
             elif name not in VOID and not (m["rest"].endswith("/") and name not in BLOCKS):
                 stack.append(node)

@@ -73,6 +73,12 @@ def test_time_is_linear_in_open_quotes():
     assert time.time() - began < 20
 
 
+@pytest.mark.parametrize("end", ["</script>", "</SCRIPT >", "</Script>"])
+def test_letters_that_lower_makes_longer(end):
+    page = f"<html><head><title>{'İ' * 40}stanbul</title></head><body><script>var a = 1{end}<article><p>İ {LONG}</article>"
+    assert main_text(page) == f"İ {LONG}".strip()
+
+
 def test_given_pages(spark, sf_dir):
     """Their article is a known element; its text is what stands there without tags."""
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
