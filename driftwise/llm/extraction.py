@@ -8,7 +8,10 @@ the path from it to the body is the threshold: siblings along the path join if t
 
 Parts that are no article by their element, role, class or id (menus, site headers, footers,
 sidebars, notices, adverts, forms, scripts, styles, reader comments, hidden parts) are left
-out before densities are computed. If the best node lies in an ``article`` (or ``main``), that
+out before densities are computed. Names of a state or a subject (``has-sidebar``,
+``comments-off``, ``tag-feedback``) are no marks, and an ``article`` is marked only by a whole
+name. A marked part that holds most of the body's unlinked text stays and its density decides;
+if no text is left but there is some, marks do not count (a short notice stays out). If the best node lies in an ``article`` (or ``main``), that
 element is the result, so that its title and short paragraphs stay.
 
 Defined results: null and empty html, and pages without text, give an empty text; a null id or
@@ -59,6 +62,19 @@ BOILERPLATE = frozenset(
 FIRM = frozenset(
     "comment comments discussion disqus feedback related recommended recommendations replies reply respond responses".split()
 )
+# Pieces of a name that say what a part has or is about: before a mark, and at the end of the name.
+STATE_BEFORE = frozenset(
+    "cat category format has have is no non not status tag taxonomy template term topic type with without".split()
+)
+STATE_AFTER = frozenset("allowed closed disabled enabled hidden off on open visible".split())
+#: Words that never name a layout: a part of few characters with one of them is no article, even if it is all there is.
+NOTICES = FIRM | frozenset(
+    "ad ads adbox adslot advert adverts advertisement advertising alert consent cookie cookies copyright gdpr modal "
+    "newsletter notice notices overlay popup promo promoted promotion share sharing signup social sponsor sponsored "
+    "subscribe subscription".split()
+)
+#: Unlinked characters below which a notice, or what is left beside comments, is no article.
+FEW = 250
 #: A header part named so holds the title.
 TITLED = frozenset("article content entry page post section story title".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
@@ -69,40 +85,71 @@ _TAG = re.compile(
     r"""<!--.*?(?:-->|\Z)|<[!?][^<>]*>|<(?P<end>/)?(?P<name>[A-Za-z][^\s/<>]*+)(?P<rest>(?:[^<>"']|"[^"]*+"|'[^']*+')*+)>""",
     re.S,
 )
-_MARKS = re.compile(r"""(?i)(?:^|[\s"'/])(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""")
-_HIDDEN = re.compile(r"""(?i)(?:^|[\s"'])(?:hidden(?=[\s/=]|$)|aria-hidden\s*=\s*["']?true|style\s*=\s*["'][^"']*(?:display\s*:\s*none|visibility\s*:\s*hidden))""")
+_ATTRIBUTE = re.compile(r"""([^\s"'/=]++)(?:\s*+=\s*+("[^"]*+"|'[^']*+'|[^\s"']++))?|"[^"]*+"|'[^']*+'""")
+_HIDDEN_STYLE = re.compile(r"(?i)display\s*+:\s*+none|visibility\s*+:\s*+hidden")
 #: Searched in the page as it is: lower() changes the length of some letters, and so the places after them.
 _RAW_END = {name: re.compile(f"(?ai)</{name}") for name in RAW}
 _WORD = re.compile(r"[A-Z]?[a-z0-9]+|[A-Z0-9]+")
 
 
+def _marks(rest: str) -> tuple[bool, list[str]]:
+    """Whether the attributes hide the part, and its names."""
+    hidden, names = False, []
+    for m in _ATTRIBUTE.finditer(rest):
+        key, value = (m[1] or "").lower(), (m[2] or "").strip("\"'")
+        if key in ("class", "id", "role"):
+            names += value.split()
+        elif key == "hidden" or key == "aria-hidden" and value.strip().lower() == "true":
+            hidden = True
+        elif key == "style":
+            hidden = hidden or bool(_HIDDEN_STYLE.search(value))
+    return hidden, names
+
+
+def _marking(pieces: list[str]) -> set[str]:
+    """Pieces of a name that may mark a part: none behind a word of state."""
+    if pieces and pieces[-1] in STATE_AFTER:
+        return set()
+    end = next((i for i, w in enumerate(pieces) if w in STATE_BEFORE), len(pieces))
+    return set(pieces[:end])
+
+
 class Page:
     """A flat DOM: parents come before their children; ``parts`` are texts and breaks in page order."""
 
     def __init__(self, source: str) -> None:
         self.tag, self.parent, self.dropped, self.firm = ["html"], [-1], [False], [False]
+        #: left out by element or as hidden, whatever it is named
+        self.fixed, self.notice = [False], [False]
         #: (node, text); text None marks a block boundary
         self.parts: list[tuple[int, str | None]] = []
         self._read(source)
 
     def _add(self, tag: str, parent: int, rest: str) -> int:
-        drop = firm = tag in DROPPED
+        drop = firm = fixed = tag in DROPPED
+        notice = False
         if rest and not drop and tag not in CONTAINERS:
-            words = {w.lower() for m in _MARKS.finditer(rest) for w in _WORD.findall(m[2])}
-            firm = bool(_HIDDEN.search(rest)) or bool(words & FIRM)
-            if words & TITLED:
+            fixed, names = _marks(rest)
+            pieces = [[w.lower() for w in _WORD.findall(name)] for name in names]
+            words = set().union(*map(_marking, pieces))
+            if tag == "article":  # only dropped for what it is, not for its place or its subject
+                words = {name.lower() for name in names} & FIRM
+            firm = fixed or bool(words & FIRM)
+            if any(not TITLED.isdisjoint(p) for p in pieces):
                 words.discard("header")
-            # an article is only dropped for what it is, not for its place in the layout
-            drop = firm or tag != "article" and bool(words & BOILERPLATE)
+            drop = firm or bool(words & BOILERPLATE)
+            notice = bool(words & NOTICES)
         if tag == "header":  # the header of an article holds its title
             node = parent
             while node > 0 and self.tag[node] not in ("article", "main"):
                 node = self.parent[node]
-            drop = firm = node <= 0
+            drop = firm = fixed = node <= 0
         self.tag.append(tag)
         self.parent.append(parent)
         self.dropped.append(drop)
         self.firm.append(firm)
+        self.fixed.append(fixed)
+        self.notice.append(notice)
         return len(self.tag) - 1
 
     def _read(self, source: str) -> None:
@@ -206,6 +253,46 @@ def _restore_large(page: Page) -> None:
             holds[page.parent[i]] = holds[page.parent[i]] or holds[i]
             if holds[i]:
                 page.dropped[i] = False
+    if page.dropped != page.fixed:
+        _restore_most(page)
+
+
+def _inherited(page: Page, own: list[bool]) -> list[bool]:
+    """What holds for a node or one above it."""
+    out = list(own)
+    for i in range(1, len(out)):
+        out[i] = out[i] or out[page.parent[i]]
+    return out
+
+
+def _unlinked(page: Page, left_out: list[bool]) -> list[int]:
+    """Characters outside links in every subtree, without the parts left out."""
+    skipped = _inherited(page, [out or t == "a" for out, t in zip(left_out, page.tag)])
+    size = [0] * len(page.tag)
+    for node, text in page.parts:
+        if text and not skipped[node]:
+            size[node] += len(text.strip())
+    for i in range(len(size) - 1, 0, -1):
+        size[page.parent[i]] += size[i]
+    return size
+
+
+def _restore_most(page: Page) -> None:
+    """Marked parts with most of the unlinked text stay. Comments do only where next to nothing
+    else is, and beside an article nothing outside of it does."""
+    every, size = _unlinked(page, page.fixed), _unlinked(page, page.firm)
+    if size[0] < FEW and 10 * size[0] < every[0]:
+        size = every
+    named = [t in ("article", "main") for t in page.tag]
+    gone = _inherited(page, page.dropped)
+    article = any(n and not g and 10 * c >= size[0] > 0 for n, g, c in zip(named, gone, size))
+    inside = _inherited(page, named)
+    for i in range(1, len(page.tag)):
+        if not page.fixed[i] and 2 * size[i] > size[0] and (inside[i] or not article):
+            page.dropped[i] = page.dropped[i] and page.notice[i] and size[i] < FEW
+    gone = _inherited(page, page.dropped)
+    if every[0] >= FEW and not any(text and not gone[node] and text.strip() for node, text in page.parts):
+        page.dropped = list(page.fixed)
 
 
 def _chosen(page: Page) -> set[int]:

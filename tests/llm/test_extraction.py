@@ -79,6 +79,42 @@ def test_letters_that_lower_makes_longer(end):
     assert main_text(page) == f"İ {LONG}".strip()
 
 
+SIDE = "<div class=sidebar><p>About us, a text of some words without a link.</p></div>"
+TALK = "<div class=comments><p>First! I liked this one a lot, it is so very good to read.</p></div>"
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        f"<div class='has-sidebar'><div><h2>T</h2><p>{LONG}</p><p>{LONG}</p></div>{SIDE}{TALK}</div>",
+        f"<div class='layout sidebar-right'><div class=widget-wrap><h2>T</h2><p>{LONG}</p><p>{LONG}</p></div>{SIDE}{TALK}</div>",
+        f"<article class='post comments-off'><h2>T</h2><p>{LONG}</p><p>{LONG}</p></article>{SIDE}",
+        f"<article class='post tag-feedback'><h2>T</h2><p>{LONG}</p><p>{LONG}</p>{TALK}</article>",
+        f"<article class='post category-discussion related-2'><h2>T</h2><p>{LONG}</p><p>{LONG}</p></article>",
+        f"<article class='post discussion'><h2>T</h2><p>{LONG}</p><p>{LONG}</p></article>",
+        f"<div class='hidden md:block'><h2>T</h2><p>{LONG}</p><p>{LONG}</p></div><p hidden>{LONG}</p>",
+        f"<div data-x='{{\"a\": \" class=ad hidden \"}}'><h2>T</h2><p>{LONG}</p><p>{LONG}</p></div>{SIDE}",
+        f"<div class=discussion><h2>T</h2><p>{LONG}</p><p>{LONG}</p></div>",
+    ],
+)
+def test_names_of_a_layout_or_a_subject_do_not_drop_the_text(page):
+    assert main_text(f"<body>{page}</body>") == f"T {LONG}{LONG}".strip()
+
+
+def test_long_comments_do_not_replace_the_article():
+    talk = f"<div class=comments>{f'<p>{LONG}</p>' * 30}</div>"
+    for tag in ("article", "div"):
+        assert main_text(f"<body><{tag}><p>{LONG}</p><p>Ja.</p></{tag}>{talk}{SIDE}") == f"{LONG}Ja."
+    side = f"<div class=sidebar>{f'<p>{LONG}</p>' * 5}</div>"
+    assert main_text(f"<body><article><p>{LONG}</p></article>{side}") == LONG.strip()
+    for hidden in ("hidden", "HIDDEN=''", "style='color:red; display : none'", "aria-hidden=true"):
+        assert main_text(f"<body><div {hidden}>{talk}</div><p>{LONG}</p>") == LONG.strip()
+
+
+def test_marks_alone_do_not_empty_a_page():
+    assert main_text(f"<body><div class=comments><article class=comment><p>{LONG}</p></article><article class=reply><p>{LONG}</p></article></div>") == f"{LONG}{LONG}".strip()
+
+
 def test_given_pages(spark, sf_dir):
     """Their article is a known element; its text is what stands there without tags."""
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
