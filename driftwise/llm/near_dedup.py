@@ -3,7 +3,7 @@
 1. Each text becomes the set of its distinct five-word shingles, a fingerprint of that set,
    and a MinHash signature. Texts with equal sets form a class; one row stands for it.
 2. The forest: several orders of the signature. In each, rows are sorted by their signature
-   read from another position on. Rows that share the first ``DEPTH`` values form a region;
+   read from another position on. Rows that share the first few values form a region;
    inside it the neighbours in sorted order share the longest prefixes, so a dense region is
    searched as deep as its rows agree while a sparse one is searched at the least depth.
 3. A row's nearest followers in every order are candidates if the set sizes allow the
@@ -14,8 +14,10 @@
 5. A region with more rows than the neighbours cover is settled if it is one component. The
    rows of the others are searched exactly, by prefix filters between their components.
 
-With 25 orders of 5 values a pair at the similarity limit misses all common regions with
-probability 4e-7. The sort is by range, which cuts a region anywhere, so a region that holds
+The number of orders, their first values and the least agreement of two signatures follow from
+the similarity limit: at 0.85, 25 orders of 5 values, of which a pair at the limit shares none
+with probability 4e-7; at 0.80, 32 orders of 4 values and 5e-8. Limits below 0.11 are refused,
+because 128 values do not hold that bound there. The sort is by range, which cuts a region anywhere, so a region that holds
 a third of all rows is spread over many tasks.
 
 Defined results: a text without words (null, empty, blank) has an empty set and is linked with
@@ -27,6 +29,8 @@ all are null; an empty table gives no rows.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cache
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -44,18 +48,17 @@ from driftwise.session import stage
 
 SHINGLE = 5
 PERCENT = 85
-ORDERS = 25
-DEPTH = 5
 VALUES = 128
 FOLLOWERS = 3
-#: A pair at the limit agrees in 85% of the values with a deviation of 3.2%; below 72% it is ruled out.
-LEAST_AGREEING = 92
+#: Probability at most that a pair at the limit shares no region, and that its signatures rule it out.
+NO_REGION = 1e-6
+RULED_OUT = 5e-5
 #: Values after the common prefix that the sort looks at.
 SORTED_VALUES = 16
 GROUP_BYTES = 1 << 20
 
 _MULTIPLIERS = constants(VALUES, 101)
-_FOLD = constants(DEPTH, 103)
+_FOLD = constants(VALUES, 103)
 
 
 def smallest_set(percent: int) -> int:
@@ -63,6 +66,29 @@ def smallest_set(percent: int) -> int:
     return -(-percent // (100 - percent))
 
 
+@cache
+def forest_shape(percent: int) -> tuple[int, int]:
+    """Number of orders, and of first values that make a region: as many as ``NO_REGION`` allows,
+    without a value in two orders."""
+    p = percent / 100
+    allowed = [d for d in range(1, VALUES + 1) if (1 - p**d) ** (VALUES // d) <= NO_REGION]
+    if not allowed:
+        raise ValueError(f"{VALUES} values find no pairs of {percent} percent reliably")
+    return VALUES // max(allowed), max(allowed)
+
+
+@cache
+def least_agreeing(percent: int) -> int:
+    """Values in which signatures must agree; a pair at the limit agrees in fewer with
+    probability ``RULED_OUT`` at most."""
+    p, below = percent / 100, 0.0
+    for k in range(VALUES):
+        below += comb(VALUES, k) * p**k * (1 - p) ** (VALUES - k)
+        if below > RULED_OUT:
+            return k
+    return VALUES
+
+
 def _signatures(sets: list[np.ndarray]) -> np.ndarray:
     """MinHash values, a row per non-empty set."""
     joined = np.concatenate(sets)
@@ -73,12 +99,12 @@ def _signatures(sets: list[np.ndarray]) -> np.ndarray:
     return mix(out)
 
 
-def _region_keys(signatures: np.ndarray) -> np.ndarray:
+def _region_keys(signatures: np.ndarray, orders: int, depth: int) -> np.ndarray:
     """Hash of the first values of every order, a column per order."""
-    out = np.empty((len(signatures), ORDERS), dtype=np.int64)
-    for t in range(ORDERS):
-        at = t * DEPTH
-        folded = mix((signatures[:, at : at + DEPTH] * _FOLD).sum(axis=1, dtype=np.uint64) + np.uint64(t))
+    out = np.empty((len(signatures), orders), dtype=np.int64)
+    for t in range(orders):
+        at = t * depth
+        folded = mix((signatures[:, at : at + depth] * _FOLD[:depth]).sum(axis=1, dtype=np.uint64) + np.uint64(t))
         out[:, t] = folded.view(np.int64)
     return out
 
@@ -104,7 +130,7 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch,
             yield part, part["text"].to_pylist()
 
 
-def shingle_rows(documents: DataFrame, key: str, text: str) -> DataFrame:
+def shingle_rows(documents: DataFrame, percent: int, key: str, text: str) -> DataFrame:
     """row, doc_id, n_shingles, node (fingerprint), values and region keys of every text, written once."""
     schema = T.StructType(
         [
@@ -117,21 +143,23 @@ def shingle_rows(documents: DataFrame, key: str, text: str) -> DataFrame:
         ]
     )
 
+    orders, depth = forest_shape(percent)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row = TaskContext.get().partitionId() << 40
         for part, texts in _groups(batches):
             sets = _sets(texts)
             filled = [i for i, s in enumerate(sets) if len(s)]
             values: list[bytes | None] = [None] * len(sets)
-            keys = np.zeros((0, ORDERS), dtype=np.int64)
+            keys = np.zeros((0, orders), dtype=np.int64)
             if filled:
                 signatures = _signatures([sets[i] for i in filled])
                 low_bytes = (signatures & np.uint64(255)).astype(np.uint8)
-                keys = _region_keys(signatures)
+                keys = _region_keys(signatures, orders, depth)
                 for i, bytes_ in zip(filled, low_bytes):
                     values[i] = bytes_.tobytes()
             has = np.array([len(s) > 0 for s in sets], dtype=np.int64)
-            offsets = np.concatenate(([0], np.cumsum(has))) * ORDERS
+            offsets = np.concatenate(([0], np.cumsum(has))) * orders
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(np.arange(row, row + len(sets))),
@@ -159,7 +187,8 @@ def forest_rows(rows: DataFrame, percent: int) -> DataFrame:
     classes = rows.join(carriers, ["row", "node"]).select("node", "n_shingles", "values", "regions")
     spread = classes.select("node", F.posexplode("regions").alias("tree", "region"))
     shared = spread.groupBy("region").agg(F.count("*").alias("n")).where("n > 1").select("region")
-    at = F.col("tree") * DEPTH + DEPTH + 1
+    _, depth = forest_shape(percent)
+    at = F.col("tree") * depth + depth + 1
     return stage(
         spread.join(shared, "region")
         .join(classes.select("node", "n_shingles", "values"), "node")
@@ -190,6 +219,8 @@ _PAIR = T.StructType(
 def _followers(percent: int, followers: int, edges: bool):
     """Scans sorted rows and pairs each with its next few in the same region."""
 
+    least = least_agreeing(percent)
+
     def pairs(rows: pa.Table) -> tuple[list[bytes], list[bytes], list[int]]:
         region = rows["region"].to_numpy()
         size = rows["n_shingles"].to_numpy()
@@ -201,7 +232,7 @@ def _followers(percent: int, followers: int, edges: bool):
             one, two = size[near], size[near + d]
             near = near[100 * np.minimum(one, two) >= percent * np.maximum(one, two)]
             same = (values[near] == values[near + d]).sum(axis=1)
-            for i, n in zip(near[same >= LEAST_AGREEING].tolist(), same[same >= LEAST_AGREEING].tolist()):
+            for i, n in zip(near[same >= least].tolist(), same[same >= least].tolist()):
                 x, y = sorted((node[i], node[i + d]))
                 if x != y:
                     a.append(x), b.append(y), agreeing.append(n)
@@ -348,7 +379,7 @@ def near_duplicates(
     documents: DataFrame, percent: int = PERCENT, key: str = "doc_id", text: str = "text"
 ) -> DataFrame:
     """doc_id, n_shingles, component_id, kept of every row."""
-    rows = shingle_rows(documents, key, text)
+    rows = shingle_rows(documents, percent, key, text)
     return labelled(rows, class_roots(documents, rows, percent, key, text)).drop("row")
 
 

@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import types as T
 
+from driftwise.llm import near_dedup
 from driftwise.llm.components import components
 from driftwise.llm.dense_links import cross_pairs
 from driftwise.llm.near_dedup import near_duplicates, smallest_set
@@ -75,6 +76,34 @@ def test_dense_region_is_connected(spark):
     assert run(spark, rows) == brute(rows)
 
 
+@pytest.mark.parametrize(("percent", "orders", "depth", "least"), [(85, 25, 5, 92), (80, 32, 4, 84), (90, 21, 6, 100), (50, 64, 2, 42)])
+def test_the_forest_follows_the_limit(percent, orders, depth, least):
+    assert near_dedup.forest_shape(percent) == (orders, depth) and near_dedup.least_agreeing(percent) == least
+
+
+def test_a_limit_beyond_the_signature_is_refused(spark):
+    with pytest.raises(ValueError):
+        near_duplicates(spark.createDataFrame([(1, "a b")], SCHEMA), 5)
+
+
+@pytest.mark.parametrize("percent", [80, 85])
+def test_pairs_between_80_and_85(spark, percent):
+    """Pairs of 100 shingles with nine to twelve changed: 0.835, 0.818, 0.802 and 0.786."""
+    rows, want = [], []
+    for g in range(2400):
+        n = 9 + g % 4
+        base = [f"g{g}w{i}" for i in range(104)]
+        linked = 100 * (100 - n) >= percent * (100 + n)
+        for k, words in enumerate((base, base[:-n] + [f"g{g}c{i}" for i in range(n)])):
+            rows.append((2 * g + k, " ".join(words)))
+            want.append((2 * g + k, 100, 2 * g + k * (not linked), not (linked and k)))
+    for (_, x), (_, y), linked in zip(rows[:40:2], rows[1:40:2], [w[2] % 2 == 0 for w in want[1:40:2]]):
+        one, two = shingle_set(x), shingle_set(y)
+        assert (100 * len(one & two) >= percent * len(one | two)) == linked
+    got = sorted(map(tuple, near_duplicates(spark.createDataFrame(rows, SCHEMA).repartition(8), percent).collect()))
+    assert got == want
+
+
 def test_links_hidden_in_a_dense_region(spark):
     """Texts that share a long passage and are no copies, with a few copies among them."""
     rng = random.Random(11)
