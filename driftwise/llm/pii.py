@@ -148,17 +148,28 @@ class Aligned:
 # Bounds keep every search linear: a local part has 64 characters at most, a label 63.
 _GAP = r"[ \t]{0,4}"
 _BRACKETED_AT = rf"{_GAP}[\[({{<]{_GAP}(?:at|@){_GAP}[\])}}>]{_GAP}"
-_SPELLED_DOT = rf"(?:{_GAP}[\[({{<]{_GAP}(?:dot|punkt|point|punto|\.){_GAP}[\])}}>]{_GAP}|[ \t]{{1,4}}dot[ \t]{{1,4}})"
-# Endings that make "x at y dot z" an address.
+_SPACED = r"(?:[ \t_]{1,4}|\.)"
+_SPELLED_DOT = rf"(?:{_GAP}[\[({{<]{_GAP}(?:dot|punkt|point|punto|\.){_GAP}[\])}}>]{_GAP}|{_SPACED}dot{_SPACED})"
+# Endings that make "x at y dot z" an address whatever y is.
 ENDINGS = "com|org|net|edu|gov|mil|int|info|biz|io|ai|app|dev|eu|de|at|ch|fr|be|es|it|nl|pl|pt|ru|se|uk|us|ca|au|br|mx|in|jp|cn|co|me|tv|example|test|invalid|local"
+# Words before (a single) and after a "dot" in sentences about dots; any other word there is a name or an ending.
+NO_NAME = "a|an|another|any|each|every|her|his|its|my|one|our|polka|that|the|their|this|your"
+NO_ENDING = "and|but|for|from|notation|of|on|or|plot|plots|product|products|that|the|then|was|were|when|where|which|with"
+_LABEL = "[A-Z0-9-]{1,63}"
+#: What follows a spelled at: the last dot is spelled too.
+_SPELLED_DOMAIN = (
+    rf"(?:(?!(?:{NO_NAME}){_SPELLED_DOT}{_LABEL}+(?!{_SPELLED_DOT})){_LABEL}(?:(?:\.|{_SPELLED_DOT}){_LABEL}){{0,7}}{_SPELLED_DOT}(?!(?:{NO_ENDING})(?![A-Z0-9]))[A-Z]{{2,63}}(?![A-Z0-9])"
+    rf"|{_LABEL}(?:{_SPELLED_DOT}{_LABEL}){{0,7}}{_SPELLED_DOT}(?:{ENDINGS})(?![A-Z0-9]))"
+)
 #: An address whose at sign or dots are disguised. A plain " at " counts only before a spelled
-#: dot and a known ending.
+#: dot. Where underscores or points join the words, the local part ends before the joined at.
 _ADDRESS = re.compile(
-    rf"(?i)(?<![A-Z0-9._%+-])(?:[A-Z0-9_%+-]{{1,64}}(?:\.|{_SPELLED_DOT})){{0,6}}+[A-Z0-9_%+-]{{1,64}}+"
-    rf"(?:(?:{_BRACKETED_AT}|{_GAP}@{_GAP})[A-Z0-9-]{{1,63}}(?:(?:\.|{_SPELLED_DOT})[A-Z0-9-]{{1,63}}){{1,8}}"
-    rf"|[ \t_]{{1,4}}at[ \t_]{{1,4}}[A-Z0-9-]{{1,63}}(?:{_SPELLED_DOT}[A-Z0-9-]{{1,63}}){{0,7}}{_SPELLED_DOT}(?:{ENDINGS})\b)"
+    rf"(?i)(?<![A-Z0-9._%+-])(?:(?:[A-Z0-9_%+-]{{1,64}}(?:\.|{_SPELLED_DOT})){{0,6}}+[A-Z0-9_%+-]{{1,64}}+"
+    rf"(?:(?P<sign>{_BRACKETED_AT}|{_GAP}@{_GAP}){_LABEL}(?:(?:\.|{_SPELLED_DOT}){_LABEL}){{1,8}}"
+    rf"|(?P<spelled>[ \t_]{{1,4}}at[ \t_]{{1,4}}){_SPELLED_DOMAIN})"
+    rf"|(?:[A-Z0-9%+-]{{1,64}}+(?:_{{1,4}}|\.)){{0,6}}?[A-Z0-9%+-]{{1,64}}+(?P<joined>(?:_{{1,4}}|\.)at{_SPACED}){_SPELLED_DOMAIN})"
 )
-_SIGN = re.compile(rf"(?i)(?P<at>{_BRACKETED_AT}|{_GAP}@{_GAP}|[ \t_]{{1,4}}at[ \t_]{{1,4}})|(?P<dot>{_SPELLED_DOT})")
+_DOT = re.compile(rf"(?i){_SPELLED_DOT}")
 _WORD_OF_DIGIT = "|".join(sorted(DIGIT_OF, key=len, reverse=True))
 _DIGIT = rf"(?:\b(?:{_WORD_OF_DIGIT})\b|[0-9]+)"
 _DIGIT_GAP = rf"(?:{_GAP}(?:\bdot\b|\.){_GAP}|{_GAP}[-,]{_GAP}|[ \t]{{1,4}})"
@@ -166,19 +177,25 @@ _RUN = re.compile(rf"(?i)(?:(?:\bplus\b|\+){_GAP})?+{_DIGIT}(?:{_DIGIT_GAP}{_DIG
 _RUN_PART = re.compile(rf"(?i)(?P<plus>\bplus\b|\+)|(?P<word>\b(?:{_WORD_OF_DIGIT})\b)|(?P<digits>[0-9]+)|(?P<dot>\bdot\b|\.)")
 #: What a line must hold to be rewritten at all.
 _DISGUISE = re.compile(
-    rf"[^\x00-\u024f]|\u00ad|\u00a0|(?i:\bdot\b|[\[({{<]{_GAP}(?:at|@|dot|punkt|point|punto|\.){_GAP}[\])}}>]"
-    rf"|\b(?:{_WORD_OF_DIGIT})\b[ \t,-]{{1,4}}(?:{_WORD_OF_DIGIT})\b)"
+    rf"[^\x00-\u024f]|\u00ad|\u00a0|(?i:(?<![^\W_])dot(?![^\W_])|[\[({{<]{_GAP}(?:at|@|dot|punkt|point|punto|\.){_GAP}[\])}}>]"
+    rf"|\b(?:{_WORD_OF_DIGIT})\b[ \t,.-]{{1,4}}(?:{_WORD_OF_DIGIT})\b)"
 )
 
 
 def _signs(m: re.Match) -> list[tuple[str, int, int]]:
     """The at and dot transducer inside one address."""
-    out, at, text = [], m.start(), m.string
-    for s in _SIGN.finditer(text, m.start(), m.end()):
-        out += [(text[i], i, i + 1) for i in range(at, s.start())]
-        out.append(("@" if s["at"] else ".", s.start(), s.end()))
-        at = s.end()
-    return out + [(text[i], i, i + 1) for i in range(at, m.end())]
+    out, text = [], m.string
+    begin, end = m.span("sign" if m["sign"] else "spelled" if m["spelled"] else "joined")
+    for low, high in ((m.start(), begin), (end, m.end())):
+        at = low
+        for s in _DOT.finditer(text, low, high):
+            out += [(text[i], i, i + 1) for i in range(at, s.start())]
+            out.append((".", s.start(), s.end()))
+            at = s.end()
+        out += [(text[i], i, i + 1) for i in range(at, high)]
+        if high == begin:
+            out.append(("@", begin, end))
+    return out
 
 
 def _digits(m: re.Match) -> list[tuple[str, int, int]]:
