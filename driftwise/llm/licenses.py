@@ -8,7 +8,9 @@ alignment in a band around them gives the matched words. A template is reported
 share of its words that matched, and the span of the match in code points of the text.
 
 A short notice must match but for an eighth of its words; of a full text (``LONG`` words or
-more) half is enough. Of overlapping reports the one with the most matched words stays.
+more) half is enough. A report that spans a word of another variant
+(``Lesser``, ``NC``), or not all such words of its own, falls. Of
+overlapping reports the one with the most matched words, less the other words it spans, stays.
 
 The index holds the given templates only, a few thousand numbers, and goes with the tasks;
 documents are read once and nothing is shuffled.
@@ -30,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from driftwise.llm.license_texts import LICENSE_TEXTS
+from driftwise.llm.license_texts import LICENSE_TEXTS, VARIANT_WORDS
 from driftwise.llm.words import ALPHANUMERIC, in_groups, shingles, word_hashes
 
 GRAM = 3
@@ -63,6 +65,12 @@ class TemplateIndex:
     def __init__(self, templates: Sequence[tuple[str, str]]) -> None:
         self.names = [name for name, _ in templates]
         self.words = [word_hashes([text.encode()], ALPHANUMERIC)[0] for _, text in templates]
+        variants = [[word_hashes([w.encode()], ALPHANUMERIC)[0].tolist() for w in v] for v in VARIANT_WORDS]
+        own = [set(words.tolist()) for words in self.words]
+        variants = [{w for (name,), others in variants if name in o for w in others} for o in own]
+        #: words of other variants that a report of the template must not span, and its own that it must
+        self.foreign = [v - o for v, o in zip(variants, own)]
+        self.needed = [v & o for v, o in zip(variants, own)]
         places = defaultdict(list)
         for t, words in enumerate(self.words):
             for at, value in zip(*fingerprints(words)):
@@ -137,11 +145,13 @@ def matches(words: np.ndarray, index: TemplateIndex) -> list[tuple[int, int, int
             if i == len(places) or places[i][0] - places[low][0] > band:
                 centre = (places[low][0] + places[i - 1][0]) // 2
                 matched, first, last = align(index.words[t], words, centre, band)
-                if matched >= index.least(t):
+                spanned = set(words[first:last].tolist())
+                if matched >= index.least(t) and index.foreign[t].isdisjoint(spanned) and index.needed[t] <= spanned:
                     found.add((t, matched, first, last))
                 low = i
     out: list[tuple[int, int, int, int]] = []
-    for t, matched, first, last in sorted(found, key=lambda f: (-f[1], -f[1] / len(index.words[f[0]]), f[2], f[0])):
+    ranked = sorted(found, key=lambda f: (f[3] - f[2] - 2 * f[1], -f[1] / len(index.words[f[0]]), f[2], f[0]))
+    for t, matched, first, last in ranked:
         if all(last <= a or first >= b for _, _, a, b in out):
             out.append((t, matched, first, last))
     return sorted(out, key=lambda f: f[2])

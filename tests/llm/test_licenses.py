@@ -58,6 +58,40 @@ def test_changed_wordings_equal_full_alignment(t):
         assert found[1] == brute(INDEX.words[t], doc)
 
 
+@pytest.mark.parametrize(
+    ("text", "name"),
+    [
+        ("Licensed under CC BY-NC-SA 4.0", "CC-BY-NC-SA-4.0"),
+        ("Licensed under CC BY-NC-ND 3.0", "CC-BY-NC-ND-3.0"),
+        ("This work is licensed under the GNU Lesser General Public License, version 3.", "LGPL-3.0"),
+        ("This work is licensed under the GNU Affero General Public License, version 3.", "AGPL-3.0"),
+        ("This work is licensed under the GNU General Public License, version 2.", "GPL-2.0"),
+        ("it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version "
+         "2.1 of the License, or (at your option) any later version. This library is distributed in the hope that it will be useful, "
+         "but WITHOUT ANY WARRANTY", "LGPL-2.1"),
+        ("You can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free "
+         "Software Foundation, either version 3 of the License, or (at your option) any later version. It is distributed in the hope "
+         "that it will be useful, but WITHOUT ANY WARRANTY", "AGPL"),
+    ],
+)
+def test_variants_go_under_their_own_name(text, name):
+    assert [LICENSE_TEXTS[f[0]][0] for f in matches(words(f"Read this. {text} And so on."), INDEX)] == [name]
+
+
+def test_a_library_under_the_general_license():
+    text = next(t for name, t in LICENSE_TEXTS if name == "GPL").replace("program", "library")
+    assert [LICENSE_TEXTS[f[0]][0] for f in matches(words(text), INDEX)] == ["GPL"]
+    old = next(t for name, t in LICENSE_TEXTS if name == "LGPL-2.0").replace("program", "library")
+    assert [LICENSE_TEXTS[f[0]][0] for f in matches(words(old), INDEX)] == ["LGPL-2.0"]
+
+
+def test_no_variant_is_taken_for_another():
+    """Without its own wording a variant gives no row."""
+    few = TemplateIndex([t for t in LICENSE_TEXTS if t[0] in ("GPL", "GPL-3.0", "CC-BY-4.0")])
+    for text in ("Licensed under CC BY-NC-SA 4.0", "This work is licensed under the GNU Lesser General Public License, version 3."):
+        assert matches(words(text), few) == []
+
+
 def test_spans_are_code_points_and_overlaps_go(spark):
     notice = "Licensed under the Apache License, Version 2.0"
     text = f"Élan vital.\n{notice}. Ütz!\nReleased under the MIT License\n{notice}"
