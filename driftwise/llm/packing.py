@@ -261,6 +261,19 @@ def _pieces(
     return cut
 
 
+def _bucketed(rows: DataFrame, weights: Mapping[str, float], max_queues: int) -> DataFrame:
+    """Sources with a weight keep their queue; the others share what is left of ``max_queues``."""
+    left = max_queues - len(weights)
+    if left < 1:
+        raise ValueError(f"{len(weights)} weights leave no queue of {max_queues} for the other sources")
+    bucket = F.pmod(F.xxhash64("_queue"), F.lit(left)).cast("string")
+    if not weights:
+        return rows.withColumn("_queue", bucket)
+    named = F.broadcast(rows.sparkSession.createDataFrame([(f"={k}",) for k in weights], "_named string"))
+    joined = rows.join(named, rows["_queue"] == named["_named"], "left")
+    return joined.withColumn("_queue", F.coalesce(named["_named"], bucket)).drop(named["_named"])
+
+
 def pack(
     documents: DataFrame,
     tokenizer: str,
@@ -276,13 +289,14 @@ def pack(
     """Pieces: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset (and ids).
 
     ``weights`` are target token shares by source; None takes the shares of the input, so
-    that all queues end together. ``tokenizer`` is the path of the vocabulary file.
+    that all queues end together. ``tokenizer`` is the path of the vocabulary file. Beyond
+    ``max_queues`` sources, those without a weight share queues by hash.
     """
     name = F.col(source).cast("string")
     queue = F.coalesce(F.concat(F.lit("="), name), F.lit(""))
     rows = documents.withColumn("_queue", queue)
     if rows.select("_queue").distinct().limit(max_queues + 1).count() > max_queues:
-        rows = rows.withColumn("_queue", F.pmod(F.xxhash64("_queue"), F.lit(max_queues)).cast("string"))
+        rows = _bucketed(rows, weights or {}, max_queues)
     ids = tokenized(rows, tokenizer, key, text, "_queue")
     sums = ids.groupBy("part", "queue").agg(F.sum("n").alias("n"))
     queues = sums.groupBy("queue").agg(F.sum("n").alias("n"), F.count("*").alias("parts")).collect()

@@ -113,6 +113,18 @@ def test_many_sources_share_queues(spark):
     check(rows, pieces, 16)
 
 
+def test_weights_hold_beyond_the_bound_of_queues(spark):
+    rows = [(i, f"s{i % 30}", "a b c") for i in range(300)]
+    df = spark.createDataFrame(rows, SCHEMA).selectExpr("*", "1 AS _named", "2 AS `a.b`")
+    pieces = packing.pack(df, PATH, weights={"s3": 3.0, "s9": 1.0, "none": 1.0}, sequence=8, window=16, max_queues=7).collect()
+    check(rows, pieces, 8)
+    early = [p for p in pieces if p.sequence_id < 4]
+    taken = {s: sum(p.length for p in early if p.doc_id % 30 == s) for s in (3, 9)}
+    assert taken[3] + taken[9] == 32 and abs(taken[3] - 24) <= 2
+    with pytest.raises(ValueError):
+        packing.pack(df, PATH, weights={f"s{i}": 1.0 for i in range(7)}, max_queues=7)
+
+
 def test_schedule_is_deficit_round_robin():
     names, phases = packing.schedule({"a": 1000, "b": 330, "c": 3}, None, 100)
     (phase,) = phases
