@@ -118,7 +118,7 @@ def forward_selection(spark, sf_dir):
 @query("forward_selection_by_trees")
 def forward_selection_by_trees(spark, sf_dir):
     rows = _selection_rows(spark, sf_dir)
-    return _picked(spark, selection.select_by_trees(rows, FEATURES, "class_true", NAMES, "split", 3))
+    return _picked(spark, selection.select_by_trees(rows, FEATURES, "class_true", NAMES, "split", len(FEATURES)))
 
 
 # Classifiers ----------------------------------------------------------------------------
