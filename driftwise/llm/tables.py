@@ -24,6 +24,10 @@ def benchmark(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "benchmark")
 
 
+def embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "embeddings")
+
+
 def tokenizer_path(name: str) -> str:
     """Place of a public vocabulary file; the same on every machine that has the package."""
     import public_tokenizers

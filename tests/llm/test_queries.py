@@ -20,6 +20,9 @@ COLUMNS = {
     "op8_licenses": "doc_id license template matched_words template_words coverage start end",
     "op9_sharding": "doc_id size text_crc32 law shard slot grown_shard",
     "op10_packing": "doc_id start length ids_crc32 doc_tokens sequence_id offset",
+    "op11_lexical_search": "item_id rank doc_id score",
+    "op12_url_filter": "page_id host path rule verdict",
+    "op13_clustering": "vec_id cluster distance cluster_inertia inertia centroid_sha256",
     "pipeline": "doc_id start length ids_crc32 doc_tokens sequence_id offset",
 }
 
@@ -41,11 +44,11 @@ def test_contract_columns(spark, sf_dir, name):
     df = QUERIES[name](spark, sf_dir)
     assert df.columns == COLUMNS[name].split()
     key = df.columns[0]
-    source = "pages" if key == "page_id" else "documents"
+    source = {"page_id": "pages", "item_id": "benchmark", "vec_id": "embeddings"}.get(key, "documents")
     ids = {r[0] for r in spark.read.parquet(f"{sf_dir}/{source}.parquet").select(key).collect()}
     got = [r[0] for r in df.select(key).collect()]
     assert set(got) <= ids if name == "op8_licenses" else set(got) == ids
-    if name not in ("op8_licenses", "op10_packing"):
+    if name not in ("op8_licenses", "op10_packing", "op11_lexical_search"):
         assert len(got) == len(ids)
 
 
