@@ -67,6 +67,10 @@ def stage_once(spark: SparkSession, key: tuple, make: Callable[[], DataFrame], s
     return _staged[full]
 
 
+#: A task buffers a row group of its output on the heap; Parquet's own 128 MB are a share of it that counts.
+ROW_GROUP_BYTES = 16 << 20
+
+
 def stage(df: DataFrame, name: str, spread: bool = False) -> DataFrame:
     """Write ``df`` once and read it back, so operators that need several passes
     over a derived table scan Parquet instead of repeating its joins. Unlike
@@ -77,7 +81,7 @@ def stage(df: DataFrame, name: str, spread: bool = False) -> DataFrame:
     """
     spark = df.sparkSession
     path = new_table_path(spark, name)
-    df.write.parquet(path)
+    df.write.option("parquet.block.size", ROW_GROUP_BYTES).parquet(path)
     back = spark.read.schema(df.schema).parquet(path)
     cores = spark.sparkContext.defaultParallelism
     return back.repartition(cores) if spread and len(back.inputFiles()) < cores else back
