@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from driftwise.llm.batches import in_batches
 from driftwise.session import new_table_path, stage
 
 PACKAGE_BYTES = 256 << 20
@@ -184,7 +185,7 @@ def write_packages(
         if writer is not None:
             yield finish()
 
-    return stage(records.mapInArrow(run, schema), "packages")
+    return stage(in_batches(records, run, schema), "packages")
 
 
 # -- reading ---------------------------------------------------------------------------------
@@ -322,12 +323,12 @@ def read_packages(packages: DataFrame, folder: str, range_records: int = RANGE_R
                     for low in range(0, len(lines), 100):
                         yield _read(reader, lines[low : low + 100])
 
-    ranges = packages.select("package").mapInArrow(plan, "package string, lines string")
+    ranges = in_batches(packages.select("package"), plan, "package string, lines string")
     schema = (
         "page string, url string, payload binary, payload_bytes long, payload_digest string, "
         "record_type string, refers_to string"
     )
-    return ranges.repartition(_tasks(packages)).mapInArrow(run, schema)
+    return in_batches(ranges.repartition(_tasks(packages)), run, schema)
 
 
 def _tasks(df: DataFrame) -> int:

@@ -34,6 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from driftwise.llm.batches import in_batches
 from driftwise.session import stage
 
 DIMENSIONS = 64
@@ -129,7 +130,7 @@ def _assigned(vectors: DataFrame, pivots: np.ndarray, centroids: np.ndarray, eac
                 label, best, _ = assign(x, _arrays(rows, "near", np.float64, n_pivots), centroids, centres, pairs)
                 yield rows, x, label, best
 
-    return vectors.mapInArrow(lambda batches: each(run(batches)), each.schema)
+    return in_batches(vectors, lambda batches: each(run(batches)), each.schema)
 
 
 def _sums(k: int, width: int):
@@ -207,7 +208,7 @@ def with_pivot_distances(kept: DataFrame, pivots: np.ndarray) -> DataFrame:
                 ]
                 yield pa.RecordBatch.from_arrays([rows["vec_id"], *lists], names=schema.fieldNames())
 
-    return stage(kept.select("vec_id", "x").mapInArrow(run, schema), "vectors")
+    return stage(in_batches(kept.select("vec_id", "x"), run, schema), "vectors")
 
 
 def clustered(

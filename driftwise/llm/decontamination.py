@@ -30,6 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from driftwise.llm.batches import in_batches
 from driftwise.llm.tables import with_row_key
 from driftwise.llm.words import ALPHANUMERIC, in_groups, shingles, word_hashes
 from driftwise.session import stage
@@ -77,7 +78,7 @@ def item_windows(benchmark: DataFrame, window: int, key: str, text: str) -> Data
             )
 
     given = benchmark.select(F.col(key).cast("string").alias("item_id"), F.col(text).alias("text"))
-    return stage(given.mapInArrow(run, schema).distinct(), "item-windows")
+    return stage(in_batches(given, run, schema).distinct(), "item-windows")
 
 
 def window_shingles(windows: DataFrame, shingle: int) -> DataFrame:
@@ -107,7 +108,7 @@ def window_shingles(windows: DataFrame, shingle: int) -> DataFrame:
                 names=schema.fieldNames(),
             )
 
-    return windows.select("words", "size").distinct().mapInArrow(run, schema)
+    return in_batches(windows.select("words", "size").distinct(), run, schema)
 
 
 class BitTable:
@@ -154,7 +155,7 @@ def shingle_counts(documents: DataFrame, wanted: DataFrame, text: str) -> DataFr
                     names=["shingle", "shingle_size", "n"],
                 )
 
-    counted = documents.select(F.col(text).alias("text")).mapInArrow(run, "shingle long, shingle_size int, n long")
+    counted = in_batches(documents.select(F.col(text).alias("text")), run, "shingle long, shingle_size int, n long")
     return counted.groupBy("shingle", "shingle_size").agg(F.sum("n").alias("n"))
 
 
@@ -220,7 +221,7 @@ def document_places(documents: DataFrame, wanted: DataFrame, window: int, key: s
             row += len(counts)
 
     given = documents.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
-    return stage(given.mapInArrow(run, schema), "document-places")
+    return stage(in_batches(given, run, schema), "document-places")
 
 
 def _covered(spans: Column) -> Column:

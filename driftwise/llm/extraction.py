@@ -31,6 +31,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from driftwise.llm.batches import in_batches
+
 # Element names of the HTML standard by their role here.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript iframe noframes noembed xmp template".split())
@@ -366,4 +368,4 @@ def extract_main_text(
                 )
 
     given = pages.select(F.col(key).alias("page_id"), F.col(url).alias("url"), F.col(source).alias("html"))
-    return given.mapInArrow(run, schema)
+    return in_batches(given, run, schema)

@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
+from driftwise.llm.batches import in_batches
 from driftwise.llm.words import STRETCH, in_groups
 from driftwise.session import stage
 
@@ -123,7 +124,7 @@ def term_hits(documents: DataFrame, terms: list[bytes], key: str, text: str) ->
                 yield rows.filter(pa.array([n > 0 for n in sizes], pa.bool_()))
 
     given = documents.select(F.col(f"`{key}`").alias("doc_id"), F.col(f"`{text}`").cast("binary").alias("text"))
-    return stage(given.mapInArrow(run, schema), "term-hits")
+    return stage(in_batches(given, run, schema), "term-hits")
 
 
 class Best:
@@ -199,7 +200,7 @@ def _scored(hits: DataFrame, items: list, postings: tuple, weights: np.ndarray,
             found = pa.table([table["item"], item_id, table["doc_id"], table["score"]], names=schema.fieldNames())
             yield from found.to_batches(max_chunksize=10_000)
 
-    return hits.mapInArrow(run, schema)
+    return in_batches(hits, run, schema)
 
 
 def _postings(rows: list) -> tuple[list[bytes], tuple[np.ndarray, np.ndarray, np.ndarray]]:

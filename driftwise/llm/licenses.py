@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from driftwise.llm.batches import in_batches
 from driftwise.llm.license_texts import LICENSE_TEXTS, VARIANT_WORDS
 from driftwise.llm.words import ALPHANUMERIC, in_groups, shingles, word_hashes
 
@@ -207,4 +208,4 @@ def scan_licenses(
                 )
 
     given = documents.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
-    return given.mapInArrow(run, schema)
+    return in_batches(given, run, schema)

@@ -40,6 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from driftwise.llm.batches import in_batches
 from driftwise.llm.components import components, merged
 from driftwise.llm.dense_links import cross_pairs
 from driftwise.llm.tables import with_row_key
@@ -174,7 +175,7 @@ def shingle_rows(documents: DataFrame, percent: int, key: str, text: str) -> Dat
             row += len(sets)
 
     given = documents.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
-    return stage(given.mapInArrow(run, schema), "shingle-rows")
+    return stage(in_batches(given, run, schema), "shingle-rows")
 
 
 def forest_rows(rows: DataFrame, percent: int) -> DataFrame:
@@ -267,18 +268,11 @@ def _followers(percent: int, followers: int, edges: bool):
 def candidates(forest: DataFrame, percent: int, followers: int = FOLLOWERS) -> DataFrame:
     """Distinct candidate pairs (a < b) with the number of agreeing values, written once."""
     order = ["region", "deeper", "node"]
-    scanned = stage(
-        forest.repartitionByRange(*order)
-        .sortWithinPartitions(*order)
-        .mapInArrow(_followers(percent, followers, True), _PAIR),
-        "followers",
-    )
+    sorted_rows = forest.repartitionByRange(*order).sortWithinPartitions(*order)
+    scanned = stage(in_batches(sorted_rows, _followers(percent, followers, True), _PAIR), "followers")
     # Only the few rows at the ends of each part: as many as there are parts, not rows.
-    across = (
-        scanned.where("edge is not null").select("edge.*").coalesce(1)
-        .sortWithinPartitions(*order)
-        .mapInArrow(_followers(percent, followers, False), _PAIR)
-    )
+    ends = scanned.where("edge is not null").select("edge.*").coalesce(1).sortWithinPartitions(*order)
+    across = in_batches(ends, _followers(percent, followers, False), _PAIR)
     return stage(
         scanned.where("a is not null").union(across).groupBy("a", "b").agg(F.max("agreeing").alias("agreeing")),
         "candidates",
@@ -313,7 +307,7 @@ def node_sets(documents: DataFrame, rows: DataFrame, nodes: DataFrame, key: str,
 
     given = documents.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
     wanted = given.join(first, F.col("doc_id").eqNullSafe(F.col("first")), "left_semi")
-    return stage(wanted.mapInArrow(run, schema), "node-sets")
+    return stage(in_batches(wanted, run, schema), "node-sets")
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:

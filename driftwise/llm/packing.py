@@ -23,7 +23,8 @@ repeated rows are packed as often as they occur; an empty table gives no pieces.
 from __future__ import annotations
 
 import zlib
-from collections.abc import Callable, Iterator, Mapping
+from bisect import bisect_right
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -34,6 +35,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from driftwise.llm.batches import in_batches
 from driftwise.session import stage
 
 SEQUENCE = 2048
@@ -41,8 +43,10 @@ WINDOW = 64 * SEQUENCE
 END_ID = 1
 #: Queues whose totals the driver holds. Beyond it, sources share queues by hash.
 MAX_QUEUES = 50_000
-#: Words whose ids a worker remembers, about 150 bytes each.
-CACHE_WORDS = 800_000
+#: Words whose ids a task remembers, about 250 bytes each.
+CACHE_WORDS = 200_000
+#: Bytes of window layouts that a task remembers.
+LAYOUT_BYTES = 32 << 20
 #: Places of (part, queue) that are broadcast, about 60 bytes each.
 BROADCAST_ROWS = 200_000
 
@@ -119,7 +123,7 @@ _WORD_IDS: dict[str, WordIds] = {}
 
 
 def word_ids(path: str) -> WordIds:
-    """One table per worker process, kept between its tasks."""
+    """One tokenizer per worker process, kept between its tasks."""
     if path not in _WORD_IDS:
         _WORD_IDS[path] = WordIds(path)
     return _WORD_IDS[path]
@@ -168,11 +172,13 @@ def tokenized(
                     ],
                     names=schema.fieldNames(),
                 )
+        # a worker outlives its task, and the next stages need the memory
+        find.clear()
 
     given = documents.select(
         F.col(key).alias("doc_id"), F.col(queue).alias("queue"), F.col(text).alias("text")
     )
-    return stage(given.mapInArrow(run, schema), "packing-ids")
+    return stage(in_batches(given, run, schema), "packing-ids")
 
 
 @dataclass(frozen=True)
@@ -191,50 +197,82 @@ class Phase:
         return whole * window + rest * window // self.windows
 
 
+class Phases(Sequence):
+    """All phases in memory of a few numbers per queue; a phase is computed when it is asked for.
+
+    With ``rate`` tokens per unit of time a queue has given ``min(total, floor(rate * t))`` by
+    the time t and runs dry at total / rate; a phase ends at each of these times. ``rest`` marks
+    the queues without a target: they give nothing before the last phase and all they have in it.
+    """
+
+    def __init__(self, totals: np.ndarray, rates: np.ndarray, rest: np.ndarray, window: int) -> None:
+        self.totals, self.rates, self.rest, self.window = totals, rates, rest, window
+        with np.errstate(divide="ignore", invalid="ignore"):
+            self.dry = np.where(rest, np.inf, totals / rates)
+        self.ends = np.unique(self.dry[totals > 0])
+        sums = [0, *(int(self.reached(p).sum()) for p in range(len(self.ends)))]
+        # a phase in which no queue gives a whole token is none
+        self.ends = self.ends[np.diff(sums) > 0]
+        self.bases = np.array([0, *(n for low, n in zip(sums, sums[1:]) if n > low)], dtype=np.int64)
+
+    def reached(self, p: int, q: int | slice = slice(None)) -> np.ndarray:
+        """Tokens that queues have given by the end of phase ``p``."""
+        if p < 0:
+            return np.zeros_like(self.totals[q])
+        end = self.ends[p]
+        spent = np.floor(self.rates[q] * (end if np.isfinite(end) else 0.0))
+        return np.where(self.dry[q] <= end, self.totals[q], np.minimum(spent, self.totals[q]).astype(np.int64))
+
+    def holding(self, q: int, at: int) -> int:
+        """The phase in which queue ``q`` gives its token ``at``."""
+        if len(self.ends) == 1:
+            return 0
+        return bisect_right(range(len(self.ends)), at, key=lambda p: int(self.reached(p, q)))
+
+    def __len__(self) -> int:
+        return len(self.ends)
+
+    def __getitem__(self, p: int) -> Phase:
+        if not 0 <= p < len(self):
+            raise IndexError(p)
+        start, base = self.reached(p - 1), int(self.bases[p])
+        return Phase(start, self.reached(p) - start, -(-(int(self.bases[p + 1]) - base) // self.window), base)
+
+
 def schedule(
     totals: Mapping[str, int], weights: Mapping[str, float] | None, window: int
-) -> tuple[list[str], list[Phase]]:
+) -> tuple[list[str], Phases]:
     """Queue names in round-robin order, and the phases."""
     names = sorted(totals)
-    left = [int(totals[q]) for q in names]
-    share = left if weights is None else [max(float(weights.get(q, 0.0)), 0.0) for q in names]
-    phases, base, start = [], 0, [0] * len(names)
-    while any(left):
-        active = [i for i, (n, w) in enumerate(zip(left, share)) if n and w]
-        if not active:  # queues without a target fill what is left by their size
-            share, active = list(left), [i for i, n in enumerate(left) if n]
-        # the queue that runs dry first ends the phase
-        first = min(active, key=lambda i: left[i] / share[i])
-        taken = [0] * len(names)
-        for i in active:
-            taken[i] = (
-                left[i]
-                if weights is None or i == first
-                else min(left[i], int(left[first] * share[i] / share[first]))
-            )
-        total = sum(taken)
-        phases.append(
-            Phase(np.array(start, dtype=np.int64), np.array(taken, dtype=np.int64), -(-total // window), base)
-        )
-        base += total
-        start = [s + t for s, t in zip(start, taken)]
-        left = [n - t for n, t in zip(left, taken)]
-    return names, phases
+    have = np.array([int(totals[q]) for q in names], dtype=np.int64)
+    if weights is None:
+        return names, Phases(have, np.zeros(len(names)), np.ones(len(names), dtype=bool), window)
+    rates = np.array([max(float(weights.get(q, 0.0)), 0.0) for q in names])
+    return names, Phases(have, rates, rates == 0, window)
 
 
 def _pieces(
-    names: list[str], phases: list[Phase], sequence: int
+    names: list[str], phases: Phases, sequence: int
 ) -> Callable[[str, int, int], Iterator[tuple[int, int, int]]]:
     """(queue, first token, tokens) -> (start in the document, length, place in the packed stream)."""
     index = {q: i for i, q in enumerate(names)}
     layouts: dict[tuple[int, int], tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
+    most = max(1, LAYOUT_BYTES // (24 * max(1, len(names))))
+    opened: dict[int, Phase] = {}
+
+    def phase_of(p: int) -> Phase:
+        if p not in opened:
+            if len(opened) >= most:
+                opened.clear()
+            opened[p] = phases[p]
+        return opened[p]
 
     def layout(p: int, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Per queue: first token, one past the last, and the place of the first."""
         if (p, window) not in layouts:
-            if len(layouts) >= 4096:
+            if len(layouts) >= most:
                 layouts.clear()
-            phase = phases[p]
+            phase = phase_of(p)
             low, high = phase.given(window), phase.given(window + 1)
             sizes = high - low
             places = phase.base + int(low.sum()) + np.concatenate(([0], np.cumsum(sizes)[:-1]))
@@ -243,11 +281,9 @@ def _pieces(
 
     def cut(queue: str, first: int, n: int) -> Iterator[tuple[int, int, int]]:
         q, at, end = index[queue], first, first + n
-        p = 0
         while at < end:
-            while at >= phases[p].start[q] + phases[p].taken[q]:
-                p += 1
-            phase = phases[p]
+            p = phases.holding(q, at)
+            phase = phase_of(p)
             inside = at - int(phase.start[q])
             window = ((inside + 1) * phase.windows - 1) // int(phase.taken[q])
             low, high, places = layout(p, window)
@@ -345,4 +381,4 @@ def pack(
                     columns.append(pa.array(kept, pa.binary()))
                 yield pa.RecordBatch.from_arrays(columns, names=schema.fieldNames())
 
-    return placed.mapInArrow(run, schema)
+    return in_batches(placed, run, schema)

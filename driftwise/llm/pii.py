@@ -25,6 +25,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from driftwise.llm.batches import in_batches
+
 KINDS = ("email", "ip", "card", "phone")
 Span = tuple[str, int, int]
 
@@ -289,7 +291,7 @@ def find_personal_data(documents: DataFrame, key: str = "doc_id", text: str = "t
             )
 
     given = documents.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
-    return given.mapInArrow(run, schema)
+    return in_batches(given, run, schema)
 
 
 def redact(documents: DataFrame, text: str = "text", n_chars: str | None = "n_chars") -> DataFrame:
@@ -314,4 +316,4 @@ def redact(documents: DataFrame, text: str = "text", n_chars: str | None = "n_ch
     # Python stages take no dots in names, and names may be repeated
     names = [f"c{i}" for i in range(len(documents.columns))]
     plain = documents.toDF(*names)
-    return plain.mapInArrow(run, plain.schema).toDF(*documents.columns)
+    return in_batches(plain, run, plain.schema).toDF(*documents.columns)

@@ -33,6 +33,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from driftwise.llm.batches import in_batches
+
 DEFAULT = "allow"
 RANGES = 4096
 #: Rows of a range, where the partitions of the session do not make them smaller.
@@ -118,7 +120,7 @@ def _with_ranges(keyed: DataFrame, cuts) -> DataFrame:
                 names=schema.fieldNames(),
             )
 
-    return keyed.mapInArrow(run, schema)
+    return in_batches(keyed, run, schema)
 
 
 def _rule_rows(rules: DataFrame, cuts) -> DataFrame:
@@ -147,7 +149,7 @@ def _rule_rows(rules: DataFrame, cuts) -> DataFrame:
                 [pa.array(list(c), t) for c, t in zip(columns, types)], names=schema.fieldNames()
             )
 
-    return one.mapInArrow(run, schema)
+    return in_batches(one, run, schema)
 
 
 class Frame:
@@ -234,8 +236,5 @@ def judged(
             *[T.StructField(c, T.StringType()) for c in ("host", "path", "rule", "verdict")],
         ]
     )
-    return (
-        both.repartitionById(len(bounds) + 1, F.col("range"))
-        .sortWithinPartitions(*order)
-        .mapInArrow(_sweep(default, schema.fieldNames()), schema)
-    )
+    dealt = both.repartitionById(len(bounds) + 1, F.col("range")).sortWithinPartitions(*order)
+    return in_batches(dealt, _sweep(default, schema.fieldNames()), schema)

@@ -1,5 +1,7 @@
 """Packing against the library's ids, and the schedule against a sequential round-robin."""
 
+import pickle
+import time
 import zlib
 
 import numpy as np
@@ -142,3 +144,43 @@ def test_phases_follow_the_weights():
     names, phases = packing.schedule({"a": 100, "b": 100, "c": 50}, {"a": 3.0, "b": 1.0}, 40)
     assert [p.taken.tolist() for p in phases] == [[100, 33, 0], [0, 67, 0], [0, 0, 50]]
     assert [p.base for p in phases] == [0, 133, 200]
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 60), st.sampled_from([0.0, 0.3, 1.0, 2.5, 1e-9, 7.0])), min_size=1, max_size=9), st.integers(4, 50))
+def test_weighted_pieces_tile_the_stream(queues, window):
+    totals = {f"q{i}": n for i, (n, _) in enumerate(queues)}
+    names, phases = packing.schedule(totals, {f"q{i}": w for i, (_, w) in enumerate(queues)}, window)
+    cut, places = packing._pieces(names, phases, 8), []
+    for q, n in totals.items():
+        at = 0
+        for first in range(0, n, 7):  # documents of seven tokens
+            pieces = list(cut(q, first, min(7, n - first)))
+            assert [p[0] for p in pieces] == np.cumsum([0, *(p[1] for p in pieces)])[:-1].tolist()
+            at += sum(p[1] for p in pieces)
+            places += [place + k for _, length, place in pieces for k in range(length)]
+        assert at == n
+    assert sorted(places) == list(range(sum(totals.values())))
+
+
+def test_state_is_linear_in_the_weighted_sources():
+    rng = np.random.default_rng(4)
+    sizes = {}
+    for n in (2_500, 5_000):
+        totals = {f"s{i}": int(rng.integers(1, 10**9)) for i in range(n)}
+        start = time.perf_counter()
+        names, phases = packing.schedule(totals, {q: float(rng.random()) for q in totals}, packing.WINDOW)
+        assert time.perf_counter() - start < 10 and len(phases) > n // 2
+        sizes[n] = len(pickle.dumps((names, phases)))
+    assert sizes[5_000] < 2.2 * sizes[2_500] < 1 << 20
+    before = sum(totals.values())
+    assert sum(int(phases[p].taken.sum()) for p in range(0, len(phases), 500)) < before == int(phases.bases[-1])
+
+
+def test_layouts_keep_to_their_bound(monkeypatch):
+    monkeypatch.setattr(packing, "LAYOUT_BYTES", 24 * 4)
+    totals = {"a": 1000, "b": 700, "c": 40}
+    names, phases = packing.schedule(totals, {"a": 1.0, "b": 2.0, "c": 1.0}, 64)
+    cut = packing._pieces(names, phases, 16)
+    places = sorted(place + k for q, n in totals.items() for _, length, place in cut(q, 0, n) for k in range(length))
+    assert places == list(range(1740))
