@@ -22,6 +22,7 @@ repeated rows are packed as often as they occur; an empty table gives no pieces.
 
 from __future__ import annotations
 
+import re
 import zlib
 from bisect import bisect_right
 from collections.abc import Callable, Iterator, Mapping, Sequence
@@ -29,7 +30,6 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -44,7 +44,7 @@ END_ID = 1
 #: Queues whose totals the driver holds. Beyond it, sources share queues by hash.
 MAX_QUEUES = 50_000
 #: Words whose ids a task remembers, about 250 bytes each.
-CACHE_WORDS = 200_000
+CACHE_WORDS = 400_000
 #: Bytes of window layouts that a task remembers.
 LAYOUT_BYTES = 32 << 20
 #: Places of (part, queue) that are broadcast, about 60 bytes each.
@@ -67,8 +67,10 @@ class WordIds(dict):
         if self._tokenizer.get_vocab_size() > 1 << 16:
             raise ValueError("ids must fit in 16 bits")
         self._model = self._tokenizer.model
-        self._words = regex.compile(
-            r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\t-\r \x85\xa0\p{L}\p{N}]+"
+        # letters and numbers among lower-cased Latin-1 characters
+        letter, number = "a-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff", "0-9\xb2\xb3\xb9\xbc-\xbe"
+        self._words = re.compile(
+            f"[{letter}]+|[{number}]|'(?:s|t|re|ve|m|ll|d)|[^\t-\r \x85\xa0{letter}{number}]+"
         ).findall
         # byte-level spelling: printable bytes stand for themselves, the others follow U+0100
         plain = [*range(33, 127), *range(161, 173), *range(174, 256)]

@@ -6,6 +6,7 @@ import zlib
 
 import numpy as np
 import pytest
+import regex
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import types as T
@@ -36,6 +37,13 @@ def test_ids_equal_the_library(text):
     assert np.frombuffer(WORDS.of(text), "<u2").tolist() == ids_of(text)
 
 
+def test_words_of_every_latin_character():
+    plain = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\t-\r \x85\xa0\p{L}\p{N}]+")
+    for c in map(chr, range(256)):
+        text = f"a{c}b 1{c}2 {c}{c} '{c} {c}'s'".lower()
+        assert WORDS._words(text) == plain.findall(text)
+
+
 def test_a_full_table_is_cleared(monkeypatch):
     monkeypatch.setattr(packing, "CACHE_WORDS", 3)
     words = packing.WordIds(PATH)
