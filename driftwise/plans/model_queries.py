@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from driftwise.functions.scalar import residual
 from driftwise.operators import classification as cls
-from driftwise.operators import selection
+from driftwise.operators import selection, trees
 from driftwise.operators.forest import class_weight_table, fit_forest, fit_tree, forest_grid
 from driftwise.operators.kpis import kpi_table
 from driftwise.operators.prep import Imputer
@@ -18,6 +18,7 @@ from driftwise.plans.book import BookSpec, labelled, run
 from driftwise.plans.catalog import query
 from driftwise.plans.fusion_queries import rounded
 from driftwise.plans.prep_queries import FEATURES, filled
+from driftwise.plans.tree_twins import bin_tables, drawn, features_drawn, grown
 from driftwise.plans.twins import FILLED, hash_order, over
 from driftwise.session import stage, stage_once
 
@@ -115,10 +116,40 @@ def forward_selection(spark, sf_dir):
     return rounded(_picked(spark, picks), 6, "accuracy")
 
 
-@query("forward_selection_by_trees")
+def _tree_round_sql(i: int) -> str:
+    """Grow a tree for every feature not yet chosen, over the chosen ones and itself; pick the best."""
+    taken = "".join(f" AND f <> (SELECT tree FROM choice{j})" for j in range(1, i))
+    chosen = "".join(f", (SELECT tree FROM choice{j})" for j in range(1, i))
+    start = (
+        "SELECT f AS tree, id, label, CAST(NOT held_out AS INTEGER) AS times FROM "
+        f"(SELECT DISTINCT id, label, held_out FROM bins), (SELECT unnest(range({len(FEATURES)})) AS f) WHERE true{taken}"
+    )
+    return (
+        grown(f"g{i}", start, 5, NAMES, allowed=f"AND f IN (n.tree{chosen})")
+        + f""",
+rated{i} AS MATERIALIZED (
+  SELECT tree, avg(CAST(label = CASE WHEN n0 >= n1 AND n0 >= n2 THEN '{NAMES[0]}' WHEN n1 >= n2 THEN '{NAMES[1]}' ELSE '{NAMES[2]}' END AS DOUBLE)) AS accuracy
+  FROM g{i}n5 JOIN g{i}nodes USING (tree, node) WHERE times = 0 GROUP BY tree),
+choice{i} AS MATERIALIZED (
+  SELECT tree, list_extract({FEATURES!r}, CAST(tree AS INTEGER) + 1) AS candidate, accuracy FROM rated{i}
+  ORDER BY accuracy DESC, candidate DESC LIMIT 1)"""
+    )
+
+
+@query(
+    "forward_selection_by_trees",
+    over(
+        FILLED,
+        SELECTION.split("edges AS")[0].rstrip().rstrip(","),
+        bin_tables(FEATURES, trees.BINS, "parts", "NOT held_out"),
+        *[_tree_round_sql(i + 1) for i in range(len(FEATURES))],
+        select=" UNION ALL ".join(f"SELECT {i + 1} AS round, candidate, round(accuracy, 6) AS accuracy FROM choice{i + 1}" for i in range(len(FEATURES))),
+    ),
+)
 def forward_selection_by_trees(spark, sf_dir):
     rows = _selection_rows(spark, sf_dir)
-    return _picked(spark, selection.select_by_trees(rows, FEATURES, "class_true", NAMES, "split", len(FEATURES)))
+    picks = selection.select_by_trees(rows, FEATURES, "class_true", NAMES, "split", len(FEATURES))
+    return rounded(_picked(spark, picks), 6, "accuracy")
 
 
 # Classifiers ----------------------------------------------------------------------------
@@ -150,13 +181,136 @@ def _train(df: DataFrame) -> DataFrame:
     return df.filter("split = 'train'")
 
 
-@query("tree_predictions")
+_BY_CLASS = f"""
+parts AS MATERIALIZED (
+  SELECT *, row_number() OVER (PARTITION BY class_true ORDER BY {hash_order("42")}) > floor(0.8::DOUBLE * count(*) OVER (PARTITION BY class_true)) AS held_out
+  FROM filled),{bin_tables(FEATURES, trees.BINS, "parts", "NOT held_out")}"""
+_ONE_TREE = grown("t", "SELECT DISTINCT 0 AS tree, id, label, CAST(NOT held_out AS INTEGER) AS times FROM bins", 5, NAMES)
+_SMALL = {"trees": 3, "depth": 3, "seed": 7}
+_WEIGHTS = ", ".join(
+    f"count(*)::DOUBLE / (3 * sum(CASE WHEN class_true = '{c}' THEN 1 ELSE 0 END)) AS w{i}" for i, c in enumerate(NAMES)
+)
+_FEATURE_NAME = f"list_extract({FEATURES!r}, CAST(f AS INTEGER) + 1)"
+_SMALL_FOREST = (
+    f"balance AS MATERIALIZED (SELECT {_WEIGHTS} FROM parts WHERE NOT held_out),\n"
+    + features_drawn(_SMALL["seed"], _SMALL["trees"], _SMALL["depth"], len(FEATURES), 2)
+    + ",\n"
+    + grown(
+        "t", drawn(_SMALL["seed"], _SMALL["trees"]), _SMALL["depth"], NAMES, ["w0", "w1", "w2"],
+        allowed="AND (n.tree, node, f) IN (SELECT (tree, node, f) FROM allowed)", weight_table=", balance",
+    )
+    + """,
+leaves AS MATERIALIZED (
+  SELECT id, avg(w0 * n0 / (w0 * n0 + w1 * n1 + w2 * n2)) AS p0, avg(w1 * n1 / (w0 * n0 + w1 * n1 + w2 * n2)) AS p1,
+         avg(w2 * n2 / (w0 * n0 + w1 * n1 + w2 * n2)) AS p2
+  FROM tn3 JOIN tnodes USING (tree, node), balance GROUP BY id)"""
+)
+
+
+def _small_forest(spark, sf_dir):
+    def make():
+        train = _train(_split_by_class(spark, sf_dir))
+        weights = {r["class_true"]: r["weight"] for r in class_weight_table(train, "class_true").collect()}
+        return trees.grow_forest(train, FEATURES, "class_true", NAMES, "policy_id", weights=weights, **_SMALL)
+
+    return _fitted(spark, sf_dir, "small forest", make)
+
+
+@query(
+    "tree_predictions",
+    over(
+        FILLED,
+        _BY_CLASS,
+        _ONE_TREE,
+        select=f"""SELECT id AS policy_id, CASE WHEN held_out THEN 'test' ELSE 'train' END AS split, n.label AS class_true,
+       CASE WHEN n0 >= n1 AND n0 >= n2 THEN '{NAMES[0]}' WHEN n1 >= n2 THEN '{NAMES[1]}' ELSE '{NAMES[2]}' END AS class_pred
+FROM tn5 AS n JOIN tnodes USING (tree, node) JOIN parts ON policy_id = id""",
+    ),
+)
 def tree_predictions(spark, sf_dir):
-    rows = _split_by_class(spark, sf_dir)
-    model = fit_tree(_train(rows), FEATURES, "class_true", NAMES)
+    rows, model = _split_by_class(spark, sf_dir), _tree(spark, sf_dir)
     return model.transform(rows).select("policy_id", "split", "class_true", "class_pred")
 
 
+def _tree(spark, sf_dir):
+    return _fitted(
+        spark, sf_dir, "tree", lambda: trees.grow_tree(_train(_split_by_class(spark, sf_dir)), FEATURES, "class_true", NAMES)
+    )
+
+
+_SPLIT_COLUMNS = f"tree, node, {_FEATURE_NAME} AS feature, round(edge, 6) AS cut, " + ", ".join(
+    f"CAST(n{i} AS BIGINT) AS n_{c}" for i, c in enumerate(NAMES)
+)
+
+
+def _split_rows(model, spark):
+    kept = [f"n_{c}" for c in model.classes]
+    return rounded(model.table(spark.range(0)).select("tree", "node", "feature", F.round("cut", 6).alias("cut"), *kept, "gain"), 9, "gain")
+
+
+@query(
+    "tree_splits",
+    over(
+        FILLED,
+        _BY_CLASS,
+        _ONE_TREE,
+        select=f"""SELECT {_SPLIT_COLUMNS}, round(gain, 9) AS gain
+FROM tnodes LEFT JOIN tsplits USING (tree, node) LEFT JOIN edges USING (f) WHERE f IS NULL OR i = bin""",
+    ),
+)
+def tree_splits(spark, sf_dir):
+    """The fitted tree as a table: a row per node."""
+    return _split_rows(_tree(spark, sf_dir), spark)
+
+
+@query(
+    "forest_splits",
+    over(
+        FILLED,
+        _BY_CLASS,
+        _SMALL_FOREST,
+        select=f"""SELECT CAST(tree AS INTEGER) AS tree, CAST(node AS INTEGER) AS node, {_SPLIT_COLUMNS.removeprefix("tree, node, ")}, round(gain, 9) AS gain
+FROM tnodes LEFT JOIN tsplits USING (tree, node) LEFT JOIN edges USING (f) WHERE f IS NULL OR i = bin""",
+    ),
+)
+def forest_splits(spark, sf_dir):
+    """A small forest, bootstrapped and with drawn features, as a table."""
+    return _split_rows(_small_forest(spark, sf_dir), spark)
+
+
+@query(
+    "grown_forest_predictions",
+    over(
+        FILLED,
+        _BY_CLASS,
+        _SMALL_FOREST,
+        select="""SELECT id AS policy_id, round(p0, 9) AS p_down, round(p1, 9) AS p_keep, round(p2, 9) AS p_up FROM leaves""",
+    ),
+)
+def grown_forest_predictions(spark, sf_dir):
+    rows = _small_forest(spark, sf_dir).transform(_split_by_class(spark, sf_dir))
+    return rounded(rows.select("policy_id", "p_down", "p_keep", "p_up"), 9, "p_down", "p_keep", "p_up")
+
+
+@query(
+    "grown_forest_importances",
+    over(
+        FILLED,
+        _BY_CLASS,
+        _SMALL_FOREST,
+        select=f"""SELECT feature, round(coalesce(avg_share, 0) / sum(avg_share) OVER (), 9) AS importance
+FROM (SELECT unnest({FEATURES!r}) AS feature) LEFT JOIN (
+  SELECT {_FEATURE_NAME} AS feature, sum(share) AS avg_share FROM (
+    SELECT f, own / sum(own) OVER (PARTITION BY tree) AS share FROM (
+      SELECT tree, f, sum(gain * (w0 * all0 + w1 * all1 + w2 * all2)) AS own FROM tsplits, balance GROUP BY tree, f))
+  GROUP BY f) USING (feature)""",
+    ),
+)
+def grown_forest_importances(spark, sf_dir):
+    rows = list(_small_forest(spark, sf_dir).importances().items())
+    return rounded(spark.createDataFrame(rows, "feature string, importance double"), 9, "importance")
+
+
 STUMP = """
 sides AS (
   SELECT cut, pct_before > cut AS beyond, class_true, count(*)::DOUBLE AS n
