@@ -25,8 +25,8 @@ repeated rows are counted alike; an empty table gives no rows.
 from __future__ import annotations
 
 import json
-import unicodedata
 from collections.abc import Iterator, Sequence
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +34,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from tokenizers import Regex
+from tokenizers.pre_tokenizers import Split
 
 from driftwise.llm.batches import in_batches
 from driftwise.llm.words import in_groups
@@ -98,23 +100,31 @@ def _pretoken_table() -> tuple[np.ndarray, np.ndarray]:
     return following, marks
 
 
+@cache
+def class_spans() -> list[tuple[int, int, int]]:
+    """(first, past the last, class) of all code points that are letters, numbers or white space to
+    the library, by its own patterns: its tables follow another release of the standard than Python's."""
+    codes = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    every = "".join(map(chr, codes))
+    spans = []
+    for pattern, kind in ((r"\p{L}+", LETTER), (r"\p{N}+", NUMBER), (r"\s+", BLANK)):
+        found = Split(Regex(pattern), "removed", invert=True).pre_tokenize_str(every)
+        spans += [(codes[low], codes[high - 1] + 1, kind) for _, (low, high) in found]
+    return spans
+
+
 _classes: np.ndarray | None = None
 
 
-def character_classes() -> np.ndarray:
+def character_classes(spans: list[tuple[int, int, int]] | None = None) -> np.ndarray:
     """Class of every code point, filled once per process."""
     global _classes
     if _classes is None:
         table = np.full(0x110000, OTHER, dtype=np.uint8)
-        for code in range(0x110000):
-            kind = unicodedata.category(chr(code))[0]
-            if kind == "L":
-                table[code] = LETTER
-            elif kind == "N":
-                table[code] = NUMBER
-            elif kind == "Z":
-                table[code] = BLANK
-        table[[9, 10, 11, 12, 13, 0x85]] = BLANK
+        for low, high, kind in class_spans() if spans is None else spans:
+            table[low:high] = kind
+        # encoded text has no surrogates; a span may run over their gap
+        table[0xD800:0xE000] = OTHER
         table[32] = SPACE
         table[ord("'")] = APOSTROPHE
         for letter, c in _CONTRACTION.items():
@@ -321,7 +331,10 @@ def token_counts(
         ]
     )
 
+    spans = class_spans()  # seconds of work: once on the driver, about a thousand rows to the tasks
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        character_classes(spans)
         counts = compiled(tokenizer)
         for batch in batches:
             sizes = pc.binary_length(batch["text"]).fill_null(0).to_pylist()

@@ -77,3 +77,11 @@ def test_nulls_repeats_clashing_names_and_empty_tables(spark):
         (None, 0, 0, False), (1, 0, 0, False), (2, 3, 2, False), (2, 3, 2, False)
     ]
     assert tc.token_counts(df.limit(0), PATH).collect() == []
+
+
+def test_every_code_point():
+    codes = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    texts = ["".join(f"\na{chr(c)}a 1{chr(c)}1 !{chr(c)}! {chr(c)}" for c in codes[i : i + 32]) for i in range(0, len(codes), 32)]
+    want = [len(e.ids) for e in LIBRARY.encode_batch(texts, add_special_tokens=False)]
+    got = np.concatenate([tc.count_tokens(texts[i : i + 500], COUNTS) for i in range(0, len(texts), 500)])
+    assert [texts[i] for i in np.flatnonzero(got != want)] == []
