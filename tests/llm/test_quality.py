@@ -67,6 +67,14 @@ def test_rules_are_ordered_by_rejection_per_cost(docs):
     assert all(e.seconds > 0 and 0 <= e.rejected <= 1 for e in ordered) and len(ordered) == len(RULES)
 
 
+def test_a_costly_rule_is_ranked_by_its_cost(spark):
+    texts = spark.createDataFrame([(i, PROSE + f" {i}") for i in range(1500)], SCHEMA).repartition(8)
+    slow = Rule("slow", lambda m: F.aggregate(F.sequence(F.lit(1), 400 + F.size(m.words)), F.lit(0), lambda a, i: (a + i) % 7) >= 0)
+    quick = [Rule(f"quick{k}", lambda m, k=k: F.size(m.words) > k) for k in range(2)]
+    for _ in range(10):
+        assert order_rules(texts, [slow, *quick])[-1].name == "slow"
+
+
 def test_plan_has_no_python(docs):
     plan = quality_report(docs, EXTRA_RULES)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
