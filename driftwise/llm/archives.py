@@ -19,7 +19,6 @@ from __future__ import annotations
 import base64
 import hashlib
 import io
-import json
 import struct
 import uuid
 import zlib
@@ -33,6 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from driftwise.llm.batches import in_batches
+from driftwise.llm.hot_keys import hot_join
 from driftwise.session import new_table_path, stage
 
 PACKAGE_BYTES = 256 << 20
@@ -167,10 +167,9 @@ def write_packages(
                         out = fs.open_output_stream(f"{root}/{name}")
                         writer, index, size = PackageWriter(out, always_zip64), [], 0
                         writer.begin(DATA)
-                    page = json.dumps(row["page_id"])
                     raw = warc_record(
-                        f"urn:page:{page}", row["url"] or "", row["payload"], payload_digest(row["payload"]),
-                        None if row["refers_to"] is None else f"urn:page:{json.dumps(row['refers_to'])}",
+                        f"urn:page:{row['page_id'] or 'null'}", row["url"] or "", row["payload"], payload_digest(row["payload"]),
+                        None if row["refers_to"] is None else f"urn:page:{row['refers_to']}",
                         "1970-01-01T00:00:00Z",
                     )
                     packer = zlib.compressobj(1, zlib.DEFLATED, 31)
@@ -185,7 +184,8 @@ def write_packages(
         if writer is not None:
             yield finish()
 
-    return stage(in_batches(records, run, schema), "packages")
+    named = records.select(_json("page_id"), "url", "payload", _json("refers_to"))
+    return stage(in_batches(named, run, schema), "packages")
 
 
 # -- reading ---------------------------------------------------------------------------------
@@ -397,7 +397,7 @@ def archived(
     slim = rows.select("page_id", "sha1")
     first = slim.groupBy("sha1").agg(F.min("page_id").alias("refers_to"), F.count("*").alias("n"))
     repeats = (
-        slim.join(first.where("n > 1"), "sha1").where("page_id <> refers_to")
+        hot_join(slim, first.where("n > 1"), "sha1", pages.count()).where("page_id <> refers_to")
         .select("page_id", "sha1", "refers_to").distinct()
     )
     marked = rows.join(repeats, ["page_id", "sha1"], "left").select(
@@ -418,6 +418,13 @@ def archived(
     )
 
 
+def _json(column: str):
+    """An id of any type as JSON text; a missing one stays missing."""
+    text = F.to_json(F.struct(F.col(column).alias("v")))
+    inner = F.substring(text, F.lit(len('{"v":') + 1), F.length(text) - len('{"v":}'))
+    return F.when(F.col(column).isNotNull(), inner).alias(column)
+
+
 def _value(column: str, kind: T.DataType):
     """The id from its JSON text."""
     wrapped = F.concat(F.lit('{"v":'), F.col(column), F.lit("}"))

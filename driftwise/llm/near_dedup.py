@@ -43,6 +43,7 @@ from pyspark.sql import types as T
 from driftwise.llm.batches import in_batches
 from driftwise.llm.components import components, merged
 from driftwise.llm.dense_links import cross_pairs
+from driftwise.llm.hot_keys import hot_join
 from driftwise.llm.tables import with_row_key
 from driftwise.llm.words import SPACED, constants, in_groups, mix, text_shingles, word_hashes
 from driftwise.session import stage
@@ -380,16 +381,16 @@ def near_duplicates(
 def labelled(rows: DataFrame, roots: DataFrame) -> DataFrame:
     """Component of every row from the roots of the classes."""
     filled = rows.where("n_shingles > 0")
-    firsts = filled.groupBy("node").agg(F.min("doc_id").alias("first"))
+    firsts = filled.groupBy("node").agg(F.min("doc_id").alias("first"), F.count("*").alias("n"))
     linked = roots.join(firsts, "node")
     heads = linked.groupBy("root").agg(F.min("first").alias("head"))
     moved = linked.join(heads, "root").select("node", "head")
     named = firsts.join(moved, "node", "left").select(
-        "node", F.coalesce("head", "first").alias("component_id")
+        "node", "n", F.coalesce("head", "first").alias("component_id")
     )
     slim = ["row", "doc_id", "n_shingles"]
     out = (
-        filled.select(*slim, "node").join(named, "node").select(*slim, "component_id")
+        hot_join(filled.select(*slim, "node"), named, "node", rows.count()).select(*slim, "component_id")
         .union(rows.where("n_shingles = 0").select(*slim, F.col("doc_id").alias("component_id")))
     )
     return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))

@@ -110,3 +110,20 @@ def test_cut_off_packages_are_refused(cut):
     raw, _ = package(True, [b"x" * 3000])
     with pytest.raises(ValueError):
         PackageReader(io.BytesIO(raw[:-cut] if cut < len(raw) else b""))
+
+
+def test_ids_of_any_type(spark):
+    import datetime
+    from decimal import Decimal
+
+    for ids, kind in (
+        ([Decimal("1.50"), Decimal("2.25"), None], "decimal(6,2)"),
+        ([datetime.date(2020, 1, 2), datetime.date(1999, 12, 31), None], "date"),
+        ([b"\x00\xff", b"a", None], "binary"),
+        (['q"\n,}', "ä", None], "string"),
+    ):
+        rows = [(k, "http://x/", "same") for k in ids[:2]] + [(ids[2], "http://y/", "other")]
+        table = spark.createDataFrame(rows, f"page_id {kind}, url string, html string")
+        got = {r.page_id if kind != "binary" or r.page_id is None else bytes(r.page_id): r for r in archived(table).collect()}
+        assert set(got) == set(ids) and got[None].record_type == "response"
+        assert got[max(ids[:2])].record_type == "revisit" and got[max(ids[:2])].refers_to == min(ids[:2])
