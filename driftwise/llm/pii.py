@@ -149,9 +149,12 @@ class Aligned:
 
 # Bounds keep every search linear: a local part has 64 characters at most, a label 63.
 _GAP = r"[ \t]{0,4}"
-_BRACKETED_AT = rf"{_GAP}[\[({{<]{_GAP}(?:at|@){_GAP}[\])}}>]{_GAP}"
+# Character references of the at sign and the point.
+_AT_REFERENCE = r"&(?:#0{0,6}64|#x0{0,6}40|commat);"
+_DOT_REFERENCE = r"&(?:#0{0,6}46|#x0{0,6}2e|period);"
+_BRACKETED_AT = rf"(?:{_GAP}[\[({{<]{_GAP}(?:at|arroba|@){_GAP}[\])}}>]{_GAP}|{_GAP}{_AT_REFERENCE}{_GAP})"
 _SPACED = r"(?:[ \t_]{1,4}|\.)"
-_SPELLED_DOT = rf"(?:{_GAP}[\[({{<]{_GAP}(?:dot|punkt|point|punto|\.){_GAP}[\])}}>]{_GAP}|{_SPACED}dot{_SPACED})"
+_SPELLED_DOT = rf"(?:{_GAP}[\[({{<]{_GAP}(?:dot|punkt|point|punto|\.){_GAP}[\])}}>]{_GAP}|{_DOT_REFERENCE}|{_SPACED}(?:dot|punto){_SPACED})"
 # Endings that make "x at y dot z" an address whatever y is.
 ENDINGS = "com|org|net|edu|gov|mil|int|info|biz|io|ai|app|dev|eu|de|at|ch|fr|be|es|it|nl|pl|pt|ru|se|uk|us|ca|au|br|mx|in|jp|cn|co|me|tv|example|test|invalid|local"
 # Words before (a single) and after a "dot" in sentences about dots; any other word there is a name or an ending.
@@ -168,10 +171,27 @@ _SPELLED_DOMAIN = (
 _ADDRESS = re.compile(
     rf"(?i)(?<![A-Z0-9._%+-])(?:(?:[A-Z0-9_%+-]{{1,64}}(?:\.|{_SPELLED_DOT})){{0,6}}+[A-Z0-9_%+-]{{1,64}}+"
     rf"(?:(?P<sign>{_BRACKETED_AT}|{_GAP}@{_GAP}){_LABEL}(?:(?:\.|{_SPELLED_DOT}){_LABEL}){{1,8}}"
-    rf"|(?P<spelled>[ \t_]{{1,4}}at[ \t_]{{1,4}}){_SPELLED_DOMAIN})"
+    rf"|(?P<spelled>[ \t_]{{1,4}}(?:at|arroba)[ \t_]{{1,4}}){_SPELLED_DOMAIN})"
     rf"|(?:[A-Z0-9%+-]{{1,64}}+(?:_{{1,4}}|\.)){{0,6}}?[A-Z0-9%+-]{{1,64}}+(?P<joined>(?:_{{1,4}}|\.)at{_SPACED}){_SPELLED_DOMAIN})"
 )
 _DOT = re.compile(rf"(?i){_SPELLED_DOT}")
+_LOOSE_POINT = r"[ \t]{1,4}\.[ \t]{1,4}"
+#: An address with room around its at sign and its last point; only before a known ending, since
+#: sentences too have points with room around them.
+_LOOSE = re.compile(
+    rf"(?i)(?<![A-Z0-9._%+-])(?:[A-Z0-9_%+-]{{1,64}}(?:\.|{_LOOSE_POINT})){{0,3}}+[A-Z0-9_%+-]{{1,64}}+(?P<sign>{_GAP}@{_GAP})"
+    rf"{_LABEL}(?:(?:\.|{_LOOSE_POINT}){_LABEL}){{0,4}}{_LOOSE_POINT}(?:{ENDINGS})(?![A-Z0-9])"
+)
+_LOOSE_DOT = re.compile(_LOOSE_POINT)
+_NUMBER_DOT = rf"(?:{_SPELLED_DOT}|{_LOOSE_POINT})"
+#: Four numbers between points, some of them disguised, or all with room around them.
+_QUAD = re.compile(
+    rf"(?i)(?<![0-9.])[0-9]{{1,3}}(?:(?:(?:\.|{_SPELLED_DOT})[0-9]{{1,3}}){{3}}|(?:{_LOOSE_POINT}[0-9]{{1,3}}){{3}})(?![0-9])"
+)
+_QUAD_DOT = re.compile(rf"(?i){_NUMBER_DOT}")
+#: Card digits with letters that look like 0 and 1 among them.
+_LETTERED = re.compile(r"(?<![A-Za-z0-9])[0-9OoIl](?:[ -]?[0-9OoIl]){12,18}(?![A-Za-z0-9])")
+_DIGIT_LETTER = {"O": "0", "o": "0", "I": "1", "l": "1"}
 _WORD_OF_DIGIT = "|".join(sorted(DIGIT_OF, key=len, reverse=True))
 _DIGIT = rf"(?:\b(?:{_WORD_OF_DIGIT})\b|[0-9]+)"
 _DIGIT_GAP = rf"(?:{_GAP}(?:\bdot\b|\.){_GAP}|{_GAP}[-,]{_GAP}|[ \t]{{1,4}})"
@@ -179,25 +199,42 @@ _RUN = re.compile(rf"(?i)(?:(?:\bplus\b|\+){_GAP})?+{_DIGIT}(?:{_DIGIT_GAP}{_DIG
 _RUN_PART = re.compile(rf"(?i)(?P<plus>\bplus\b|\+)|(?P<word>\b(?:{_WORD_OF_DIGIT})\b)|(?P<digits>[0-9]+)|(?P<dot>\bdot\b|\.)")
 #: What a line must hold to be rewritten at all.
 _DISGUISE = re.compile(
-    rf"[^\x00-\u024f]|\u00ad|\u00a0|(?i:(?<![^\W_])dot(?![^\W_])|[\[({{<]{_GAP}(?:at|@|dot|punkt|point|punto|\.){_GAP}[\])}}>]"
+    rf"[^\x00-\u024f]|\u00ad|\u00a0|(?i:(?<![^\W_])(?:dot|arroba)(?![^\W_])|[\[({{<]{_GAP}(?:at|arroba|@|dot|punkt|point|punto|\.){_GAP}[\])}}>]"
+    rf"|{_AT_REFERENCE}|{_DOT_REFERENCE}|[ \t]\.[ \t]{{1,4}}(?:[0-9]|(?:{ENDINGS})(?![A-Z0-9]))|[0-9][ -]?[oil]{{1,3}}[ -]?[0-9]"
     rf"|\b(?:{_WORD_OF_DIGIT})\b[ \t,.-]{{1,4}}(?:{_WORD_OF_DIGIT})\b)"
 )
 
 
+def _pointed(m: re.Match, low: int, high: int, dot: re.Pattern) -> list[tuple[str, int, int]]:
+    """A stretch with every disguised point as one."""
+    out, text = [], m.string
+    for s in dot.finditer(text, low, high):
+        out += [(text[i], i, i + 1) for i in range(low, s.start())]
+        out.append((".", s.start(), s.end()))
+        low = s.end()
+    return out + [(text[i], i, i + 1) for i in range(low, high)]
+
+
 def _signs(m: re.Match) -> list[tuple[str, int, int]]:
     """The at and dot transducer inside one address."""
-    out, text = [], m.string
     begin, end = m.span("sign" if m["sign"] else "spelled" if m["spelled"] else "joined")
-    for low, high in ((m.start(), begin), (end, m.end())):
-        at = low
-        for s in _DOT.finditer(text, low, high):
-            out += [(text[i], i, i + 1) for i in range(at, s.start())]
-            out.append((".", s.start(), s.end()))
-            at = s.end()
-        out += [(text[i], i, i + 1) for i in range(at, high)]
-        if high == begin:
-            out.append(("@", begin, end))
-    return out
+    return [*_pointed(m, m.start(), begin, _DOT), ("@", begin, end), *_pointed(m, end, m.end(), _DOT)]
+
+
+def _loose_signs(m: re.Match) -> list[tuple[str, int, int]]:
+    begin, end = m.span("sign")
+    return [*_pointed(m, m.start(), begin, _LOOSE_DOT), ("@", begin, end), *_pointed(m, end, m.end(), _LOOSE_DOT)]
+
+
+def _quad_dots(m: re.Match) -> list[tuple[str, int, int]]:
+    return _pointed(m, m.start(), m.end(), _QUAD_DOT)
+
+
+def _lettered_digits(m: re.Match) -> list[tuple[str, int, int]]:
+    """Letters as the digits they look like, where most characters are digits."""
+    letters = sum(c in _DIGIT_LETTER for c in m[0])
+    give = _DIGIT_LETTER if 0 < letters <= 4 else {}
+    return [(give.get(m.string[i], m.string[i]), i, i + 1) for i in range(m.start(), m.end())]
 
 
 def _digits(m: re.Match) -> list[tuple[str, int, int]]:
@@ -223,7 +260,8 @@ def disguised_spans(text: str, base: list[Span]) -> list[Span]:
     out, low = [], 0
     for line in text.split("\n"):
         if _DISGUISE.search(line):
-            aligned = Aligned.of(line).rewrite(_ADDRESS, _signs).rewrite(_RUN, _digits)
+            aligned = Aligned.of(line).rewrite(_ADDRESS, _signs).rewrite(_LOOSE, _loose_signs).rewrite(_QUAD, _quad_dots)
+            aligned = aligned.rewrite(_RUN, _digits).rewrite(_LETTERED, _lettered_digits)
             for kind, s, e in base_spans(aligned.text):
                 start, end = low + aligned.begins[s], low + aligned.ends[e - 1]
                 if text[start:end] != aligned.text[s:e]:

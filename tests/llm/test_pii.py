@@ -136,3 +136,38 @@ def test_nulls_repeats_clashing_names_and_empty_tables(spark):
     assert clean.columns == df.columns
     assert [(r.text, r.n_chars, r.spans) for r in clean.collect()] == [(None, None, "x"), ("", 0, "x")] + [("<email>", 7, "x")] * 2
     assert find_personal_data(df.limit(0)).collect() == [] and redact(df.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize(
+    "kind, hidden",
+    [
+        ("ip", "192[.]168[.]1[.]1"), ("ip", "192[.]168.1.1"), ("ip", "192 . 168 . 1 . 1"), ("ip", "10(dot)0(dot)0(dot)255"), ("ip", "10 dot 0 dot 0 dot 7"),
+        ("email", "jane @ mail . com"), ("email", "jane.doe@mail . co . uk"), ("email", "jane&#64;mail.com"), ("email", "jane&#x40;mail&#46;com"),
+        ("email", "jane&commat;mail&period;com"), ("email", "jane arroba mail punto com"), ("email", "jane [arroba] mail [punto] es"),
+        ("card", "4111 1111 1111 1l11"), ("card", "4lll1111111I1111"), ("card", "5500-OO00-0000-0004"),
+    ],
+)
+def test_more_disguises(kind, hidden):
+    text = f"Ein Satz é.\nWrite to {hidden}, or not.\nEnd."
+    at = text.index(hidden)
+    assert (kind, at, at + len(hidden)) in all_spans(text)[1]
+    assert hidden not in redacted(text) and "or not" in redacted(text)
+
+
+@pytest.mark.parametrize(
+    "clean",
+    [
+        "Meet us at example.com or at home .", "We met @ home . Then we left", "He paid 10 . 20 . 30 in all", "AT&T; &amp; &#65; &lt;",
+        "version 1 . 2 . 3", "chapter 1.2.3 . 4", "el punto de vista", "Ollll O1l0 4lO", "300 . 300 . 300 . 300", "300[.]1[.]1[.]1",
+        "l0l0 l0l0 l0l0 l0l0 l0l0", "Serial 8O21-3l45", "1 . The first . com", "point . org chart",
+    ],
+)
+def test_more_clean_sentences(clean):
+    assert all_spans(clean)[1] == [] and redacted(clean) == clean
+
+
+def test_time_is_linear_in_loose_points():
+    for text in ("a . " * 60_000, "a @ b . c . " * 20_000 + "com", "1 . " * 60_000, "1[.]" * 60_000, "0l" * 100_000, "1l 0 " * 50_000, "a&#64;" * 40_000, "a . b @ " * 30_000 + " . com"):
+        began = time.time()
+        all_spans(text)
+        assert time.time() - began < 15, text[:20]
