@@ -14,9 +14,14 @@ name. A marked part that holds most of the body's unlinked text stays and its de
 if no text is left but there is some, marks do not count (a short notice stays out). If the best node lies in an ``article`` (or ``main``), that
 element is the result, so that its title and short paragraphs stay.
 
+A form (or ``object``) goes, with its labels and controls, unless the page is written inside of
+it: then it holds the ``article`` or most of the unlinked text, and only its controls go. Formulas
+and an ``aside`` of an article (a pull quote) stay; the source notes of a formula are markup.
+
 Defined results: null and empty html, and pages without text, give an empty text; a null id or
 url is passed on; repeated rows are extracted alike; an empty table gives no rows; broken or
-cut-off markup is read as far as it goes.
+cut-off markup is read as far as it goes; of nodes with equal sums the denser, then the first in
+page order is taken; pages of any length are read whole, in time linear in their length.
 """
 
 from __future__ import annotations
@@ -43,8 +48,11 @@ BLOCKS = frozenset(
 )
 TEXT_BLOCKS = frozenset("blockquote dl figure h1 h2 h3 h4 h5 h6 ol p pre table ul".split())
 DROPPED = frozenset(
-    "aside audio button canvas datalist dialog footer form head input menu nav object select svg video math".split()
+    "annotation annotation-xml aside audio button canvas datalist dialog footer form head input label legend menu nav "
+    "object select svg video".split()
 ) | RAW
+#: Dropped, unless the whole page is written inside of them.
+WRAPPERS = frozenset("form object".split())
 #: A new element of the key ends an open one of the values.
 ENDS = {
     "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("td", "th", "tr"), "td": ("td", "th"),
@@ -123,12 +131,20 @@ class Page:
         self.tag, self.parent, self.dropped, self.firm = ["html"], [-1], [False], [False]
         #: left out by element or as hidden, whatever it is named
         self.fixed, self.notice = [False], [False]
+        #: elements named article or main at or above a node; article alone
+        self.in_main, self.in_article = [False], [False]
+        #: places on the stack of open elements by name, of blocks, of scopes, of scopes but table cells
+        self.open: dict[str, list[int]] = {}
+        self.blocks: list[int] = []
+        self.scopes: list[int] = []
+        self.wide_scopes: list[int] = []
         #: (node, text); text None marks a block boundary
         self.parts: list[tuple[int, str | None]] = []
         self._read(source)
 
     def _add(self, tag: str, parent: int, rest: str) -> int:
-        drop = firm = fixed = tag in DROPPED
+        drop = tag in DROPPED and not (tag == "aside" and self.in_article[parent])
+        firm = fixed = drop and tag not in WRAPPERS
         notice = False
         if rest and not drop and tag not in CONTAINERS:
             fixed, names = _marks(rest)
@@ -142,18 +158,42 @@ class Page:
             drop = firm or bool(words & BOILERPLATE)
             notice = bool(words & NOTICES)
         if tag == "header":  # the header of an article holds its title
-            node = parent
-            while node > 0 and self.tag[node] not in ("article", "main"):
-                node = self.parent[node]
-            drop = firm = fixed = node <= 0
+            drop = firm = fixed = not self.in_main[parent]
         self.tag.append(tag)
         self.parent.append(parent)
         self.dropped.append(drop)
         self.firm.append(firm)
         self.fixed.append(fixed)
         self.notice.append(notice)
+        self.in_article.append(self.in_article[parent] or tag == "article")
+        self.in_main.append(self.in_main[parent] or tag in ("article", "main"))
         return len(self.tag) - 1
 
+    def _push(self, stack: list[int], node: int) -> None:
+        tag, place = self.tag[node], len(stack)
+        stack.append(node)
+        self.open.setdefault(tag, []).append(place)
+        if tag in BLOCKS:
+            self.blocks.append(place)
+        if tag in SCOPES:
+            self.scopes.append(place)
+            if tag not in ("td", "th"):
+                self.wide_scopes.append(place)
+
+    def _pop_to(self, stack: list[int], place: int) -> None:
+        """Ends the elements from this place of the stack on; each element is ended once."""
+        for node in stack[place:]:
+            self.open[self.tag[node]].pop()
+        del stack[place:]
+        for places in (self.blocks, self.scopes, self.wide_scopes):
+            while places and places[-1] >= place:
+                places.pop()
+
+    def _last(self, name: str) -> int:
+        """Place of the innermost open element of this name; 0 if there is none."""
+        places = self.open.get(name)
+        return places[-1] if places else 0
+
     def _read(self, source: str) -> None:
         stack, at = [0], 0
         while at < len(source):
@@ -175,7 +215,7 @@ class Page:
                 self.parts.append((stack[-1], None))
             for open_ in ENDS.get(name, ()):
                 self._end_open(stack, open_, name)
-            if name in ("html", "body") and len(stack) > 1 and any(self.tag[i] == name for i in stack):
+            if name == "html" and len(stack) > 1 or name == "body" and self._last(name):
                 continue
             if name == "br":
                 self.parts.append((stack[-1], None))
@@ -183,30 +223,23 @@ class Page:
             if name in RAW:
                 end = _RAW_END[name].search(source, at)
                 at = end.start() if end else len(source)
-                stack.append(node)
+                self._push(stack, node)
             elif name not in VOID and not (m["rest"].endswith("/") and name not in BLOCKS):
-                stack.append(node)
+                self._push(stack, node)
 
     def _end_open(self, stack: list[int], tag: str, for_: str) -> None:
-        """Ends an open ``tag`` inside the current scope."""
-        for i in range(len(stack) - 1, 0, -1):
-            open_ = self.tag[stack[i]]
-            if open_ == tag:
-                del stack[i:]
-                self.parts.append((stack[-1], None))
-                return
-            if open_ in SCOPES and not (for_ in ("tr", "tbody") and open_ in ("td", "th")):
-                return
+        """Ends an open ``tag`` inside the current scope; a table row or part ends over its cells."""
+        scopes = self.wide_scopes if for_ in ("tr", "tbody") else self.scopes
+        place = self._last(tag)
+        if place and place >= (scopes[-1] if scopes else 0):
+            self._pop_to(stack, place)
+            self.parts.append((stack[-1], None))
 
     def _close(self, stack: list[int], name: str) -> None:
-        block = name in BLOCKS
-        for i in range(len(stack) - 1, 0, -1):
-            open_ = self.tag[stack[i]]
-            if open_ == name:
-                del stack[i:]
-                break
-            if not block and open_ in BLOCKS:  # an inline end tag does not reach out of its block
-                break
+        block, place = name in BLOCKS, self._last(name)
+        # an inline end tag does not reach out of its block
+        if place and (block or place > (self.blocks[-1] if self.blocks else 0)):
+            self._pop_to(stack, place)
         if block:
             self.parts.append((stack[-1], None))
 
@@ -247,9 +280,24 @@ def _measure(page: Page) -> tuple[list[float], list[float], list[int], list[int]
     return density, total, chars, links
 
 
+def _settle_wrappers(page: Page, article: list[bool]) -> None:
+    """A form that holds neither the article nor most of the unlinked text goes, like a control."""
+    wrappers = [i for i, t in enumerate(page.tag) if t in WRAPPERS]
+    if not wrappers:
+        return
+    holds = list(article)
+    for i in range(len(holds) - 1, 0, -1):
+        holds[page.parent[i]] = holds[page.parent[i]] or holds[i]
+    size = _unlinked(page, page.firm)
+    for i in wrappers:
+        if not holds[i] and (size[i] < FEW or 2 * size[i] <= size[0]):
+            page.firm[i] = page.fixed[i] = True
+
+
 def _restore_large(page: Page) -> None:
     """A mark on a part that holds the article is a layout name, not a reason to drop it."""
     holds = [t in ("article", "main") and not d for t, d in zip(page.tag, page.dropped)]
+    _settle_wrappers(page, holds)
     for i in range(len(page.tag) - 1, 0, -1):
         if not page.firm[i]:
             holds[page.parent[i]] = holds[page.parent[i]] or holds[i]

@@ -115,6 +115,42 @@ def test_marks_alone_do_not_empty_a_page():
     assert main_text(f"<body><div class=comments><article class=comment><p>{LONG}</p></article><article class=reply><p>{LONG}</p></article></div>") == f"{LONG}{LONG}".strip()
 
 
+CONTROLS = "<label for=a>Your mail</label><input id=a name=a><select><option>One<option>Two</select><button>Send</button>"
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        f"<form id=f method=post><nav>Menu</nav><article><h2>T</h2><p>{LONG}</p><p>{LONG}</p></article>{CONTROLS}</form><p>Made by us.</p>",
+        f"<form id=f method=post><div><h2>T</h2><p>{LONG}</p><p>{LONG}</p></div><div>{CONTROLS}</div>{TALK}</form>",
+        f"<object><div><h2>T</h2><p>{LONG}</p><p>{LONG}</p></div></object>",
+        f"<div><h2>T</h2><p>{LONG}</p><p>{LONG}</p><form><p>Write to us.</p>{CONTROLS}</form></div>",
+        f"<article><h2>T</h2><p>{LONG}</p><p>{LONG}</p></article><form><p>{LONG}</p><p>{LONG}</p><p>{LONG}</p>{CONTROLS}</form>",
+    ],
+)
+def test_a_page_inside_a_form(page):
+    assert main_text(f"<body>{page}</body>") == f"T {LONG}{LONG}".strip()
+
+
+def test_formulas_and_pull_quotes_stay():
+    formula = "<math><mi>a</mi><mo>=</mo><mn>1</mn><annotation encoding='application/x-tex'>a = 1</annotation></math>"
+    quote = "<aside><p>A quote.</p></aside><aside class=sidebar><p>About us.</p></aside>"
+    assert main_text(f"<body><article><p>{LONG}so {formula}.</p>{quote}</article><aside>{LONG}</aside>") == f"{LONG}so a=1. A quote."
+
+
+def test_time_is_linear_on_mixed_broken_markup():
+    def seconds(n):
+        pages = [a * n + b * n for a, b in (("<span>", "</i>"), ("<b>", "<li>"), ("<div><span>", "</section>"), ("<p><i>", "<td></b>"))]
+        pages += ["<header>" * n, "<b><body>" * n, "<ul><b><li>" * n, "<table><tr><td><i>" * n, "<form><p>x" * n]
+        began = time.process_time()
+        for page in pages:
+            main_text(page)
+        return time.process_time() - began
+
+    seconds(1_000)
+    assert seconds(40_000) < 6 * seconds(10_000) + 1
+
+
 def test_given_pages(spark, sf_dir):
     """Their article is a known element; its text is what stands there without tags."""
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
