@@ -130,13 +130,14 @@ def mean_by_segment(df: DataFrame, segment: str | Column, value: Column, name: s
 
 
 def value_range(df: DataFrame, columns: list[str]) -> dict[str, tuple[float, float]]:
-    row = df.agg(*[F.struct(F.min(c).cast("double").alias("lo"), F.max(c).cast("double").alias("hi")).alias(c) for c in columns]).first()
-    return {c: (row[c]["lo"], row[c]["hi"]) for c in columns}
+    ends = [F.struct(F.min(quoted(c)).cast("double").alias("lo"), F.max(quoted(c)).cast("double").alias("hi")) for c in columns]
+    row = df.agg(*[e.alias(f"r{i}") for i, e in enumerate(ends)]).first()
+    return {c: (r["lo"], r["hi"]) for c, r in zip(columns, row)}
 
 
 def grid_cell(x: str | Column, low: float, high: float, cells: int) -> Column:
     """Equal-width cell 0..cells-1; the last one includes its upper end."""
-    x = F.col(x) if isinstance(x, str) else x
+    x = quoted(x) if isinstance(x, str) else x
     if high == low:
         return F.when(x.isNotNull(), F.lit(0))
     return F.least(F.floor((x - F.lit(low)) / F.lit(high - low) * F.lit(float(cells))).cast("int"), F.lit(cells - 1))
@@ -147,7 +148,7 @@ def histogram(df: DataFrame, column: str, bins: int = 40) -> DataFrame:
     low, high = value_range(df, [column])[column]
     width = (high - low) / bins
     return (
-        df.filter(F.col(column).isNotNull())
+        df.filter(quoted(column).isNotNull())
         .groupBy(grid_cell(column, low, high, bins).alias("bin"))
         .agg(F.count(F.lit(1)).alias("n"))
         .select(

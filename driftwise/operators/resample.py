@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from driftwise.functions.hashing import order_hash, standard_normal, uniform
-from driftwise.operators.profile import long_rows
+from driftwise.operators.profile import long_rows, quoted
 
 
 def number_rows(df: DataFrame, key: str, seed: int | str, name: str = "row_number", digits: int = 4) -> DataFrame:
@@ -42,14 +42,14 @@ def noise_scale_table(df: DataFrame, columns: list[str], share: float = 0.1, fal
     """(column, scale): a share of the sample deviation, or of 5% of the mean where that is 0 or missing."""
     present = [c for c in columns if c in df.columns]
     stats = df.agg(
-        *[F.struct(F.stddev_samp(c).alias("sd"), F.avg(c).alias("mean")).alias(c) for c in present]
+        *[F.struct(F.stddev_samp(quoted(c)).alias("sd"), F.avg(quoted(c)).alias("mean")).alias(f"s{i}") for i, c in enumerate(present)]
     )
 
-    def scale(c: str) -> Column:
-        sd = F.col(c)["sd"]
-        return F.when(sd.isNull() | (sd == 0), F.lit(fallback) * F.abs(F.col(c)["mean"])).otherwise(sd) * F.lit(share)
+    def scale(i: int) -> Column:
+        sd, mean = F.col(f"s{i}")["sd"], F.col(f"s{i}")["mean"]
+        return F.when(sd.isNull() | (sd == 0), F.lit(fallback) * F.abs(mean)).otherwise(sd) * F.lit(share)
 
-    return long_rows(stats, [F.struct(F.lit(c).alias("column"), scale(c).alias("scale")) for c in present])
+    return long_rows(stats, [F.struct(F.lit(c).alias("column"), scale(i).alias("scale")) for i, c in enumerate(present)])
 
 
 def noise_scales(df: DataFrame, columns: list[str]) -> dict[str, float]:
@@ -65,7 +65,7 @@ def jitter(df: DataFrame, scales: dict[str, float], key: str, seed: int | str, f
     """Add independent Gaussian noise per column; missing stays missing."""
     return df.withColumns(
         {
-            c: floored(F.col(c) + F.lit(scale) * standard_normal(f"{seed}:{c}", key), c, floor_names)
+            c: floored(quoted(c) + F.lit(scale) * standard_normal(f"{seed}:{c}", key), c, floor_names)
             for c, scale in scales.items()
             if c in df.columns
         }

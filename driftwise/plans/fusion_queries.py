@@ -18,7 +18,7 @@ from driftwise.functions.scalar import (
 )
 from driftwise.operators.fusion import agreeing, disagreeing, fusion_kpis, rate, with_fusion
 from driftwise.operators.kpis import kpi_table, side_by_side
-from driftwise.operators.regression import density_grid
+from driftwise.operators.regression import density_grid, smooth_surface
 from driftwise.operators.splits import random_split
 from driftwise.plans.bindings import CLASSES, complete, probabilities, renewals, scored, staged_scores
 from driftwise.plans.catalog import query
@@ -253,6 +253,42 @@ def correction_surface(spark, sf_dir):
     return rounded(density_grid(rows, "reg_pred", "fused_pred", 50, 0.05), 6, "share")
 
 
+@query(
+    "smooth_surface",
+    over(
+        FUSED,
+        """
+stats AS (
+  SELECT count(*) AS n, var_samp(reg_pred) * pow(count(*), -1.0 / 3) AS a, covar_samp(reg_pred, fused_pred) * pow(count(*), -1.0 / 3) AS b,
+         var_samp(fused_pred) * pow(count(*), -1.0 / 3) AS c, min(reg_pred) AS x0, max(reg_pred) AS x1,
+         min(fused_pred) AS y0, max(fused_pred) AS y1 FROM fused_complete),
+grid AS (
+  SELECT *, x0 - 3 * sqrt(a) AS px, (x1 - x0 + 6 * sqrt(a)) / 99 AS dx, y0 - 3 * sqrt(c) AS py, (y1 - y0 + 6 * sqrt(c)) / 99 AS dy FROM stats),
+placed AS (
+  SELECT (reg_pred - px) / dx AS u, (fused_pred - py) / dy AS v FROM fused_complete, grid),
+corners AS (
+  SELECT CAST(floor(u) AS INTEGER) + di AS i, CAST(floor(v) AS INTEGER) + dj AS j,
+         sum(abs(1 - di - (u - floor(u))) * abs(1 - dj - (v - floor(v)))) AS w
+  FROM placed, (VALUES (0), (1)) AS p(di), (VALUES (0), (1)) AS q(dj) GROUP BY 1, 2),
+spread AS (
+  SELECT CAST(i + di AS INTEGER) AS cell_x, CAST(j + dj AS INTEGER) AS cell_y, w,
+         (c * di * dx * di * dx - 2 * b * di * dx * dj * dy + a * dj * dy * dj * dy) / (a * c - b * b) AS q
+  FROM corners, grid, (SELECT unnest(range(-40, 41)) AS di), (SELECT unnest(range(-40, 41)) AS dj)),
+points AS (
+  SELECT cell_x, cell_y, sum(w * exp(-q / 2)) / (2 * pi() * max(sqrt(a * c - b * b)) * max(n)) AS density
+  FROM spread, grid WHERE q <= 25 AND cell_x BETWEEN 0 AND 99 AND cell_y BETWEEN 0 AND 99 GROUP BY 1, 2),
+ranked AS (
+  SELECT *, sum(density) OVER (ORDER BY density RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) / sum(density) OVER () AS upto FROM points)""",
+        select="""SELECT cell_x, cell_y, round(px + cell_x * dx, 6) AS x, round(py + cell_y * dy, 6) AS y, round(density, 6) AS density
+FROM ranked, grid WHERE upto > 0.05""",
+    ),
+)
+def smoothed(spark, sf_dir):
+    scores = complete(staged_scores(spark, sf_dir, "pct_before", "pct_after", "reg_pred", "class_pred"))
+    rows = with_fusion(scores, "pct_before", "pct_after", "reg_pred", "class_pred", CLASSES)
+    return rounded(smooth_surface(rows, "reg_pred", "fused_pred"), 6, "x", "y", "density")
+
+
 def split_rows(spark, sf_dir) -> DataFrame:
     """A cut reads its input several times, so the columns the figures need are written once."""
     names = ("policy_id", "pct_before", "pct_after", "reg_pred", "class_true", "class_pred", "p_down", "p_keep", "p_up")

@@ -12,6 +12,7 @@ from driftwise.operators.forest import class_weight_table, fit_forest, fit_tree,
 from driftwise.operators.kpis import kpi_table
 from driftwise.operators.prep import Imputer
 from driftwise.operators.ridge import fit_ridge, ridge_search
+from driftwise.operators.sparse import ridge_by_steps, sparse_row
 from driftwise.operators.splits import hash_folds, random_split, stratified_folds, stratified_split
 from driftwise.plans.bindings import CLASSES, probabilities, renewals, scored
 from driftwise.plans.book import BookSpec, labelled, run
@@ -453,6 +454,19 @@ def ridge_grid(spark, sf_dir):
     return rounded(spark.createDataFrame(rows, "alpha double, r2 double, best boolean"), 8, "r2")
 
 
+@query(
+    "ridge_grid_by_steps",
+    over(FILLED, RIDGE, select="SELECT alpha, round(r2, 8) AS r2, alpha = (SELECT alpha FROM best) AS best FROM grid"),
+)
+def ridge_grid_by_steps(spark, sf_dir):
+    """The same search by conjugate gradients over sparse rows."""
+    train = hash_folds(_train(_ridge_rows(spark, sf_dir)), 3, "policy_id", "43")
+    rows = stage(train.select("fold", "pct_after", sparse_row(FEATURES).alias("encoded")), "sparse")
+    search = ridge_by_steps(rows, len(FEATURES), "pct_after", "fold")
+    found = [(a, r2, a == search.model.alpha) for a, r2 in search.scores.items()]
+    return rounded(spark.createDataFrame(found, "alpha double, r2 double, best boolean"), 8, "r2")
+
+
 @query(
     "ridge_predictions",
     over(

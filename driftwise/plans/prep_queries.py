@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from driftwise.operators.classification import one_vs_rest
+from driftwise.operators.sparse import LevelIndex, components_by_steps, sparse_row
 from driftwise.operators.prep import Imputer, OneHot, PrincipalComponents, Standardizer, code_label, label_code
 from driftwise.plans import twins
-from driftwise.plans.bindings import CLASSES, probabilities, renewals, scored
+from driftwise.plans.bindings import CLASSES, probabilities, renewals, scored, table
 from driftwise.plans.catalog import query
 from driftwise.plans.fusion_queries import rounded
 from driftwise.plans.twins import FILLED, LONG, RENEWALS, SCORED, over
@@ -136,6 +137,21 @@ def pca_components(spark, sf_dir):
     return rounded(found, 4, "pca_comp1", "pca_comp2")
 
 
+@query(
+    "pca_by_steps",
+    over(
+        FILLED,
+        PCA,
+        select=f"""SELECT policy_id, {_scores_sql("first")} AS pca_comp1, {_scores_sql("second")} AS pca_comp2
+FROM filled, moments, first, second""",
+    ),
+)
+def pca_by_steps(spark, sf_dir):
+    rows = stage(filled(spark, sf_dir).select("policy_id", sparse_row(FEATURES).alias("encoded")), "sparse")
+    found = components_by_steps(rows, len(FEATURES), 2).transform(rows, "policy_id")
+    return rounded(found, 4, "pca_comp1", "pca_comp2")
+
+
 @query(
     "pca_variance",
     over(
@@ -172,6 +188,30 @@ def one_hot(spark, sf_dir):
     return OneHot.fit(df, list(_LEVELS)).transform(df)
 
 
+_CODED = ("l_partkey", "l_suppkey", "l_returnflag")
+
+
+@query(
+    "one_hot_sparse",
+    "WITH given AS ("
+    + " UNION ALL ".join(f"SELECT '{c}' AS c, CAST({c} AS VARCHAR) AS v FROM lineitem" for c in _CODED)
+    + """),
+levels AS (SELECT DISTINCT c, v FROM given WHERE v IS NOT NULL),
+others AS (SELECT c, v, concat(c, '=', v) AS name FROM levels WHERE v <> (SELECT min(v) FROM levels l WHERE l.c = levels.c)),
+places AS (SELECT c, v, row_number() OVER (ORDER BY """
+    + twins.hash_order("levels", "name")
+    + """) - 1 AS place FROM others)
+SELECT l_orderkey, l_linenumber, array_to_string(list_sort([p0.place, p1.place, p2.place]), ',') AS places
+FROM lineitem"""
+    + "".join(f" LEFT JOIN places p{i} ON p{i}.c = '{c}' AND p{i}.v = CAST({c} AS VARCHAR)" for i, c in enumerate(_CODED)),
+)
+def one_hot_sparse(spark, sf_dir):
+    """Parts, suppliers and flags of every line as places of one sparse row."""
+    df = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", *_CODED)
+    found = LevelIndex.fit(df, list(_CODED)).transform(df)
+    return found.select("l_orderkey", "l_linenumber", F.array_join("encoded.indices", ",").alias("places"))
+
+
 @query(
     "label_codes",
     over(

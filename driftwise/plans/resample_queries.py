@@ -24,6 +24,14 @@ def delimited_roundtrip(spark, sf_dir):
     return read_delimited(spark, path, df.schema)
 
 
+@query("delimited_inferred", over(RENEWALS, select="SELECT * FROM renewals"))
+def delimited_inferred(spark, sf_dir):
+    """The same file without a schema: every column comes back with its type."""
+    path = new_table_path(spark, "delimited")
+    write_delimited(renewals(spark, sf_dir), path)
+    return read_delimited(spark, path)
+
+
 @query("parquet_scan", "SELECT * FROM customer")
 def parquet_scan(spark, sf_dir):
     return table(spark, sf_dir, "customer")

@@ -208,3 +208,34 @@ def test_density_tail_is_cut_from_the_sparsest(spark):
 def test_agreement_limits(spark):
     df = spark.createDataFrame([(1.0, 2.0), (9.0, 7.0)], "x double, y double")
     assert tuple(reg.agreement_limits(df, "x", "y").first()) == (2.0, 7.0)
+
+
+def test_smooth_surface_is_the_kernel_density(spark):
+    rng = np.random.default_rng(5)
+    xy = rng.standard_normal((400, 2)) @ np.array([[3.0, 1.5], [0.0, 0.7]]) + [10.0, -4.0]
+    df = spark.createDataFrame([(float(a), float(b)) for a, b in xy] + [(None, 1.0)], "`x.1` double, y double")
+    whole = reg.smooth_surface(df, "x.1", "y", 60, 0.0).collect()
+    kernel = np.cov(xy.T) * 400 ** (-1 / 3)
+    away = np.array([(r.x, r.y) for r in whole])[:, None, :] - xy[None]
+    exact = np.exp(-np.einsum("gni,ij,gnj->gn", away, np.linalg.inv(kernel), away) / 2).sum(1) / (400 * 2 * math.pi * math.sqrt(np.linalg.det(kernel)))
+    found = np.array([r.density for r in whole])
+    assert np.abs(found - exact).max() < 0.03 * exact.max()  # rows are moved to grid points
+    xs, ys = sorted({r.x for r in whole}), sorted({r.y for r in whole})
+    assert found.sum() * (xs[1] - xs[0]) * (ys[1] - ys[0]) == pytest.approx(1.0, abs=0.01)
+    kept = {(r.cell_x, r.cell_y) for r in reg.smooth_surface(df, "x.1", "y", 60, 0.3).collect()}
+    order = np.argsort(found)
+    upto = np.cumsum(found[order]) / found.sum()
+    assert kept == {(whole[i].cell_x, whole[i].cell_y) for i, u in zip(order, upto) if u > 0.3}
+
+
+def test_smooth_surface_needs_a_plane(spark):
+    for rows in ([(1.0, 1.0)], [(1.0, 2.0), (2.0, 4.0), (3.0, 6.0)], [(1.0, 5.0)] * 4):
+        with pytest.raises(ValueError):
+            reg.smooth_surface(spark.createDataFrame(rows, "x double, y double"), "x", "y")
+
+
+def test_grids_take_names_with_dots(spark):
+    df = spark.createDataFrame([(float(i), float(i % 7)) for i in range(50)], "`a.b` double, `c.d` double")
+    for table in (reg.hexagon_counts(df, "a.b", "c.d"), reg.density_grid(df, "a.b", "c.d", 9, 0.0), reg.residuals_by_fitted(df, "a.b", "c.d")):
+        assert table.agg(F.sum("n")).first()[0] == 50
+    assert tuple(reg.agreement_limits(df, "a.b", "c.d").first()) == (0.0, 6.0)

@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from driftwise.operators.resample import jitter, noise_scales
 from driftwise.operators.prep import (
     Imputer,
     OneHot,
@@ -164,3 +165,19 @@ def test_names_with_dots_are_profiled(spark):
     df = spark.createDataFrame([(1.0, "x", None), (2.0, None, 3)], "`a.b` double, `c.d` string, `e.f` int")
     assert {(r.column, r.missing) for r in missing_counts(df).collect()} == {("c.d", 1), ("e.f", 1)}
     assert {r.column: r["count"] for r in profile(df).collect()} == {"a.b": 2, "c.d": 1, "e.f": 1}
+
+
+def test_names_with_dots_are_encoded_counted_and_scaled(spark):
+    df = spark.createDataFrame([(1.0, "x"), (2.0, "y"), (4.0, None)], "`a.b` double, `c.d` string")
+    assert [tuple(r) for r in OneHot.fit(df, ["c.d"]).transform(df).orderBy("`a.b`").collect()] == [(1.0, False), (2.0, True), (4.0, False)]
+    assert sum(r.n for r in histogram(df, "a.b", 4).collect()) == 3
+    scales = noise_scales(df, ["a.b"])
+    assert scales["a.b"] == pytest.approx(0.1 * np.std([1, 2, 4], ddof=1))
+    assert jitter(df, {"a.b": 0.0}, "`a.b`", 1).agg(F.sum(F.col("`a.b`"))).first()[0] == 7.0
+
+
+def test_the_limit_of_levels_is_exact(spark):
+    df = spark.range(101).selectExpr("CAST(id AS STRING) AS s")
+    assert len(OneHot.fit(df, ["s"], limit=101).levels["s"]) == 101
+    with pytest.raises(ValueError):
+        OneHot.fit(df, ["s"], limit=100)

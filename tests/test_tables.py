@@ -4,13 +4,14 @@ import random
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, LongType, StringType
 
 from driftwise.operators.fusion import with_fusion
 from driftwise.operators.ranges import with_ordered_range
 from driftwise.plans import bindings
 from driftwise.plans.book import COMMISSION_SCHEMA, main
 from driftwise.session import new_table_path, shared_dir, stage
-from driftwise.sources.tables import read_delimited, read_table, without_identifiers, write_delimited, write_table
+from driftwise.sources.tables import kind_type, read_delimited, read_table, without_identifiers, write_delimited, write_table
 from driftwise.streaming.scoring import score_stream
 
 
@@ -162,3 +163,42 @@ def test_whole_run(spark, tmp_path):
     assert spark.read.parquet(f"{out}/reports/selected_features").count() == 3
     areas = spark.read.parquet(f"{out}/reports/areas").collect()
     assert len(areas) == 3 and all(0.5 < r.auc <= 1 for r in areas)
+
+
+def test_types_are_inferred_from_all_rows_of_all_files(spark, tmp_path):
+    head = "id;long;huge;zeros;mixed;share;none;name;drift;exp;nan\n"
+    (tmp_path / "a").mkdir()
+    (tmp_path / "a" / "1.csv").write_text("﻿" + head + "1;123456789012345678;12345678901234567890;007;123456789012345678;0.5;;x;1;1e-3;NaN\n", "utf-8")
+    (tmp_path / "a" / "2.csv").write_text(head + "-2;;1;12;1.5;3;;12;2.5;-.5;4\n" + "0;1;2;;;;;;;;\n", "utf-8")
+    df = read_delimited(spark, str(tmp_path / "a"))
+    types = dict(df.dtypes)
+    assert types == {
+        "id": "bigint", "long": "bigint", "huge": "string", "zeros": "string", "mixed": "string", "share": "double",
+        "none": "double", "name": "string", "drift": "double", "exp": "double", "nan": "bigint",
+    }
+    rows = {r["id"]: r for r in df.collect()}
+    assert rows[1]["long"] == 123456789012345678 and rows[1]["huge"] == "12345678901234567890" and rows[1]["zeros"] == "007"
+    assert rows[1]["nan"] is None and rows[-2]["nan"] == 4 and rows[-2]["share"] == 3.0 and rows[0]["name"] is None
+    (tmp_path / "empty.csv").write_text("a;b.c\n")
+    empty = read_delimited(spark, str(tmp_path / "empty.csv"))
+    assert empty.dtypes == [("a", "double"), ("b.c", "double")] and empty.count() == 0
+
+
+def test_kinds_merge_over_files():
+    assert [kind_type(k) for k in ({"whole"}, {"whole", "long"}, {"whole", "real"}, {"long", "real"}, {"text", "whole"}, set())] == [
+        LongType(), LongType(), DoubleType(), StringType(), StringType(), DoubleType(),
+    ]
+
+
+def test_seed_layout_gets_its_declared_types(spark, tmp_path):
+    """A row of the declared columns written out and read without the schema."""
+    declared = spark.createDataFrame([], COMMISSION_SCHEMA).schema
+    value = {"string": "text", "double": 1.5, "bigint": 7, "int": 7}
+    df = spark.createDataFrame([tuple(value.get(f.dataType.simpleString()) for f in declared.fields)], declared)
+    write_delimited(df, str(tmp_path / "seed"))
+    inferred = read_delimited(spark, str(tmp_path / "seed")).schema
+    wide = {"int": "bigint"}
+    for a, b in zip(declared.fields, inferred.fields):
+        kind = a.dataType.simpleString()
+        if kind in value:
+            assert (a.name, wide.get(kind, kind)) == (b.name, b.dataType.simpleString())
