@@ -19,9 +19,10 @@ from driftwise.plans.book import BookSpec, labelled, run
 from driftwise.plans.catalog import query
 from driftwise.plans.fusion_queries import rounded
 from driftwise.plans.prep_queries import FEATURES, filled
+from driftwise.plans.saved import Scorer
 from driftwise.plans.tree_twins import bin_tables, drawn, features_drawn, grown
 from driftwise.plans.twins import FILLED, hash_order, over
-from driftwise.session import stage, stage_once
+from driftwise.session import new_table_path, stage, stage_once
 
 NAMES = CLASSES.names()
 BINS = 4
@@ -515,16 +516,31 @@ RENEWAL_BOOK = BookSpec(
 )
 
 
-@query("renewal_run")
-def renewal_run(spark, sf_dir):
-    """Impute, derive, reduce, encode, select, fit, score and fuse, over every renewal."""
-
+def _whole_run(spark, sf_dir):
     def made():
         rows = labelled(renewals(spark, sf_dir), RENEWAL_BOOK)
         # The old and new value are no features, so their gaps are filled here.
         values = Imputer.fit(rows, [RENEWAL_BOOK.before, RENEWAL_BOOK.after], [])
         return run(values.transform(rows), RENEWAL_BOOK, trees=(20,))
 
-    return _fitted(spark, sf_dir, "run", made).output.select(
+    return _fitted(spark, sf_dir, "run", made)
+
+
+@query("renewal_run")
+def renewal_run(spark, sf_dir):
+    """Impute, derive, reduce, encode, select, fit, score and fuse, over every renewal."""
+    return _whole_run(spark, sf_dir).output.select(
         "policy_id", "split", "class_pred", "reg_pred", "fused_pred", "reg_direction", "fused_direction"
     )
+
+
+@query("saved_run")
+def saved_run(spark, sf_dir):
+    """The run saved and loaded again, then applied to all renewals as a table of later rows."""
+    folder = new_table_path(spark, "saved")
+    Scorer.of(_whole_run(spark, sf_dir)).save(spark, folder)
+    values = {c: F.col(c).cast("double") for c in (RENEWAL_BOOK.before, RENEWAL_BOOK.after)}
+    later = renewals(spark, sf_dir).withColumns(values)
+    return Scorer.load(spark, folder).transform(later).select(
+        "policy_id", "class_pred", "reg_pred", "fused_pred", "reg_direction", "fused_direction"
+    )
