@@ -169,7 +169,28 @@ _CREATIVE = tuple(
     )
     if text not in _COMMON
 )
-LICENSE_TEXTS = _COMMON + _MORE + _CREATIVE
+_AS_IS = """ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO
+EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING
+FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN
+CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."""
+_HISTORICAL = """Permission to use, copy, modify, and distribute this software and its documentation for any purpose and without fee is
+hereby granted, provided that the above copyright notice appear in all copies and that both that copyright notice and this
+permission notice appear in supporting documentation, and that the name of the author not be used in advertising or publicity
+pertaining to distribution of the software without specific, written prior permission."""
+_PERMISSIVE = (
+    ("0BSD", f"""Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby
+granted. THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS {_AS_IS}"""),
+    ("HPND", f"""{_HISTORICAL} The author makes no representations about the suitability of this software for any purpose. It is
+provided "as is" without express or implied warranty."""),
+    ("HPND", f"{_HISTORICAL} THE AUTHOR DISCLAIMS {_AS_IS}"),
+    ("CC0-1.0", """The laws of most jurisdictions throughout the world automatically confer exclusive Copyright and Related Rights
+(defined below) upon the creator and subsequent owner(s) (each and all, an "owner") of an original work of authorship and/or a
+database (each, a "Work"). Certain owners wish to permanently relinquish those rights to a Work for the purpose of contributing
+to a commons of creative, cultural and scientific works ("Commons") that the public can reliably and without fear of later claims
+of infringement build upon, modify, incorporate in other works, reuse and redistribute as freely as possible in any form
+whatsoever and for any purposes, including without limitation commercial purposes."""),
+)
+LICENSE_TEXTS = _COMMON + _MORE + _CREATIVE + _PERMISSIVE
 
 #: A word of a wording, and words that make it another license.
 VARIANT_WORDS = (

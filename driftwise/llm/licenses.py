@@ -16,7 +16,10 @@ The index holds the given templates only, a few thousand numbers, and goes with
 documents are read once and nothing is shuffled.
 
 Defined results: null, empty and wordless texts and documents without a license give no rows;
-a null id is passed on; repeated rows are reported alike; an empty table gives no rows.
+a null id is passed on; repeated rows are reported alike; an empty table gives no rows; of equal
+reports the one with the larger coverage, then the earlier one stays. Very long texts are scanned
+whole; a band is aligned only if enough template words occur in it, so that repeated boilerplate
+costs a comparison per band.
 """
 
 from __future__ import annotations
@@ -90,32 +93,37 @@ class TemplateIndex:
         return self.values[at] == values
 
 
+def _band(template: np.ndarray, words: np.ndarray, centre: int, band: int) -> tuple[np.ndarray, np.ndarray]:
+    """Whether the words of a cell are equal, and whether the cell lies inside the document, by
+    template word and diagonal."""
+    j = np.arange(len(template))[:, None] + np.arange(centre - band, centre + band + 1)
+    inside = (j >= 0) & (j < len(words))
+    return inside & (words[np.clip(j, 0, len(words) - 1)] == template[:, None]), inside
+
+
 def align(template: np.ndarray, words: np.ndarray, centre: int, band: int) -> tuple[int, int, int]:
     """Matched words, first and one past the last matched word of the best local alignment,
     over cells whose diagonal (word - template word) is within ``band`` of ``centre``."""
-    n, width = len(template), 2 * band + 1
-    score = [[0] * width for _ in range(n + 1)]
-    step = [[0] * width for _ in range(n + 1)]
-    best = (0, 0, 0)
+    same, inside = _band(template, words, centre, band)
+    n, width = same.shape
+    places = np.arange(width)
+    score = np.zeros((n + 1, width + 1), dtype=np.int64)  # a column of zeros on the right
+    step = np.zeros((n + 1, width), dtype=np.int8)
     for i in range(1, n + 1):
-        above, row, steps, wanted = score[i - 1], score[i], step[i], template[i - 1]
-        for k in range(width):
-            j = i + centre - band + k  # words[:j] is used up
-            if not 1 <= j <= len(words):
-                continue
-            same = wanted == words[j - 1]
-            value, way = above[k] + (MATCH if same else MISS), 1
-            if k + 1 < width and above[k + 1] + GAP > value:
-                value, way = above[k + 1] + GAP, 2  # a template word is missing
-            if k and row[k - 1] + GAP > value:
-                value, way = row[k - 1] + GAP, 3  # a word is inserted
-            if value > 0:
-                row[k], steps[k] = value, way
-                best = max(best, (value, -i, -k))
-    value, i, k = best[0], -best[1], -best[2]
+        straight = score[i - 1, :-1] + np.where(same[i - 1], MATCH, MISS)
+        missing = score[i - 1, 1:] + GAP  # a template word is missing
+        before = np.where(inside[i - 1], np.maximum(straight, missing), -n)
+        # words inserted: the best place to the left, less what the way from there costs
+        row = np.maximum.accumulate(before - GAP * places) + GAP * places
+        row[~inside[i - 1] | (row < 0)] = 0
+        score[i, :-1] = row
+        step[i] = np.where(row > before, 3, np.where(missing > straight, 2, 1)) * (row > 0)
+    top = int(score.argmax())  # the first of equal ones
+    i, k = divmod(top, width + 1)
+    value = score[i, k]
     matched, first, last = 0, 0, 0
-    while value and step[i][k]:
-        j, way = i + centre - band + k, step[i][k]
+    while value and step[i, k]:
+        j, way = i + centre - band + k, step[i, k]
         if way == 1:
             if template[i - 1] == words[j - 1]:
                 matched, first, last = matched + 1, j - 1, last or j
@@ -145,11 +153,14 @@ def matches(words: np.ndarray, index: TemplateIndex) -> list[tuple[int, int, int
             # diagonals that a band can hold, at most a band apart, are aligned together
             if i == len(places) or places[i][0] - places[low][0] > band:
                 centre = (places[low][0] + places[i - 1][0]) // 2
+                low = i
+                # no alignment matches more than the template words that occur in the band at all
+                if _band(index.words[t], words, centre, band)[0].any(axis=1).sum() < index.least(t):
+                    continue
                 matched, first, last = align(index.words[t], words, centre, band)
                 spanned = set(words[first:last].tolist())
                 if matched >= index.least(t) and index.foreign[t].isdisjoint(spanned) and index.needed[t] <= spanned:
                     found.add((t, matched, first, last))
-                low = i
     out: list[tuple[int, int, int, int]] = []
     ranked = sorted(found, key=lambda f: (f[3] - f[2] - 2 * f[1], -f[1] / len(index.words[f[0]]), f[2], f[0]))
     for t, matched, first, last in ranked:

@@ -1,11 +1,13 @@
 """License scans against full alignment of every template, and on changed wordings."""
 
+import time
+
 import numpy as np
 import pytest
 from pyspark.sql import types as T
 
 from driftwise.llm.license_texts import LICENSE_TEXTS
-from driftwise.llm.licenses import GAP, MATCH, MISS, TemplateIndex, matches, scan_licenses
+from driftwise.llm.licenses import GAP, MATCH, MISS, TemplateIndex, align, matches, scan_licenses
 from driftwise.llm.words import ALPHANUMERIC, word_hashes
 
 INDEX = TemplateIndex(LICENSE_TEXTS)
@@ -85,6 +87,44 @@ def test_a_library_under_the_general_license():
     assert [LICENSE_TEXTS[f[0]][0] for f in matches(words(old), INDEX)] == ["LGPL-2.0"]
 
 
+def test_permission_notices_go_under_their_own_name():
+    texts = [(name, text) for name, text in LICENSE_TEXTS if name in ("ISC", "0BSD", "HPND", "CC0-1.0")]
+    for name, text in texts:
+        for form in (text, text.replace("THE AUTHOR", "ANY HOLDER OF RIGHTS").replace("the author", "Some Holder")):
+            doc = words(f"Copyright 1999 by somebody {form} Table of contents")
+            assert [LICENSE_TEXTS[f[0]][0] for f in matches(doc, INDEX)] == [name]
+    both = words(f"{texts[0][1]} Between the two. {texts[-2][1]}")
+    assert [LICENSE_TEXTS[f[0]][0] for f in matches(both, INDEX)] == [texts[0][0], texts[-2][0]]
+
+
+def test_boilerplate_repeated_many_times_is_quick():
+    for text in ("the software is provided as is without warranty ", "permission is hereby granted to any person to use copy modify "):
+        doc = words(text * 2500)
+        began = time.process_time()
+        assert matches(doc, INDEX) == []
+        assert time.process_time() - began < 3
+
+
+def test_alignment_of_rows_equals_cell_by_cell():
+    """The band row by row in NumPy against single cells."""
+    rng = np.random.default_rng(3)
+    for _ in range(300):
+        template, doc = rng.integers(0, 5, rng.integers(1, 25)), rng.integers(0, 5, rng.integers(1, 40))
+        centre, band = int(rng.integers(-20, 40)), int(rng.integers(0, 8))
+        score = {}
+        for i in range(1, len(template) + 1):
+            for k in range(2 * band + 1):
+                j = i + centre - band + k
+                if 1 <= j <= len(doc):
+                    same = MATCH if template[i - 1] == doc[j - 1] else MISS
+                    left, above = score.get((i, k - 1), 0), score.get((i - 1, k + 1), 0)
+                    score[i, k] = max(0, score.get((i - 1, k), 0) + same, above + GAP, left + GAP)
+        best = max(score.values(), default=0)
+        matched, first, last = align(template, doc, centre, band)
+        assert (matched == 0) == (best == 0) and MATCH * matched >= best
+        assert matched <= last - first and (not matched or first < last <= len(doc))
+
+
 def test_no_variant_is_taken_for_another():
     """Without its own wording a variant gives no row."""
     few = TemplateIndex([t for t in LICENSE_TEXTS if t[0] in ("GPL", "GPL-3.0", "CC-BY-4.0")])
