@@ -367,6 +367,15 @@ def forest_grid_search(spark, sf_dir):
     return spark.createDataFrame(rated, "trees int, depth int, accuracy double")
 
 
+@query("forest_grid_points")
+def forest_grid_points(spark, sf_dir):
+    """The same folds, rated at four settings of small forests."""
+    train = _train(_split_by_class(spark, sf_dir))
+    folds = stage(stratified_folds(train, 3, "class_true", "policy_id", "43", NAMES), "grid", spread=True)
+    rated = forest_grid(folds, FEATURES, "class_true", NAMES, "fold", (5, 10), (3, 6))
+    return spark.createDataFrame(rated, "trees int, depth int, accuracy double")
+
+
 # Ridge ----------------------------------------------------------------------------------
 
 

@@ -201,7 +201,7 @@ others AS (SELECT c, v, concat(c, '=', v) AS name FROM levels WHERE v <> (SELECT
 places AS (SELECT c, v, row_number() OVER (ORDER BY """
     + twins.hash_order("levels", "name")
     + """) - 1 AS place FROM others)
-SELECT l_orderkey, l_linenumber, array_to_string(list_sort([p0.place, p1.place, p2.place]), ',') AS places
+SELECT l_orderkey, l_linenumber, coalesce(array_to_string(list_sort([p0.place, p1.place, p2.place]), ','), '') AS places
 FROM lineitem"""
     + "".join(f" LEFT JOIN places p{i} ON p{i}.c = '{c}' AND p{i}.v = CAST({c} AS VARCHAR)" for i, c in enumerate(_CODED)),
 )
