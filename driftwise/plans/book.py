@@ -181,8 +181,9 @@ def run(
     return BookRun(preparation, selected, grid, forest, search.model, search.scores, stage(output, "output"))
 
 
-def write_reports(result: BookRun, raw: DataFrame, out: str) -> None:
-    """Every table behind the reports, as Parquet under ``out``."""
+def write_reports(result: BookRun, raw: DataFrame, out: str, qq_points: int | None = None) -> None:
+    """Every table behind the reports, as Parquet under ``out``; Q-Q points of all test rows, or
+    of an exact sample for a drawing."""
     spec, spark = result.preparation.spec, raw.sparkSession
     rows, p, label = result.output, result.probabilities(), spec.label
     classes = list(p)
@@ -204,7 +205,7 @@ def write_reports(result: BookRun, raw: DataFrame, out: str) -> None:
         "areas": curves.areas(test, label, p),
         "reliability": cls.reliability_bins(test, label, p),
         "hexagons": reg.hexagon_counts(test, spec.after, "reg_pred"),
-        "qq": reg.qq_points(test, residual(spec.after, "reg_pred"), spec.key, 42, 3000),
+        "qq": reg.qq_points(test, residual(spec.after, "reg_pred"), spec.key, 42, qq_points),
         "residuals": reg.residuals_by_fitted(test, spec.after, "reg_pred"),
         "surface": reg.density_grid(rows, "reg_pred", "fused_pred"),
     }
@@ -216,6 +217,8 @@ def write_reports(result: BookRun, raw: DataFrame, out: str) -> None:
 
 
 def main(argv: Sequence[str] | None = None) -> None:
+    from driftwise.plans.saved import Scorer  # it builds on this module
+
     arguments = argparse.ArgumentParser(description=__doc__)
     arguments.add_argument("--csv", required=True)
     arguments.add_argument("--out", required=True)
@@ -225,6 +228,7 @@ def main(argv: Sequence[str] | None = None) -> None:
     arguments.add_argument("--scorer", choices=["cells", "trees"], default="cells")
     arguments.add_argument("--scorer-rows", type=int, help="sample size for feature selection; all training rows if absent")
     arguments.add_argument("--fit-on", choices=["train", "all"], default="train")
+    arguments.add_argument("--qq-points", type=int, help="sample size of the Q-Q points; all test rows if absent")
     given = arguments.parse_args(argv)
     spark = SparkSession.builder.appName("driftwise").getOrCreate()
     rows = without_identifiers(read_delimited(spark, given.csv, COMMISSION_SCHEMA), drop=PERSONAL)
@@ -234,7 +238,8 @@ def main(argv: Sequence[str] | None = None) -> None:
         search_rows=given.search_rows, fit_on=given.fit_on,
     )
     write_table(result.output, f"{given.out}/output")
-    write_reports(result, book, given.out)
+    write_reports(result, book, given.out, given.qq_points)
+    Scorer.of(result).save(spark, f"{given.out}/fit", overwrite=True)  # like the other outputs
 
 
 if __name__ == "__main__":

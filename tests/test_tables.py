@@ -161,6 +161,8 @@ def test_whole_run(spark, tmp_path):
     assert kpis["n_rows", "all"] == 2500 == kpis["n_rows", "train"] + kpis["n_rows", "test"]
     assert kpis["accuracy", "test"] > 0.6 and kpis["r2", "test"] > 0.9
     assert spark.read.parquet(f"{out}/reports/selected_features").count() == 3
+    assert spark.read.parquet(f"{out}/reports/qq").count() == kpis["n_rows", "test"]
+    assert spark.read.parquet(f"{out}/fit/numbers").filter("step = 'weight'").count() > 0
     areas = spark.read.parquet(f"{out}/reports/areas").collect()
     assert len(areas) == 3 and all(0.5 < r.auc <= 1 for r in areas)
 
