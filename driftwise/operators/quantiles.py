@@ -1,20 +1,25 @@
 """Exact order statistics and linearly interpolated quantiles of many columns.
 
 ``percentile`` keeps one counter per distinct value in a single task, and
-``percentile_approx`` returns elements near the rank. Here the built-in exact
-aggregate runs only once few enough rows can hold the answer. Until then every
+``percentile_approx`` returns elements near the rank. Here rows are only sorted
+once few enough of them can hold the answer. Until then every
 pass takes pivots around the wanted rank from the mergeable sketch and counts,
 exactly, the rows below and at each pivot: the rank either falls on a pivot (so
 a value shared by a third of all rows is settled at once) or strictly between
-two of them. A pass is a scan with partial aggregation; no row is shuffled.
+two of them. A pass is a scan with partial aggregation; no row is shuffled, and a
+row is searched among the pivots, not compared with each.
 """
 
 from __future__ import annotations
 
 import math
+from bisect import bisect_left
+from collections.abc import Iterable
 from dataclasses import dataclass
+from itertools import accumulate
 
-from pyspark.sql import Column, DataFrame
+from pyspark.ml.feature import Bucketizer
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import FractionalType, IntegralType
 
@@ -66,6 +71,78 @@ class _Search:
         return (self.rank - self.below + 0.5) / self.inside
 
 
+def _above(value: float) -> float | None:
+    """The next number; None, beyond all numbers, above infinity."""
+    return None if value == math.inf else math.nextafter(value, math.inf)
+
+
+class _Cuts:
+    """Columns cut into buckets at given numbers, each of which begins one; infinity has the last
+    to itself. A row finds its bucket by one search, however many cuts there are."""
+
+    def __init__(self, ends: dict[str, Iterable[float | None]]) -> None:
+        # a negative zero is a zero to Spark, not to the search
+        self.inner = {c: sorted({e + 0.0 for e in es if e is not None and math.isfinite(e)}) for c, es in ends.items()}
+
+    def last(self, column: str, ends: Iterable[float | None]) -> list[int]:
+        """The last bucket below each end, -1 if there is none."""
+        inner = self.inner[column]
+
+        def below(end: float | None) -> int:
+            if end is None or end == math.inf:
+                return len(inner) + (end is None)
+            return -1 if end == -math.inf else bisect_left(inner, end)
+
+        return [below(e) for e in ends]
+
+    def rows(self, df: DataFrame) -> DataFrame:
+        """(column, bucket, x) for every known value; columns by position."""
+        values = [known(df, c) for c in self.inner]
+        rows = df.select(*[F.when(~F.isnan(x), x).alias(f"x{i}") for i, x in enumerate(values)])
+        for i, inner in enumerate(self.inner.values()):
+            x = F.col(f"x{i}")
+            if inner:
+                found = rows.withColumn("_zero", F.when(x == 0, 0.0).otherwise(x))
+                splits = [-math.inf, *inner, math.inf]
+                rows = Bucketizer(splits=splits, inputCol="_zero", outputCol=f"b{i}").transform(found).drop("_zero")
+            else:
+                rows = rows.withColumn(f"b{i}", F.lit(0.0))
+            bucket = F.when(x == math.inf, len(inner) + 1).otherwise(F.col(f"b{i}").cast("int"))
+            rows = rows.withColumn(f"b{i}", bucket)
+        parts = [F.struct(F.lit(i).alias("column"), F.col(f"b{i}").alias("bucket"), F.col(f"x{i}").alias("x")) for i in range(len(values))]
+        return rows.select(F.inline(F.array(*parts))).where("x is not null")
+
+
+def _numbers(values: Iterable[int]) -> Column:
+    """A constant array, sent as one literal."""
+    return F.split(F.lit(",".join(map(str, values))), ",").cast("array<long>")
+
+
+def _settle(df: DataFrame, searches: list[_Search]) -> None:
+    """Values at ranks inside intervals of few rows: the rows of each interval are sorted by
+    themselves, spread over the tasks by interval."""
+    groups: dict[tuple, list[_Search]] = {}
+    for s in searches:
+        groups.setdefault((s.column, s.low, s.high), []).append(s)
+    ends: dict[str, set] = {}
+    for column, low, high in groups:
+        ends.setdefault(column, set()).update(() if low is None else (_above(low),), () if high is None else (high,))
+    cuts = _Cuts(ends)
+    width = max(len(inner) for inner in cuts.inner.values()) + 2
+    place, position = [-1] * (width * len(cuts.inner)), {c: i for i, c in enumerate(cuts.inner)}
+    for g, (column, low, high) in enumerate(groups):
+        first = 0 if low is None else cuts.last(column, [_above(low)])[0] + 1
+        for b in range(first, cuts.last(column, [high])[0] + 1):
+            place[position[column] * width + b] = g
+    most = max(s.inside for s in searches) + 1
+    wanted = {g * most + s.rank - s.below + 1: (s.column, s.rank) for g, group in enumerate(groups.values()) for s in group}
+    inside = cuts.rows(df).select(F.get(_numbers(place), F.col("column") * width + F.col("bucket")).alias("g"), "x").where("g >= 0")
+    ranked = inside.withColumn("at", F.col("g") * most + F.row_number().over(Window.partitionBy("g").orderBy("x")))
+    found = {wanted[r["at"]]: r["x"] for r in ranked.where(F.array_contains(_numbers(wanted), F.col("at"))).select("at", "x").collect()}
+    for s in searches:
+        s.value = found[s.column, s.rank]
+
+
 def _narrow(df: DataFrame, searches: list[_Search]) -> None:
     """One round for all columns: a sketch per open interval, then exact counts at its pivots."""
     groups: dict[tuple, list[_Search]] = {}
@@ -79,13 +156,19 @@ def _narrow(df: DataFrame, searches: list[_Search]) -> None:
     ).first()
     pivots = [sorted(set(sketches[f"p{i}"])) for i in range(len(members))]
 
-    def counts_at(column: str, values: list):
-        x = known(df, column)
-        return F.array(*[F.count(F.when(test, 1)) for v in values for test in (x < v, x <= v)])
+    ends: dict[str, set] = {}
+    for g, values in zip(members, pivots):
+        ends.setdefault(g[0].column, set()).update(c for v in values for c in (v, _above(v)))
+    cuts = _Cuts(ends)
+    counted = cuts.rows(df).groupBy("column", "bucket").agg(F.count(F.lit(1)).alias("n"))
+    counts = {(r["column"], r["bucket"]): r["n"] for r in counted.collect()}
+    upto = {
+        c: list(accumulate(counts.get((i, b), 0) for b in range(len(cuts.inner[c]) + 2))) for i, c in enumerate(cuts.inner)
+    }
 
-    counts = df.agg(*[counts_at(g[0].column, pivots[i]).alias(f"c{i}") for i, g in enumerate(members)]).first()
     for i, group in enumerate(members):
-        under, through = counts[f"c{i}"][0::2], counts[f"c{i}"][1::2]
+        column = group[0].column
+        under, through = ([upto[column][b] if b >= 0 else 0 for b in cuts.last(column, side)] for side in (pivots[i], map(_above, pivots[i])))
         for s in group:
             _place(s, pivots[i], under, through)
 
@@ -123,20 +206,8 @@ def order_statistics(
             raise ValueError(f"rank {s.rank} is outside column {s.column} with {s.inside} values")
     while large := [s for s in searches if s.value is None and s.inside > small]:
         _narrow(df, large)
-    left = [s for s in searches if s.value is None]
-    if left:
-        row = (
-            df.select(*[s.candidates(df).alias(f"c{i}") for i, s in enumerate(left)])
-            .agg(
-                *[
-                    F.expr(f"percentile_disc({s.fraction()!r}D) WITHIN GROUP (ORDER BY c{i})").alias(f"v{i}")
-                    for i, s in enumerate(left)
-                ]
-            )
-            .first()
-        )
-        for i, s in enumerate(left):
-            s.value = row[f"v{i}"]
+    if left := [s for s in searches if s.value is None]:
+        _settle(df, left)
     return found | {(s.column, s.rank): s.value for s in searches}
 
 

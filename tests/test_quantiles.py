@@ -67,3 +67,31 @@ def test_large_whole_numbers_keep_their_digits(spark, small):
     df = spark.createDataFrame([(v,) for v in values], "c0 bigint")
     found = order_statistics(df, {"c0": [0, 137, 250, 499]}, small)
     assert [found["c0", r] for r in (0, 137, 250, 499)] == [values[r] for r in (0, 137, 250, 499)]
+
+
+def test_many_ranks_are_found_without_an_expression_per_rank(spark, monkeypatch):
+    """A row was compared with every pivot of every rank, 372 times a column for the bins of a tree."""
+    rng = np.random.default_rng(5)
+    columns = [rng.normal(size=4000), rng.integers(-3, 3, 4000) * 0.5, np.where(rng.random(4000) < 0.1, np.inf, -rng.random(4000))]
+    df = frame(spark, columns).localCheckpoint()
+    most = []
+    for name in ("first", "collect"):
+        run = getattr(type(df), name)
+
+        def spied(self, run=run):
+            most.append(self._jdf.queryExecution().optimizedPlan().toString().count("count("))
+            return run(self)
+
+        monkeypatch.setattr(type(df), name, spied)
+    ranks = list(range(0, 4000, 61))
+    found = order_statistics(df, {c: ranks for c in df.columns}, small=50)
+    for c, data in zip(df.columns, columns):
+        assert [found[c, r] for r in ranks] == [sorted(data)[r] for r in ranks]
+    assert most and max(most) < 10
+
+
+def test_zeros_of_both_signs_and_extreme_numbers(spark):
+    values = [-0.0, 0.0, -5e-324, 5e-324, 1.7976931348623157e308, -1.7976931348623157e308, float("inf"), float("-inf")] * 9
+    df = spark.createDataFrame([(v,) for v in values], "c0 double")
+    ranks = list(range(len(values)))
+    assert [order_statistics(df, {"c0": ranks}, 4)["c0", r] for r in ranks] == sorted(values)
