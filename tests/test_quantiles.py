@@ -95,3 +95,23 @@ def test_zeros_of_both_signs_and_extreme_numbers(spark):
     df = spark.createDataFrame([(v,) for v in values], "c0 double")
     ranks = list(range(len(values)))
     assert [order_statistics(df, {"c0": ranks}, 4)["c0", r] for r in ranks] == sorted(values)
+
+
+def test_values_are_counted_where_they_lie_without_a_row_for_each(spark, monkeypatch):
+    """Every value of every column became a row of its own in each pass."""
+    rng = np.random.default_rng(11)
+    columns = [rng.lognormal(0, 2, 6000), rng.integers(0, 2, 6000), np.where(rng.random(6000) < 0.2, np.nan, rng.normal(1e6, 1e-3, 6000))]
+    df = frame(spark, columns).localCheckpoint()
+    plans = []
+    for name in ("first", "collect", "toArrow"):
+        run = getattr(type(df), name)
+
+        def spied(self, run=run):
+            plans.append(self._jdf.queryExecution().optimizedPlan().toString())
+            return run(self)
+
+        monkeypatch.setattr(type(df), name, spied)
+    found = exact_quantiles(df, df.columns, SHARES, small=100)
+    for c, data in zip(df.columns, columns):
+        np.testing.assert_allclose(found[c], np.quantile(data[~np.isnan(data)], SHARES), rtol=1e-12)
+    assert plans and not [p for p in plans if "Generate" in p or "percentile" in p]
