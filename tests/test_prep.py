@@ -181,3 +181,17 @@ def test_the_limit_of_levels_is_exact(spark):
     assert len(OneHot.fit(df, ["s"], limit=101).levels["s"]) == 101
     with pytest.raises(ValueError):
         OneHot.fit(df, ["s"], limit=100)
+
+
+def test_moments_of_numbers_far_from_zero_and_of_odd_columns(spark):
+    """Sums of running means lost digits of a deviation that is small beside the numbers."""
+    x = [1e9 + i % 7 for i in range(5000)]
+    rows = [(v, 3.3, None if i % 3 else float(i), None, float("nan"), float("nan") if i == 70 else 2.0) for i, v in enumerate(x)]
+    df = spark.createDataFrame(rows, "a double, b double, c double, d double, e double, f double").repartition(7)
+    found = Standardizer.fit(df, list("abcdef"))
+    third = np.arange(0, 5000, 3)
+    assert found.deviations["a"] == pytest.approx(np.std([i % 7 for i in range(5000)]), rel=1e-9)
+    assert (found.means["b"], found.deviations["b"]) == (pytest.approx(3.3), 0.0)
+    assert (found.means["c"], found.deviations["c"]) == (pytest.approx(third.mean()), pytest.approx(third.std()))
+    assert (found.means["d"], found.deviations["d"], found.deviations["e"]) == (None, None, 0.0)
+    assert np.isnan(found.means["f"]) and np.isnan(found.deviations["f"])
